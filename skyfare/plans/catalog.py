@@ -10,10 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfare import constants as C
 from skyfare.functions import present
-from skyfare.operators import layers, monitoring, quality, serving
+from skyfare.operators import ingest, layers, monitoring, mutation, quality, routes, serving
 from skyfare.plans import params as P
+from skyfare.plans import pipeline
+from skyfare.schemas import PARTITION_COLUMN
+from skyfare.session import scratch_path
 from skyfare.sources import fixtures as fx
+from skyfare.sources import tables as T
+from skyfare.sources.tables import Warehouse
+from skyfare.streaming import ingest as stream_ingest
 
 
 def _events_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -150,6 +157,156 @@ def q_dq_unique_seeded(spark, sf_dir):
     return present(quality.duplicate_keys(core, ["route_code", "departure_date", "quote_day"]))
 
 
+# ---- step 5: routes and request grid -----------------------------------
+
+def _dim_routes(spark, sf_dir):
+    return routes.routes_from_dim(fx.supported_routes_from_events(spark, sf_dir))
+
+
+def _resolved(spark, sf_dir):
+    # No route list configured; the dimension is readable; defaults last.
+    return routes.resolve_routes([None, _dim_routes(spark, sf_dir),
+                                  routes.default_routes(spark)])
+
+
+def q_routes_from_dim(spark, sf_dir):
+    return _dim_routes(spark, sf_dir)
+
+
+def q_routes_from_csv(spark, sf_dir):
+    return routes.routes_from_csv(fx.route_lists_from_events(spark, sf_dir), keep=["list_id"])
+
+
+def q_routes_default(spark, sf_dir):
+    return routes.routes_default(fx.route_lists_from_events(spark, sf_dir), "mel",
+                                 keep=["list_id"])
+
+
+def q_routes_resolved(spark, sf_dir):
+    return _resolved(spark, sf_dir)
+
+
+def q_request_grid(spark, sf_dir):
+    return routes_grid(spark, sf_dir).select("origin", "destination", "departure_date", "params.*")
+
+
+def routes_grid(spark, sf_dir, horizon=None):
+    h = horizon or C.DEFAULT_HORIZON_DAYS
+    return ingest.request_grid(_resolved(spark, sf_dir), P.GRID_AS_OF, h)
+
+
+# ---- step 6: responses and JSON archive ----------------------------------
+
+def _archive_view(df):
+    """Comparable projection of stored JSON rows."""
+    return present(df.select(
+        "ingested_at", "route_code",
+        F.try_variant_get("params", "$.curr", "string").alias("params_curr"),
+        F.try_variant_get("params", "$.date_from", "string").alias("date_from"),
+        F.coalesce(F.try_variant_get("response", "$.data[0].price", "double"),
+                   F.try_variant_get("response", "$.min_price", "double")).alias("price"),
+        F.coalesce(F.try_variant_get("response", "$.data[0].airlines[0]", "string"),
+                   F.try_variant_get("response", "$.airline", "string")).alias("airline")))
+
+
+def q_parse_responses(spark, sf_dir):
+    return present(ingest.parse_responses(fx.responses_from_events(spark, sf_dir)))
+
+
+def q_build_quote_batch(spark, sf_dir):
+    grid = routes_grid(spark, sf_dir, P.BATCH_HORIZON)
+    quotes = ingest.parse_responses(fx.responses_from_events(spark, sf_dir))
+    return present(ingest.build_quote_batch(grid, quotes))
+
+
+def _archive_with_smoke(spark, sf_dir):
+    path = scratch_path(spark, "raw-json")
+    mutation.append_rows(ingest.archive_rows(fx.responses_from_events(spark, sf_dir)), path,
+                         kind="json")
+    mutation.append_rows(fx.smoke_json(spark, P.SMOKE_AS_OF_TS), path, kind="json")
+    return path
+
+
+def q_raw_json_append(spark, sf_dir):
+    path = _archive_with_smoke(spark, sf_dir)
+    return _archive_view(T.read_json_rows(spark, path))
+
+
+def q_last_json_row(spark, sf_dir):
+    path = _archive_with_smoke(spark, sf_dir)
+    newest = (T.read_json_rows(spark, path)
+              .orderBy(F.col("ingested_at").desc_nulls_first(), F.col("route_code").asc_nulls_last())
+              .limit(1))
+    return _archive_view(newest)
+
+
+def q_delete_by_json_path(spark, sf_dir):
+    path = _archive_with_smoke(spark, sf_dir)
+    mutation.delete_by_json_path(spark, path, f"{C.SMOKE_ORIGIN}-{C.SMOKE_DESTINATION}",
+                                 P.SMOKE_JSON_PATH, C.SMOKE_AIRLINE)
+    mutation.delete_by_json_path(spark, path, P.JSON_DELETE_ROUTE, P.JSON_DELETE_PATH,
+                                 P.JSON_DELETE_VALUE)
+    return _archive_view(T.read_json_rows(spark, path))
+
+
+# ---- step 7: mutations ---------------------------------------------------
+
+def _raw_with_smoke(spark, sf_dir):
+    path = scratch_path(spark, "raw-quotes")
+    T.write_quotes(fx.quotes_from_events(spark, sf_dir), path, mode="overwrite", static=True)
+    mutation.append_rows(fx.smoke_quote(spark, P.AS_OF, P.SMOKE_AS_OF_TS), path)
+    return path
+
+
+def _raw_table(spark, path):
+    return present(T.read_quotes(spark, path).drop(PARTITION_COLUMN))
+
+
+def q_append_smoke_row(spark, sf_dir):
+    return _raw_table(spark, _raw_with_smoke(spark, sf_dir))
+
+
+def q_last_test_row(spark, sf_dir):
+    raw = T.read_quotes(spark, _raw_with_smoke(spark, sf_dir)).drop(PARTITION_COLUMN)
+    return present(raw.filter(F.col("source") == F.lit(C.SMOKE_SOURCE))
+                   .orderBy(F.col("quote_ts").desc_nulls_first(),
+                            F.col("departure_date").asc_nulls_last(),
+                            F.col("price_aud").asc_nulls_last())
+                   .limit(1))
+
+
+def q_delete_by_source(spark, sf_dir):
+    path = _raw_with_smoke(spark, sf_dir)
+    mutation.delete_by_source(spark, path, C.SMOKE_SOURCE)
+    return _raw_table(spark, path)
+
+
+def q_upsert_quotes(spark, sf_dir):
+    target, source = fx.upsert_fixture(spark, sf_dir)
+    path = scratch_path(spark, "raw-quotes")
+    T.write_quotes(target, path, mode="overwrite", static=True)
+    mutation.upsert_quotes(spark, path, source, order_col="seq")
+    return _raw_table(spark, path)
+
+
+# ---- step 8: pipeline ----------------------------------------------------
+
+def q_refresh_layers(spark, sf_dir):
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    T.write_quotes(fx.quotes_from_events(spark, sf_dir), wh.raw_quotes, mode="overwrite",
+                   static=True)
+    pipeline.refresh_layers(spark, wh)
+    return present(pipeline.read_mart(spark, wh).drop(PARTITION_COLUMN))
+
+
+def q_ingest_landed(spark, sf_dir):
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    landing = scratch_path(spark, "landing")
+    stream_ingest.land_responses(fx.responses_from_events(spark, sf_dir), landing)
+    stream_ingest.ingest_landed(spark, wh, landing, scratch_path(spark, "ingest-checkpoint"))
+    return _raw_table(spark, wh.raw_quotes)
+
+
 QUERIES = {
     "stg_quotes": q_stg_quotes,
     "core_daily_quotes": q_core_daily_quotes,
@@ -172,4 +329,20 @@ QUERIES = {
     "dq_checks": q_dq_checks,
     "dq_checks_seeded": q_dq_checks_seeded,
     "dq_unique_seeded": q_dq_unique_seeded,
+    "routes_from_dim": q_routes_from_dim,
+    "routes_from_csv": q_routes_from_csv,
+    "routes_default": q_routes_default,
+    "routes_resolved": q_routes_resolved,
+    "request_grid": q_request_grid,
+    "parse_responses": q_parse_responses,
+    "build_quote_batch": q_build_quote_batch,
+    "raw_json_append": q_raw_json_append,
+    "last_json_row": q_last_json_row,
+    "delete_by_json_path": q_delete_by_json_path,
+    "append_smoke_row": q_append_smoke_row,
+    "last_test_row": q_last_test_row,
+    "delete_by_source": q_delete_by_source,
+    "upsert_quotes": q_upsert_quotes,
+    "refresh_layers": q_refresh_layers,
+    "ingest_landed": q_ingest_landed,
 }

@@ -231,3 +231,137 @@ WHERE route_code IS NOT NULL AND departure_date IS NOT NULL AND quote_day IS NOT
 GROUP BY route_code, departure_date, quote_day
 HAVING count(*) > 1"""),
 }
+
+# ---- steps 5-8 -------------------------------------------------------------
+
+_WS = r"'^\s+|\s+$'"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, {_WS}, '', 'g')"
+
+
+DEP = "DATE '2024-06-01' + CAST(user_id % 7 AS INTEGER)"
+AIRLINE = "CASE event_id % 3 WHEN 0 THEN 'JQ' WHEN 1 THEN 'TR' WHEN 2 THEN 'ZZ' END"
+RESP_STOPS = "greatest(0, CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS INTEGER) - 1)"
+
+PAIRS = f"""pairs AS (
+  SELECT substr(v, 1, strpos(v, '-') - 1) AS origin, substr(v, strpos(v, '-') + 1) AS destination
+  FROM (SELECT upper({_strip('route_code')}) AS v FROM routes
+        WHERE route_code IS NOT NULL AND route_code <> '' AND strpos(route_code, '-') > 0) s)"""
+
+LISTS = f"""lists AS (
+  SELECT event_id AS list_id,
+         ' mel-' || lower(event_type) || ' ; ;MELBKK;' || chr(9) || ' MEL - '
+           || upper(substr(event_type, 1, 3)) || '-' || CAST(user_id % 7 AS VARCHAR) || ' ' AS routes_csv,
+         ' ' || lower(event_type) || ' ,, bkk,PNH ' AS destinations
+  FROM events)"""
+
+
+def _grid(h: int) -> str:
+    return f"""grid AS (
+  SELECT origin, destination, DATE '{P.GRID_AS_OF}' + CAST(i AS INTEGER) AS departure_date
+  FROM (SELECT origin, destination, unnest(range(1, {h} + 1)) AS i FROM pairs) g)"""
+
+
+PARSED = f"""parsed AS (
+  SELECT CAST(ts AS TIMESTAMP) AS ingested_at, 'MEL-' || upper(event_type) AS route_code,
+         'MEL' AS origin, upper(event_type) AS destination, {DEP} AS departure_date,
+         value AS price, {RESP_STOPS} AS stops, {AIRLINE} AS airline_code
+  FROM events
+  WHERE event_id % 10 <> 0 AND value IS NOT NULL)"""
+
+ARCHIVED = f"""archived AS (
+  SELECT ingested_at, route_code, 'AUD' AS params_curr, strftime(departure_date, '%d/%m/%Y') AS date_from,
+         price, airline_code AS airline
+  FROM parsed
+  UNION ALL
+  SELECT TIMESTAMP '{P.SMOKE_AS_OF_TS}', 'MEL-HKG', 'AUD', NULL, CAST(555 AS DOUBLE), 'XX')"""
+
+SMOKE_ROW = f"""SELECT 'MEL' AS origin, 'HKG' AS destination, DATE '{P.AS_OF}' + 60 AS departure_date,
+       TIMESTAMP '{P.SMOKE_AS_OF_TS}' AS quote_ts, CAST(555.00 AS DECIMAL(10,2)) AS price_aud,
+       0 AS stops, 'XX' AS airline_code, 'ingestion_test' AS source, 'Y' AS cabin"""
+
+KEY_EQ = " AND ".join(f"t.{k} = d.{k}" for k in ["origin", "destination", "departure_date", "quote_ts"])
+KEY_NN = " AND ".join(f"{k} IS NOT NULL" for k in ["origin", "destination", "departure_date", "quote_ts"])
+UPSERT = [RAW_EVENTS_ID, """target AS (
+  SELECT origin, destination, departure_date, quote_ts, price_aud, stops, airline_code, source, cabin
+  FROM raw_id WHERE event_id % 10 < 6)""", """src AS (
+  SELECT origin, destination, departure_date, quote_ts, CAST(price_aud + 1 AS DECIMAL(10,2)) AS price_aud,
+         stops, airline_code, source, event_id AS seq
+  FROM raw_id WHERE event_id % 10 >= 5
+  UNION ALL
+  SELECT origin, destination, departure_date, quote_ts, CAST(price_aud + 2 AS DECIMAL(10,2)),
+         stops, airline_code, source, event_id + 1000000000000
+  FROM raw_id WHERE event_id % 50 = 5
+  UNION ALL
+  SELECT origin, CAST(NULL AS VARCHAR), departure_date, quote_ts, CAST(price_aud + 1 AS DECIMAL(10,2)),
+         stops, airline_code, source, event_id + 2000000000000
+  FROM raw_id WHERE event_id % 70 = 5)""", f"""dedup AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY origin, destination, departure_date, quote_ts
+                                 ORDER BY seq DESC) AS rn
+    FROM src WHERE {KEY_NN}) x
+  WHERE rn = 1)""", f"""nullkey AS (SELECT * FROM src WHERE NOT ({KEY_NN}))"""]
+
+UPSERT_BODY = f"""SELECT t.origin, t.destination, t.departure_date, t.quote_ts,
+       CASE WHEN d.seq IS NOT NULL THEN d.price_aud ELSE t.price_aud END AS price_aud,
+       CASE WHEN d.seq IS NOT NULL THEN d.stops ELSE t.stops END AS stops,
+       CASE WHEN d.seq IS NOT NULL THEN d.airline_code ELSE t.airline_code END AS airline_code,
+       CASE WHEN d.seq IS NOT NULL THEN d.source ELSE t.source END AS source,
+       t.cabin
+FROM target t LEFT JOIN dedup d ON {KEY_EQ}
+UNION ALL
+SELECT origin, destination, departure_date, quote_ts, price_aud, stops, airline_code, source,
+       CAST(NULL AS VARCHAR) AS cabin
+FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM target t WHERE {KEY_EQ})
+UNION ALL
+SELECT origin, destination, departure_date, quote_ts, price_aud, stops, airline_code, source,
+       CAST(NULL AS VARCHAR) AS cabin
+FROM nullkey"""
+
+ORACLE.update({
+    "routes_from_dim": with_([ROUTES_DIM, PAIRS], "SELECT * FROM pairs"),
+    "routes_from_csv": with_([LISTS, """tok AS (
+  SELECT list_id, CAST(unnest(range(len(string_split(routes_csv, ';')))) AS INTEGER) AS pos,
+         unnest(string_split(routes_csv, ';')) AS token
+  FROM lists)""", f"""t2 AS (
+  SELECT list_id, pos, upper({_strip('token')}) AS token FROM tok)"""], f"""SELECT list_id, pos,
+       {_strip("substr(token, 1, strpos(token, '-') - 1)")} AS origin,
+       {_strip("substr(token, strpos(token, '-') + 1)")} AS destination
+FROM t2 WHERE token <> '' AND strpos(token, '-') > 0"""),
+    "routes_default": with_([LISTS, """d AS (
+  SELECT list_id, CAST(unnest(range(len(string_split(destinations, ',')))) AS INTEGER) AS pos,
+         unnest(string_split(destinations, ',')) AS dest
+  FROM lists)"""], f"""SELECT list_id, pos, 'MEL' AS origin, upper({_strip('dest')}) AS destination
+FROM d WHERE {_strip('dest')} <> ''"""),
+    "routes_resolved": with_([ROUTES_DIM, PAIRS], "SELECT origin, destination FROM pairs"),
+    "request_grid": with_([ROUTES_DIM, PAIRS, _grid(C.DEFAULT_HORIZON_DAYS)], """SELECT origin, destination, departure_date,
+       origin AS fly_from, destination AS fly_to,
+       strftime(departure_date, '%d/%m/%Y') AS date_from,
+       strftime(departure_date, '%d/%m/%Y') AS date_to,
+       'AUD' AS curr, 1 AS one_for_city, 1 AS one_per_date, 1 AS "limit", 'price' AS sort,
+       1 AS adults
+FROM grid"""),
+    "parse_responses": with_([PARSED], "SELECT * FROM parsed"),
+    "build_quote_batch": with_([ROUTES_DIM, PAIRS, _grid(P.BATCH_HORIZON), PARSED], """SELECT g.origin, g.destination, g.departure_date, p.ingested_at AS quote_ts,
+       CAST(p.price AS DECIMAL(10,2)) AS price_aud, p.stops, p.airline_code, 'tequila' AS source
+FROM grid g
+JOIN parsed p ON g.origin = p.origin AND g.destination = p.destination
+             AND g.departure_date = p.departure_date"""),
+    "raw_json_append": with_([PARSED, ARCHIVED], "SELECT * FROM archived"),
+    "last_json_row": with_([PARSED, ARCHIVED], """SELECT * FROM archived
+ORDER BY ingested_at DESC NULLS FIRST, route_code ASC NULLS LAST LIMIT 1"""),
+    "delete_by_json_path": with_([PARSED, ARCHIVED], f"""SELECT * FROM archived
+WHERE NOT (route_code = 'MEL-HKG' AND airline = 'XX')
+  AND NOT (route_code = '{P.JSON_DELETE_ROUTE}' AND airline = '{P.JSON_DELETE_VALUE}')"""),
+    "append_smoke_row": with_([RAW_EVENTS], "SELECT * FROM raw\nUNION ALL\n" + SMOKE_ROW),
+    "last_test_row": SMOKE_ROW,
+    "delete_by_source": with_([RAW_EVENTS], "SELECT * FROM raw"),
+    "upsert_quotes": with_(UPSERT, UPSERT_BODY),
+    "refresh_layers": with_(EVENTS_LAYERS, "SELECT * FROM mart"),
+    "ingest_landed": with_([PARSED], """SELECT origin, destination, departure_date, ingested_at AS quote_ts,
+       CAST(price AS DECIMAL(10,2)) AS price_aud, stops, airline_code, 'tequila' AS source,
+       CAST(NULL AS VARCHAR) AS cabin
+FROM parsed"""),
+})

@@ -55,3 +55,18 @@ AIRLINE_LABELS = StructType([
     StructField("airline_code", StringType()),
     StructField("airline", StringType()),
 ])
+
+CORE = StructType([
+    StructField("route_code", StringType()),
+    StructField("origin", StringType()),
+    StructField("destination", StringType()),
+    StructField("departure_date", DateType()),
+    StructField("quote_day", TimestampType()),
+    StructField("daily_min_price_aud", PRICE),
+    StructField("stops", IntegerType()),
+    StructField("airline_code", StringType()),
+    StructField("source", StringType()),
+    StructField("cabin", StringType()),
+    StructField("observed_at", TimestampType()),
+])
+CORE_STORED = StructType(list(CORE.fields) + [StructField(PARTITION_COLUMN, DateType())])

@@ -137,3 +137,62 @@ def upsert_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
                        (F.col("event_id") + F.lit(2 * 10**12)).alias("seq")))
     source = plain.unionByName(later).unionByName(nullkey)
     return target, source
+
+
+def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored search responses, one per event (RAW JSON table shape).
+
+    The request is the one for (MEL, upper(event_type), departure date);
+    the response holds one offer with ``price = value``, ``k % 4`` legs and
+    the event's airline. Events with ``event_id % 10 = 0`` got no offers.
+    """
+    from skyfare.operators.ingest import request_params
+
+    ev = table(spark, sf_dir, "events")
+    c = _event_columns(ev)
+    legs = F.array_repeat(F.struct(c["origin"].alias("flyFrom"),
+                                   c["destination"].alias("flyTo")), c["k"] % 4)
+    offer = F.struct(F.col("value").alias("price"), legs.alias("route"),
+                     F.array(c["airline_code"]).alias("airlines"))
+    response = (F.when(F.col("event_id") % 10 == 0, F.parse_json(F.lit('{"data":[]}')))
+                .otherwise(F.to_variant_object(F.struct(F.array(offer).alias("data")))))
+    params = F.to_variant_object(request_params(c["origin"], c["destination"],
+                                                c["departure_date"]))
+    return ev.select(c["quote_ts"].alias("ingested_at"),
+                     F.concat(c["origin"], F.lit("-"), c["destination"]).alias("route_code"),
+                     params.alias("params"), response.alias("response"))
+
+
+def route_lists_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-event route lists in the ``A-B;C-D`` form, with messy tokens:
+    lower case, padding, an empty token, a dash-less token, a padded pair
+    whose destination itself contains a dash."""
+    ev = table(spark, sf_dir, "events")
+    csv = F.concat(F.lit(" mel-"), F.lower("event_type"), F.lit(" ; ;MELBKK;\t MEL - "),
+                   F.upper(F.substring("event_type", 1, 3)), F.lit("-"),
+                   (F.col("user_id") % 7).cast("string"), F.lit(" "))
+    dests = F.concat(F.lit(" "), F.lower("event_type"), F.lit(" ,, bkk,PNH "))
+    return ev.select(F.col("event_id").alias("list_id"), csv.alias("routes_csv"),
+                     dests.alias("destinations"))
+
+
+def smoke_quote(spark: SparkSession, as_of, as_of_ts) -> DataFrame:
+    """The marked test quote, dated ``as_of + 60`` and stamped ``as_of_ts``."""
+    return spark.range(1).select(
+        F.lit(C.SMOKE_ORIGIN).alias("origin"),
+        F.lit(C.SMOKE_DESTINATION).alias("destination"),
+        F.date_add(F.lit(str(as_of)).cast("date"), C.SMOKE_DAYS_AHEAD).alias("departure_date"),
+        F.lit(str(as_of_ts)).cast("timestamp").alias("quote_ts"),
+        F.lit(C.SMOKE_PRICE).cast(PRICE).alias("price_aud"),
+        F.lit(C.SMOKE_STOPS).cast("int").alias("stops"),
+        F.lit(C.SMOKE_AIRLINE).alias("airline_code"),
+        F.lit(C.SMOKE_SOURCE).alias("source"),
+        F.lit(C.SMOKE_CABIN).alias("cabin"))
+
+
+def smoke_json(spark: SparkSession, as_of_ts) -> DataFrame:
+    return spark.range(1).select(
+        F.lit(str(as_of_ts)).cast("timestamp").alias("ingested_at"),
+        F.lit(f"{C.SMOKE_ORIGIN}-{C.SMOKE_DESTINATION}").alias("route_code"),
+        F.parse_json(F.lit(C.SMOKE_PARAMS_JSON)).alias("params"),
+        F.parse_json(F.lit(C.SMOKE_RESPONSE_JSON)).alias("response"))
