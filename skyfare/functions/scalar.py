@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 # Whitespace at either end, as Python's str.strip() removes it (Spark's
 # trim() only removes spaces).
@@ -82,6 +82,20 @@ def airline_name(code: Column, name: Column) -> Column:
     return F.coalesce(name, code)
 
 
+def literal_rows(spark, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small literal table built JVM-side (no Python worker round trip)."""
+    if not rows:
+        return empty_frame(spark, schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def empty_frame(spark, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                   for f in schema.fields])
+
+
 def present(df: DataFrame) -> DataFrame:
     """Hand-off form for external comparison: zone-aware timestamps become
     wall-clock (session zone) timestamps without zone."""

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyfare.functions import empty_frame
 from skyfare.schemas import PARTITION_COLUMN, PRICE, QUOTE_KEY, RAW_QUOTES, UPDATABLE
 from skyfare.session import scratch_path
 from skyfare.sources import tables as T
@@ -91,7 +92,7 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
     # comes from all dated source rows, NULL-key inserts included.
     values, dates = _touched(spark, src.filter(F.col(PARTITION_COLUMN).isNotNull()))
     target_all = T.read_quotes(spark, target_path) if T.fs_exists(spark, target_path) else \
-        spark.createDataFrame([], T.RAW_QUOTES_STORED)
+        empty_frame(spark, T.RAW_QUOTES_STORED)
     target = _restrict(target_all, values, dates)
 
     s = dedup.select(*QUOTE_KEY, *[F.col(c).alias(f"_s_{c}") for c in UPDATABLE],

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
-from skyfare.functions import airline_name, as_date, aud_label, dollar_label, tolerant_double
+from skyfare.functions import (airline_name, as_date, aud_label, dollar_label, literal_rows,
+                               tolerant_double)
+from skyfare.schemas import AIRLINE_LABELS
 
 LATEST_KEY = ["route_code", "departure_date"]
 
@@ -89,7 +91,7 @@ def trend_guarded(trend: DataFrame, lo: float = C.MIN_PRICE,
 
 def airline_table(spark: SparkSession) -> DataFrame:
     """The 11-entry label table: fixed size, always safe to broadcast."""
-    return spark.createDataFrame(C.AIRLINE_NAMES, "airline_code string, airline string")
+    return literal_rows(spark, C.AIRLINE_NAMES, AIRLINE_LABELS)
 
 
 def with_airline(rows: DataFrame, labels: DataFrame) -> DataFrame:

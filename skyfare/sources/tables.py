@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from skyfare.functions import local_date
+from skyfare.functions import empty_frame, local_date
 from skyfare.schemas import PARTITION_COLUMN, RAW_JSON, RAW_QUOTES
 
 DEFAULT_NAMESPACE = "PUBLIC"
@@ -84,7 +84,7 @@ def create_table(spark: SparkSession, path: str, schema: StructType,
     """Create (or replace) an empty table with the declared schema."""
     if not replace and fs_exists(spark, path):
         return
-    empty = spark.createDataFrame([], schema)
+    empty = empty_frame(spark, schema)
     write_partitioned(empty, path, mode="overwrite", static=True)
 
 
