@@ -6,7 +6,7 @@ Prints one JSON line:
 Stages (each timed separately):
 - raw_load:          project lineitem -> raw quotes, write partitioned RAW
 - refresh_full:      RAW -> STG -> CORE (write) -> MART (write) -> 23 checks
-- upsert_batch:      keyed upsert of a 10% batch (half updates, half inserts)
+- upsert_batch:      keyed upsert of a daily batch (one day re-quoted, one new day)
 - refresh_incr:      incremental refresh of the dates the upsert touched
 - serving / monitoring reads over the written MART
 - core_from_parquet: the lazy end-to-end CORE plan straight from parquet
@@ -59,15 +59,14 @@ def main():
     timed("raw_load", lambda: T.write_quotes(raw_src, wh.raw_quotes, mode="overwrite", static=True))
     timed("refresh_full", lambda: pipeline.refresh_layers(spark, wh))
 
-    # 10% batch: even lines re-quote existing keys, odd ones are new (shifted time)
-    li = fx.table(spark, sf_dir, "lineitem")
-    batch = (raw_src.withColumn("_n", F.monotonically_increasing_id())
-             .filter(F.col("_n") % 10 < 1))
-    batch = (batch.withColumn("quote_ts", F.when(F.col("_n") % 20 == 0, F.col("quote_ts"))
-                              .otherwise(F.col("quote_ts") + F.expr("INTERVAL 30 SECONDS")))
-             .withColumn("price_aud", (F.col("price_aud") * 0.9).cast("decimal(10,2)"))
-             .withColumn("seq", F.col("_n")).drop("_n"))
-    del li
+    # A daily run: re-quotes of every key observed on one day (same keys,
+    # new prices: updates) plus the next day's quotes (new partition: inserts).
+    day = F.to_date("quote_ts")
+    requotes = (raw_src.filter(day == F.lit("2024-01-15").cast("date"))
+                .withColumn("price_aud", (F.col("price_aud") * 0.9).cast("decimal(10,2)")))
+    new_day = (raw_src.filter(day == F.lit("2024-01-16").cast("date"))
+               .withColumn("quote_ts", F.col("quote_ts") + F.expr("INTERVAL 16 DAYS")))
+    batch = requotes.unionByName(new_day).withColumn("seq", F.monotonically_increasing_id())
     res = timed("upsert_batch", lambda: mutation.upsert_quotes(spark, wh.raw_quotes, batch))
     touched = [r[0] for r in T.read_stored(spark, res.staging_path,
                                            T.with_partition(T.RAW_QUOTES).add("_op", "string"))

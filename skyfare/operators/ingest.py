@@ -40,31 +40,50 @@ def request_grid(routes: DataFrame, as_of, horizon_days: int = C.DEFAULT_HORIZON
                                               F.col("departure_date")).alias("params"))
 
 
-def extract_quotes(responses: DataFrame) -> DataFrame:
-    """Cheapest offer of each stored response.
+def _offer(o: Column | str, prefix: str = "$") -> Column:
+    """(price, stops, airline_code) of one offer object."""
+    return F.struct(
+        F.try_variant_get(o, f"{prefix}.price", "double").alias("price"),
+        F.greatest(F.lit(0), F.size(F.try_variant_get(o, f"{prefix}.route",
+                                                      "array<variant>")) - 1).alias("stops"),
+        F.try_variant_get(o, f"{prefix}.airlines[0]", "string").alias("airline_code"))
+
 
-    The request (params) gives route and date; the first ``data`` entry gives
-    price, stops (legs - 1, at least 0, 0 if absent) and the first airline.
-    A missing/empty ``data`` or a missing price gives a NULL price; an empty
-    airline list gives a NULL airline.
+def extract_quotes(responses: DataFrame, offer: str = "first") -> DataFrame:
+    """Offer of each stored response as a quote.
+
+    The request (params) gives route and date. ``offer="first"`` takes the
+    first ``data`` entry (the source already sorts by price and returns
+    one): price, stops (legs - 1, at least 0, 0 if absent) and the first
+    airline. ``offer="cheapest"`` instead takes the lowest-priced entry
+    (ties: fewer stops, then airline code), for responses holding several.
+    A missing/empty ``data`` or a missing price gives a NULL price; an
+    empty airline list gives a NULL airline.
     """
-    first = "$.data[0]"
+    if offer == "first":
+        best = _offer("response", "$.data[0]")
+    elif offer == "cheapest":
+        offers = F.transform(F.try_variant_get("response", "$.data", "array<variant>"),
+                             lambda o: _offer(o))
+        best = F.array_min(F.filter(offers, lambda x: x["price"].isNotNull()))
+    else:
+        raise ValueError(f"unknown offer rule {offer!r}")
     return responses.select(
         "ingested_at", "route_code",
         F.try_variant_get("params", "$.fly_from", "string").alias("origin"),
         F.try_variant_get("params", "$.fly_to", "string").alias("destination"),
         F.try_to_date(F.try_variant_get("params", "$.date_from", "string"),
                       C.REQUEST_DATE_FORMAT).alias("departure_date"),
-        F.try_variant_get("response", f"{first}.price", "double").alias("price"),
-        F.greatest(F.lit(0), F.size(F.try_variant_get("response", f"{first}.route",
-                                                      "array<variant>")) - 1).alias("stops"),
-        F.try_variant_get("response", f"{first}.airlines[0]", "string").alias("airline_code"),
-    )
+        best.alias("_best"),
+    ).select("ingested_at", "route_code", "origin", "destination", "departure_date",
+             F.col("_best.price").alias("price"),
+             F.coalesce(F.col("_best.stops"), F.lit(0)).alias("stops"),
+             F.col("_best.airline_code").alias("airline_code"))
 
 
-def parse_responses(responses: DataFrame) -> DataFrame:
+def parse_responses(responses: DataFrame, offer: str = "first") -> DataFrame:
     """Extracted quotes, unpriced responses dropped."""
-    return extract_quotes(responses).filter(F.col("price").isNotNull())
+    return extract_quotes(responses, offer).filter(F.col("price").isNotNull())
 
 
 def build_quote_batch(grid: DataFrame, quotes: DataFrame,

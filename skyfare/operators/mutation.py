@@ -114,14 +114,19 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
     T.write_partitioned(staged, staged_path, mode="overwrite", static=True)
     staged = T.read_stored(spark, staged_path,
                            T.with_partition(RAW_QUOTES).add("_op", "string"))  # new struct
-    counts = {r["_op"]: r["n"] for r in staged.groupBy("_op").agg(F.count(F.lit(1)).alias("n")).collect()}
+    summary = (staged.groupBy("_op", F.col(PARTITION_COLUMN).isNull().alias("_undated"))
+               .agg(F.count(F.lit(1)).alias("n")).collect())
+    counts: dict[str, int] = {}
+    for r in summary:
+        counts[r["_op"]] = counts.get(r["_op"], 0) + r["n"]
+    has_undated = any(r["_undated"] for r in summary)
 
     dated = staged.filter(F.col(PARTITION_COLUMN).isNotNull()).drop("_op")
     # A NULL quote_ts can never match, so those rows are only ever appended.
     undated = staged.filter(F.col(PARTITION_COLUMN).isNull()).drop("_op")
     if values is None or values:
         T.write_partitioned(dated, target_path, mode="overwrite")
-    if undated.limit(1).count():
+    if has_undated:
         T.write_partitioned(undated, target_path, mode="append")
     return UpsertResult(input_rows, counts.get("inserted", 0), counts.get("updated", 0),
                         staged_path)

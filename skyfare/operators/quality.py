@@ -39,14 +39,6 @@ def unique_key_name(keys: list[str]) -> str:
     return "-".join(keys)
 
 
-def not_null_results(df: DataFrame, layer: str, columns: list[str]) -> DataFrame:
-    """One pass: NULL count per column, unpivoted to one row per check."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return (counts.unpivot([], columns, "column_name", "failures")
-            .select(F.lit(layer).alias("layer"), F.lit("not_null").alias("test"),
-                    "column_name", F.col("failures").cast("long").alias("failures")))
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values held by more than one row. A key with any NULL part is not
     tested (the concatenated test expression would be NULL)."""
@@ -55,24 +47,67 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("n") > 1))
 
 
-def unique_results(df: DataFrame, layer: str, keys: list[str]) -> DataFrame:
-    dups = duplicate_keys(df, keys)
-    return dups.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(layer).alias("layer"), F.lit("unique").alias("test"),
-        F.lit(unique_key_name(keys)).alias("column_name"),
-        F.col("failures").cast("long").alias("failures"))
-
-
-def run_checks(tables: dict[str, DataFrame], checks: list[TableChecks] = CHECKS) -> DataFrame:
-    """All declared checks over the given layer tables, as one result frame."""
+def _all_present(keys: list[str]):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def table_results(df: DataFrame, layers: list[TableChecks]) -> DataFrame:
+    """Every check of the given specs in one pass over ``df``.
+
+    Without a uniqueness check this is one global aggregate. With one, rows
+    are first grouped by the key (combined map-side, so a hot key costs one
+    row per task), carrying per-group NULL counts; a second, global
+    aggregate sums those and counts the groups holding more than one row.
+    """
+    cols = sorted({c for spec in layers for c in spec.not_null})
+    uniques = [keys for spec in layers for keys in spec.unique]
+    if len({tuple(k) for k in uniques}) > 1:
+        raise ValueError("one unique key per fused pass")
+    if uniques:
+        keys = uniques[0]
+        grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                        *[F.count_if(F.col(c).isNull()).alias(f"_nn_{c}")
+                                          for c in cols])
+        totals = grouped.agg(*[F.sum(f"_nn_{c}").alias(f"_nn_{c}") for c in cols],
+                             F.count_if((F.col("_n") > 1) & _all_present(keys)).alias("_dups"))
+    else:
+        totals = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_nn_{c}") for c in cols])
+    stack = []
+    for spec in layers:
+        for c in spec.not_null:
+            stack.append(F.struct(F.lit(spec.layer).alias("layer"), F.lit("not_null").alias("test"),
+                                  F.lit(c).alias("column_name"),
+                                  F.coalesce(F.col(f"_nn_{c}").cast("long"), F.lit(0).cast("long"))
+                                  .alias("failures")))
+        for keys in spec.unique:
+            stack.append(F.struct(F.lit(spec.layer).alias("layer"), F.lit("unique").alias("test"),
+                                  F.lit(unique_key_name(keys)).alias("column_name"),
+                                  F.col("_dups").cast("long").alias("failures")))
+    return totals.select(F.inline(F.array(*stack)))
+
+
+def run_checks(tables: dict[str, DataFrame], checks: list[TableChecks] = CHECKS,
+               raw_from_stg: bool = False) -> DataFrame:
+    """All declared checks over the given layer tables, as one result frame.
+
+    One pass per table. With ``raw_from_stg`` the RAW checks are evaluated
+    on the STG frame in the same pass as the STG checks: STG passes the RAW
+    columns through unchanged (same names, same types), so the NULL counts
+    are identical and RAW is scanned once.
+    """
+    by_layer = {spec.layer: spec for spec in checks}
     parts = []
+    done = set()
+    if raw_from_stg and "stg" in tables and "raw" in by_layer and "stg" in by_layer:
+        parts.append(table_results(tables["stg"], [by_layer["raw"], by_layer["stg"]]))
+        done |= {"raw", "stg"}
     for spec in checks:
-        if spec.layer not in tables:
+        if spec.layer in done or spec.layer not in tables:
             continue
-        df = tables[spec.layer]
-        parts.append(not_null_results(df, spec.layer, spec.not_null))
-        for keys in spec.unique:
-            parts.append(unique_results(df, spec.layer, keys))
+        parts.append(table_results(tables[spec.layer], [spec]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

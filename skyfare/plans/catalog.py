@@ -7,18 +7,22 @@ zone (``present``) so the result compares against a zone-less engine.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
 from skyfare.functions import present
-from skyfare.operators import ingest, layers, monitoring, mutation, quality, routes, serving
+from skyfare.operators import (ingest, layers, monitoring, mutation, quality, routes, serving,
+                               serving_sql)
 from skyfare.plans import params as P
 from skyfare.plans import pipeline
 from skyfare.schemas import PARTITION_COLUMN
 from skyfare.session import scratch_path
 from skyfare.sources import fixtures as fx
 from skyfare.sources import tables as T
+from skyfare.sources.catalog import register_catalog
 from skyfare.sources.tables import Warehouse
 from skyfare.streaming import ingest as stream_ingest
 
@@ -145,11 +149,11 @@ def _seeded_layers(spark, sf_dir):
 
 
 def q_dq_checks(spark, sf_dir):
-    return quality.run_checks(_events_layers(spark, sf_dir))
+    return quality.run_checks(_events_layers(spark, sf_dir), raw_from_stg=True)
 
 
 def q_dq_checks_seeded(spark, sf_dir):
-    return quality.run_checks(_seeded_layers(spark, sf_dir))
+    return quality.run_checks(_seeded_layers(spark, sf_dir), raw_from_stg=True)
 
 
 def q_dq_unique_seeded(spark, sf_dir):
@@ -307,6 +311,63 @@ def q_ingest_landed(spark, sf_dir):
     return _raw_table(spark, wh.raw_quotes)
 
 
+# ---- SQL text with named parameters over named tables ---------------------
+
+def _view(df, stem):
+    name = f"skyfare_{stem}_{uuid.uuid4().hex[:10]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+def _mart_view(spark, sf_dir):
+    return _view(_mart(spark, sf_dir), "mart")
+
+
+def q_cheapest_latest_sql(spark, sf_dir):
+    return present(serving_sql.cheapest_latest(spark, _mart_view(spark, sf_dir), P.ROUTE,
+                                               P.WINDOW_START, P.WINDOW_END))
+
+
+def q_routes_in_window_sql(spark, sf_dir):
+    routes_v = _view(fx.supported_routes_from_events(spark, sf_dir), "routes")
+    return serving_sql.routes_in_window(spark, routes_v, _mart_view(spark, sf_dir),
+                                        P.WINDOW_START, P.WINDOW_END)
+
+
+def q_price_trend_sql(spark, sf_dir):
+    return present(serving_sql.price_trend(spark, _mart_view(spark, sf_dir), P.ROUTE,
+                                           P.TREND_DEPARTURE))
+
+
+def q_volume_by_quote_day_sql(spark, sf_dir):
+    return present(serving_sql.volume_by_quote_day(spark, _mart_view(spark, sf_dir)))
+
+
+def q_cheapest_recent_sql(spark, sf_dir):
+    return serving_sql.cheapest_recent(spark, _mart_view(spark, sf_dir), P.AS_OF)
+
+
+def q_latest_snapshot_sql(spark, sf_dir):
+    return present(serving_sql.latest_snapshot(spark, _mart_view(spark, sf_dir)))
+
+
+def q_usage_daily_rollup_sql(spark, sf_dir):
+    usage = _view(fx.usage_from_events(spark, sf_dir), "usage")
+    return present(serving_sql.usage_daily_rollup(spark, usage, P.USAGE_RESOURCE,
+                                                  P.USAGE_AS_OF_TS))
+
+
+def q_mart_by_name(spark, sf_dir):
+    """The full path: RAW written, layers refreshed, tables registered per
+    layer namespace, MART read back by its qualified name."""
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    T.write_quotes(fx.quotes_from_events(spark, sf_dir), wh.raw_quotes, mode="overwrite",
+                   static=True)
+    pipeline.refresh_layers(spark, wh)
+    names = register_catalog(spark, wh)
+    return present(spark.table(names[T.MART_TABLE]).drop(PARTITION_COLUMN))
+
+
 QUERIES = {
     "stg_quotes": q_stg_quotes,
     "core_daily_quotes": q_core_daily_quotes,
@@ -345,4 +406,12 @@ QUERIES = {
     "upsert_quotes": q_upsert_quotes,
     "refresh_layers": q_refresh_layers,
     "ingest_landed": q_ingest_landed,
+    "cheapest_latest_sql": q_cheapest_latest_sql,
+    "routes_in_window_sql": q_routes_in_window_sql,
+    "price_trend_sql": q_price_trend_sql,
+    "volume_by_quote_day_sql": q_volume_by_quote_day_sql,
+    "cheapest_recent_sql": q_cheapest_recent_sql,
+    "latest_snapshot_sql": q_latest_snapshot_sql,
+    "usage_daily_rollup_sql": q_usage_daily_rollup_sql,
+    "mart_by_name": q_mart_by_name,
 }

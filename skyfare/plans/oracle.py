@@ -365,3 +365,9 @@ WHERE NOT (route_code = 'MEL-HKG' AND airline = 'XX')
        CAST(NULL AS VARCHAR) AS cabin
 FROM parsed"""),
 })
+
+# The SQL-text variants return exactly what their DataFrame twins return.
+for _k in ["cheapest_latest", "routes_in_window", "price_trend", "volume_by_quote_day",
+           "cheapest_recent", "latest_snapshot", "usage_daily_rollup"]:
+    ORACLE[f"{_k}_sql"] = ORACLE[_k]
+ORACLE["mart_by_name"] = ORACLE["mart_lowest_price"]

@@ -61,9 +61,8 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     checks = None
     if run_checks:
         checks = quality.run_checks({
-            "raw": T.read_quotes(spark, wh.raw_quotes).drop(PARTITION_COLUMN),
             "stg": layers.stg_quotes(T.read_quotes(spark, wh.raw_quotes)),
-            "core": core_t, "mart": mart_t})
+            "core": core_t, "mart": mart_t}, raw_from_stg=True)
         if fail_on_checks:
             quality.gate(checks)
     return RefreshResult(wh.core, wh.mart, checks)

@@ -43,3 +43,12 @@ def test_batch_stamps_ingestion_time(spark):
     assert len(b) == 1
     assert b[0].quote_ts == dt.datetime(2024, 1, 1) and str(b[0].price_aud) == "12.35"
     assert b[0].stops == 1 and b[0].source == "tequila"
+
+
+def test_cheapest_offer_rule(spark):
+    bodies = ['{"data":[{"price":90,"route":[{}],"airlines":["JQ"]},'
+              '{"price":70,"route":[{},{}],"airlines":["TR"]},{"route":[]}]}',
+              '{"data":[{"price":5,"route":[{},{}],"airlines":["B"]},{"price":5,"airlines":["A"]}]}',
+              '{"data":[]}']
+    out = ingest.extract_quotes(responses(spark, bodies), offer="cheapest").orderBy("ingested_at").collect()
+    assert [(r.price, r.stops, r.airline_code) for r in out] == [(70.0, 1, "TR"), (5.0, 0, "A"), (None, 0, None)]
