@@ -162,9 +162,11 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, kind: str =
     deleted = staged.filter("_hit").count()
     survivors = staged.filter(~F.col("_hit")).drop("_hit")
     T.write_partitioned(survivors, path, mode="overwrite")
-    left = {r[0] for r in survivors.select(PARTITION_COLUMN).distinct().collect()}
-    gone = (set(values) if values is not None else
-            {r[0] for r in dates.collect()}) - left
+    # Partitions whose every row was deleted, from the staged copy (the target
+    # has just been rewritten); only those names reach the driver.
+    emptied = (staged.groupBy(PARTITION_COLUMN).agg(F.bool_or(~F.col("_hit")).alias("_kept"))
+               .filter(~F.col("_kept")))
+    gone = [r[0] for r in emptied.collect()]
     for d in gone:
         name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
         T.fs_delete(spark, f"{path.rstrip('/')}/{PARTITION_COLUMN}={name}")
