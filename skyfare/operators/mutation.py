@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,7 +75,10 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
     - a key with a NULL part never matches and is always inserted.
     """
     cols = [c for c in QUOTE_KEY + UPDATABLE]
-    src = batch.select(*cols, *([order_col] if order_col else []))
+    # The batch plan is used three times (count, touched dates, staging):
+    # keep it for the duration of the upsert; lost blocks are recomputed.
+    src = batch.select(*cols, *([order_col] if order_col else [])).persist(
+        StorageLevel.MEMORY_AND_DISK)
     input_rows = src.count()
     if order_col is None:
         src = src.withColumn("seq", F.monotonically_increasing_id())
@@ -128,6 +132,7 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
         T.write_partitioned(dated, target_path, mode="overwrite")
     if has_undated:
         T.write_partitioned(undated, target_path, mode="append")
+    src.unpersist()
     return UpsertResult(input_rows, counts.get("inserted", 0), counts.get("updated", 0),
                         staged_path)
 
