@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
-from skyfare.functions import as_date, route_code
+from skyfare.functions import as_date
 from skyfare.schemas import PRICE
 
 GRID_KEY = ["origin", "destination", "departure_date"]
@@ -106,6 +106,21 @@ def build_quote_batch(grid: DataFrame, quotes: DataFrame,
     )
 
 
+def json_rows(rows: DataFrame, ingested_at: str = "ingested_at", route: str = "route_code",
+              params_json: str = "params_json", response_json: str = "response_json",
+              strict: bool = False) -> DataFrame:
+    """JSON text columns -> rows of the RAW JSON table (VARIANT columns).
+
+    Untrusted text goes through ``try_parse_json`` (malformed -> NULL);
+    ``strict`` uses ``parse_json`` and fails on the first malformed value.
+    """
+    parse = F.parse_json if strict else F.try_parse_json
+    return rows.select(F.col(ingested_at).cast("timestamp").alias("ingested_at"),
+                       F.col(route).alias("route_code"),
+                       parse(F.col(params_json)).alias("params"),
+                       parse(F.col(response_json)).alias("response"))
+
+
 def archive_rows(responses: DataFrame, keep_unpriced: bool = False) -> DataFrame:
     """Responses to store in the JSON archive.
 
@@ -120,6 +135,3 @@ def archive_rows(responses: DataFrame, keep_unpriced: bool = False) -> DataFrame
         out = out.filter(price.isNotNull())
     return out.select("ingested_at", "route_code", "params", "response")
 
-
-def route_of(origin: Column, destination: Column) -> Column:
-    return route_code(origin, destination)

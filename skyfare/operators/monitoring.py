@@ -42,8 +42,9 @@ def cheapest_recent(mart: DataFrame, as_of, days: int = C.RECENT_DAYS,
             .limit(limit))
 
 
-def latest_snapshot(mart: DataFrame, limit: int = C.SNAPSHOT_LIMIT) -> DataFrame:
-    return (latest_rows(mart).select(*CORE_COLUMNS)
+def latest_snapshot(mart: DataFrame, limit: int = C.SNAPSHOT_LIMIT,
+                    method: str = "semi") -> DataFrame:
+    return (latest_rows(mart, method).select(*CORE_COLUMNS)
             .orderBy(F.col("daily_min_price_aud").asc_nulls_last(),
                      F.col("route_code").asc_nulls_last(),
                      F.col("departure_date").asc_nulls_last())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
@@ -42,20 +42,34 @@ def routes_in_window(routes: DataFrame, mart: DataFrame, start, end) -> DataFram
             .orderBy(F.col("route_code").asc_nulls_last()))
 
 
-def latest_rows(mart: DataFrame) -> DataFrame:
+def latest_rows(mart: DataFrame, method: str = "semi") -> DataFrame:
     """Mart rows at the latest quote_day of their (route, departure).
 
-    Semi-join against the per-key max: the aggregate is combined map-side,
-    so only one row per key crosses the network, and AQE broadcasts it when
-    its measured size allows; the fact side then never shuffles. NULL keys
-    drop out of the equi-join, as in the inner-join formulation.
+    ``semi`` (default): semi-join against the per-key max. The aggregate is
+    combined map-side, so only one row per key crosses the network, and AQE
+    broadcasts it when its measured size allows; the fact side then never
+    shuffles, and a hot key is never gathered into one task.
+
+    ``window``: one scan, ``max(quote_day) over (route, departure)`` and an
+    equality filter. It shuffles every mart row by key (a hot key lands in
+    one task), so it is kept only for comparison.
+
+    Both drop rows with a NULL key part, as the inner-join form does.
     """
-    latest = (mart.groupBy(*LATEST_KEY).agg(F.max("quote_day").alias("quote_day")))
-    return mart.join(latest, LATEST_KEY + ["quote_day"], "left_semi")
+    if method == "semi":
+        latest = mart.groupBy(*LATEST_KEY).agg(F.max("quote_day").alias("quote_day"))
+        return mart.join(latest, LATEST_KEY + ["quote_day"], "left_semi").select(*mart.columns)
+    if method == "window":
+        w = Window.partitionBy(*LATEST_KEY)
+        keyed = mart.filter(F.col("route_code").isNotNull() & F.col("departure_date").isNotNull()
+                            & F.col("quote_day").isNotNull())
+        return (keyed.withColumn("_latest", F.max("quote_day").over(w))
+                .filter(F.col("quote_day") == F.col("_latest")).drop("_latest"))
+    raise ValueError(f"unknown method {method!r}")
 
 
 def cheapest_latest(mart: DataFrame, route: str, start, end,
-                    limit: int = C.FARE_LIMIT) -> DataFrame:
+                    limit: int = C.FARE_LIMIT, method: str = "semi") -> DataFrame:
     """Cheapest fares at the latest quote for one route and departure window."""
     check_window(start, end)
     in_scope = (F.col("route_code") == F.lit(route)) & \
@@ -63,7 +77,7 @@ def cheapest_latest(mart: DataFrame, route: str, start, end,
     # Filters are on the latest-key columns, so applying them before the
     # aggregate gives the same rows as filtering after the join.
     m = mart.filter(in_scope)
-    fares = latest_rows(m).select(
+    fares = latest_rows(m, method).select(
         "route_code", "departure_date",
         F.col("daily_min_price_aud").cast("double").alias("price_aud"),
         "airline_code", "stops", "quote_day")

@@ -24,7 +24,10 @@ def _ddl(schema: StructType) -> str:
 def _table(spark: SparkSession, full_name: str, schema: StructType, path: str,
            partitioned: bool = True) -> None:
     part = f" PARTITIONED BY ({PARTITION_COLUMN})" if partitioned else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full_name} ({_ddl(schema)}) USING parquet{part} "
+    # External table (explicit LOCATION): dropping it removes only the catalog
+    # entry, so re-pointing a name at another warehouse never touches data.
+    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+    spark.sql(f"CREATE TABLE {full_name} ({_ddl(schema)}) USING parquet{part} "
               f"LOCATION '{path}'")
     if partitioned:
         spark.sql(f"ALTER TABLE {full_name} RECOVER PARTITIONS")

@@ -52,3 +52,11 @@ def test_cheapest_offer_rule(spark):
               '{"data":[]}']
     out = ingest.extract_quotes(responses(spark, bodies), offer="cheapest").orderBy("ingested_at").collect()
     assert [(r.price, r.stops, r.airline_code) for r in out] == [(70.0, 1, "TR"), (5.0, 0, "A"), (None, 0, None)]
+
+
+def test_json_rows_tolerates_malformed_text(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", "MEL-HKG", '{"curr":"AUD"}', '{"min_price":555}'),
+                                ("2024-01-01 00:00:00", "MEL-HKG", '{bad', 'nope')],
+                               "ingested_at string, route_code string, params_json string, response_json string")
+    out = ingest.json_rows(df).select(F.to_json("params").alias("p"), F.to_json("response").alias("r")).collect()
+    assert sorted([(r.p, r.r) for r in out], key=str) == [('{"curr":"AUD"}', '{"min_price":555}'), (None, None)]

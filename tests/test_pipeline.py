@@ -68,3 +68,16 @@ def test_landed_files_load_once(spark, tmp_path):
     assert total == priced
     archived = T.read_json_rows(spark, wh.raw_json).count()
     assert archived == priced
+
+
+def test_catalog_names_follow_the_latest_warehouse(spark, tmp_path):
+    from skyfare.sources.catalog import register_catalog
+    counts = []
+    for i, n in enumerate((3, 5)):
+        wh = Warehouse(str(tmp_path / f"w{i}"))
+        T.write_quotes(fx.quotes_from_events(spark, SF001).limit(n), wh.raw_quotes,
+                       mode="overwrite", static=True)
+        names = register_catalog(spark, wh)
+        counts.append(spark.table(names[T.RAW_QUOTES_TABLE]).count())
+    assert counts == [3, 5]
+    assert spark.sql("SELECT count(*) FROM RAW.price_quotes_parsed").collect()[0][0] == 5

@@ -137,3 +137,10 @@ def test_no_python_udfs_in_read_plans(spark):
         s = _plan(p)
         assert "BatchEvalPython" not in s and "ArrowEvalPython" not in s
     assert F  # keep import
+
+
+def test_latest_methods_agree(spark):
+    mart = mart_of(fx.quotes_from_events(spark, SF001))
+    a = sorted(map(tuple, serving.latest_rows(mart, "semi").collect()), key=str)
+    b = sorted(map(tuple, serving.latest_rows(mart, "window").collect()), key=str)
+    assert a == b and len(a) == 35
