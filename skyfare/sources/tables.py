@@ -73,6 +73,14 @@ def fs_delete(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fs_touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (overwriting one that exists)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(p, True).close()
+
+
 def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a partitioned table with its declared schema (never inferred)."""
     return (spark.read.schema(schema).option("basePath", path)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,41 +51,84 @@ class IngestStats:
     history: list = field(default_factory=list)
 
 
+def archive_once(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
+                 markers: str, keep_unpriced: bool = False, zone: str | None = None) -> str:
+    """Append a micro-batch's responses to the JSON archive exactly once.
+
+    ``foreachBatch`` is at-least-once: after a driver failure the same epoch
+    runs again. A ``.done`` marker means the archive already has this
+    epoch (skip). A ``.started`` marker without ``.done`` means an earlier
+    attempt may have appended some rows, so only rows not yet present (same
+    time, route, request and response text) are appended.
+    """
+    done, started = f"{markers}/{epoch}.done", f"{markers}/{epoch}.started"
+    if T.fs_exists(spark, done):
+        return "skipped"
+    rows = ingest.archive_rows(batch, keep_unpriced)
+    outcome = "appended"
+    if T.fs_exists(spark, started) and T.fs_exists(spark, wh.raw_json):
+        key = [F.col("ingested_at"), F.col("route_code"),
+               F.to_json("params").alias("_p"), F.to_json("response").alias("_r")]
+        dates = rows.select(T.partition_of(F.col("ingested_at"), zone).alias("quote_date")).distinct()
+        present = (T.read_json_rows(spark, wh.raw_json).join(dates, "quote_date", "left_semi")
+                   .select(*key).distinct())
+        rows = (rows.select("*", F.to_json("params").alias("_p"), F.to_json("response").alias("_r"))
+                .join(present, ["ingested_at", "route_code", "_p", "_r"], "left_anti")
+                .drop("_p", "_r"))
+        outcome = "resumed"
+    T.fs_touch(spark, started)
+    mutation.append_rows(rows, wh.raw_json, kind="json", zone=zone)
+    T.fs_touch(spark, done)
+    return outcome
+
+
+def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
+               markers: str, stats: IngestStats, grid: DataFrame | None = None,
+               store_json: bool = True, source_name: str = C.DEFAULT_SOURCE_NAME,
+               zone: str | None = None) -> None:
+    """One micro-batch: archive the responses, upsert the quotes they yield.
+
+    Both steps are safe to repeat for the same epoch: the archive through
+    its markers, the upsert because it is keyed (same keys, same values).
+    """
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = batch.count()
+        if n == 0:
+            return
+        if store_json:
+            archive_once(spark, wh, batch, epoch, markers, zone=zone)
+        quotes = ingest.parse_responses(batch)
+        if grid is not None:
+            rows = ingest.build_quote_batch(grid, quotes, source_name)
+        else:
+            rows = quotes.select(
+                "origin", "destination", "departure_date",
+                F.col("ingested_at").alias("quote_ts"),
+                F.col("price").alias("price_aud"), "stops", "airline_code",
+                F.lit(source_name).alias("source"))
+        rows = rows.withColumn("seq", F.monotonically_increasing_id())
+        res = mutation.upsert_quotes(spark, wh.raw_quotes, rows, zone=zone)
+        stats.batches += 1
+        stats.responses += n
+        stats.quotes += res.input_rows
+        stats.inserted += res.inserted
+        stats.updated += res.updated
+        stats.history.append((epoch, n, res.input_rows))
+    finally:
+        batch.unpersist()
+
+
 def ingest_landed(spark: SparkSession, wh: Warehouse, landing: str, checkpoint: str,
                   grid: DataFrame | None = None, store_json: bool = True,
                   source_name: str = C.DEFAULT_SOURCE_NAME, zone: str | None = None,
                   max_files_per_trigger: int | None = None) -> IngestStats:
     """Load every landed file not loaded before, then stop."""
     stats = IngestStats()
+    markers = f"{checkpoint.rstrip('/')}/_archive"
 
     def load(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
-        try:
-            n = batch.count()
-            if n == 0:
-                return
-            if store_json:
-                mutation.append_rows(ingest.archive_rows(batch), wh.raw_json, kind="json",
-                                     zone=zone)
-            quotes = ingest.parse_responses(batch)
-            if grid is not None:
-                rows = ingest.build_quote_batch(grid, quotes, source_name)
-            else:
-                rows = quotes.select(
-                    "origin", "destination", "departure_date",
-                    F.col("ingested_at").alias("quote_ts"),
-                    F.col("price").alias("price_aud"), "stops", "airline_code",
-                    F.lit(source_name).alias("source"))
-            rows = rows.withColumn("seq", F.monotonically_increasing_id())
-            res = mutation.upsert_quotes(spark, wh.raw_quotes, rows, zone=zone)
-            stats.batches += 1
-            stats.responses += n
-            stats.quotes += res.input_rows
-            stats.inserted += res.inserted
-            stats.updated += res.updated
-            stats.history.append((epoch, n, res.input_rows))
-        finally:
-            batch.unpersist()
+        load_batch(spark, wh, batch, epoch, markers, stats, grid, store_json, source_name, zone)
 
     reader = (spark.readStream.schema(RAW_JSON)
               .option("timestampFormat", TIMESTAMP_FORMAT))

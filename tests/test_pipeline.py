@@ -81,3 +81,19 @@ def test_catalog_names_follow_the_latest_warehouse(spark, tmp_path):
         counts.append(spark.table(names[T.RAW_QUOTES_TABLE]).count())
     assert counts == [3, 5]
     assert spark.sql("SELECT count(*) FROM RAW.price_quotes_parsed").collect()[0][0] == 5
+
+
+def test_replayed_epoch_archives_once(spark, tmp_path):
+    wh = Warehouse(str(tmp_path / "wh"))
+    markers = str(tmp_path / "markers")
+    resp = fx.responses_from_events(spark, SF001)
+    half = resp.filter("hour(ingested_at) < 12")
+    # a first attempt that died after appending part of the epoch
+    T.fs_touch(spark, f"{markers}/7.started")
+    from skyfare.operators import ingest as ing
+    mutation.append_rows(ing.archive_rows(half), wh.raw_json, kind="json")
+    assert stream.archive_once(spark, wh, resp, 7, markers) == "resumed"
+    priced = ing.archive_rows(resp).count()
+    assert T.read_json_rows(spark, wh.raw_json).count() == priced
+    assert stream.archive_once(spark, wh, resp, 7, markers) == "skipped"
+    assert T.read_json_rows(spark, wh.raw_json).count() == priced
