@@ -54,10 +54,7 @@ def stages(spark, sf_dir, timed, repeat_reads=1):
                .withColumn("quote_ts", F.col("quote_ts") + F.expr("INTERVAL 16 DAYS")))
     batch = requotes.unionByName(new_day).withColumn("seq", F.monotonically_increasing_id())
     res = timed("upsert_batch", lambda: mutation.upsert_quotes(spark, wh.raw_quotes, batch))
-    touched = [r[0] for r in T.read_stored(spark, res.staging_path,
-                                           T.with_partition(T.RAW_QUOTES).add("_op", "string"))
-               .select("quote_date").distinct().collect()]
-    timed("refresh_incr", lambda: pipeline.refresh_layers(spark, wh, dates=touched))
+    timed("refresh_incr", lambda: pipeline.refresh_layers(spark, wh, dates=res.touched))
 
     mart = pipeline.read_mart(spark, wh)
     routes = fx.supported_routes_from_events(spark, sf_dir).unionByName(

@@ -3,33 +3,41 @@
 There is no table format with MERGE/DELETE here, so every mutation is a
 copy-on-write of the ``quote_date`` partitions it touches:
 
-1. compute the new content of the touched partitions;
-2. write it to a staging table in the shared checkpoint folder (this cuts
-   lineage: a lost executor recomputes from staging, never from files that
-   are being replaced);
-3. dynamically overwrite only those partitions from staging.
-
-Single writer per table is assumed; the partition swap is not atomic
-across partitions, but the staged copy survives until the next mutation
-and can be re-applied.
+1. compute the new content of the touched partitions (rows without a date
+   live in the NULL partition, which is treated like any other);
+2. write it to a staging table in the shared checkpoint folder. This cuts
+   lineage: a lost executor recomputes from staging, never from files
+   that are being replaced;
+3. leave a pending marker in the table's hidden ``_pending`` folder,
+   dynamically overwrite exactly the touched partitions from staging,
+   remove partitions left empty, and drop the marker.
+
+Step 3 only replaces whole partitions with staged content, so it can be
+repeated. If the driver dies part-way through, ``recover_pending`` (run
+first by every mutation) re-applies the staged result. Single writer per
+table is assumed.
 """
 
 from __future__ import annotations
 
+import base64
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyfare.functions import empty_frame
-from skyfare.schemas import PARTITION_COLUMN, PRICE, QUOTE_KEY, RAW_QUOTES, UPDATABLE
+from skyfare.schemas import PARTITION_COLUMN, PRICE, QUOTE_KEY, UPDATABLE
 from skyfare.session import scratch_path
 from skyfare.sources import tables as T
 
 # Above this many distinct touched partitions, restrict the target with a
 # semi-join instead of a literal IN list.
 MAX_LITERAL_PARTITIONS = 5000
+PENDING_DIR = "_pending"
+OP = "_op"          # staged row flag: kept / updated / inserted / deleted
 
 
 @dataclass
@@ -38,11 +46,13 @@ class UpsertResult:
     inserted: int
     updated: int         # target rows overwritten by a matching source row
     staging_path: str
+    touched: list | None = None   # rewritten quote_date values (None = NULL partition);
+                                  # None when above MAX_LITERAL_PARTITIONS
 
 
-def _touched(spark: SparkSession, dates: DataFrame) -> tuple[list | None, DataFrame]:
-    """Distinct touched partition values: a literal list when small (static
-    partition pruning), otherwise a frame for a semi-join."""
+def _touched(dates: DataFrame) -> tuple[list | None, DataFrame]:
+    """Distinct touched partition values (NULL included): a literal list when
+    small (static partition pruning), otherwise a frame for a semi-join."""
     dates = dates.select(PARTITION_COLUMN).distinct()
     few = dates.limit(MAX_LITERAL_PARTITIONS + 1).collect()
     if len(few) <= MAX_LITERAL_PARTITIONS:
@@ -51,9 +61,11 @@ def _touched(spark: SparkSession, dates: DataFrame) -> tuple[list | None, DataFr
 
 
 def _restrict(df: DataFrame, values: list | None, dates: DataFrame) -> DataFrame:
+    part = F.col(PARTITION_COLUMN)
     if values is not None:
-        return df.filter(F.col(PARTITION_COLUMN).isin(values)) if values else df.limit(0)
-    return df.join(dates, PARTITION_COLUMN, "left_semi")
+        return df.filter(T.in_partitions(values))
+    d = dates.withColumnRenamed(PARTITION_COLUMN, "_d")
+    return df.join(d, part.eqNullSafe(F.col("_d")), "left_semi")
 
 
 def _any_null(cols: list[str]) -> Column:
@@ -63,6 +75,114 @@ def _any_null(cols: list[str]) -> Column:
     return cond
 
 
+def _staged_schema(kind: str) -> StructType:
+    base = T.RAW_QUOTES_STORED if kind == "quotes" else T.RAW_JSON_STORED
+    return StructType(list(base.fields)).add(OP, "string")
+
+
+def _marker(target: str, kind: str, staged: str) -> str:
+    token = base64.urlsafe_b64encode(staged.encode()).decode().rstrip("=")
+    return f"{target.rstrip('/')}/{PENDING_DIR}/{kind}__{token}"
+
+
+def _staged_of(marker_name: str) -> tuple[str, str]:
+    kind, token = marker_name.split("__", 1)
+    return kind, base64.urlsafe_b64decode(token + "=" * (-len(token) % 4)).decode()
+
+
+def _apply(spark: SparkSession, target: str, kind: str, staged_path: str) -> None:
+    """Swap the touched partitions for their staged content (repeatable)."""
+    staged = T.read_stored(spark, staged_path, _staged_schema(kind))
+    keep = staged.filter(F.col(OP) != "deleted").drop(OP)
+    T.write_partitioned(keep, target, mode="overwrite")
+    # A partition whose every row was deleted is not touched by a dynamic
+    # overwrite, so it is removed explicitly; only those names reach the driver.
+    emptied = (staged.groupBy(PARTITION_COLUMN)
+               .agg(F.bool_or(F.col(OP) != "deleted").alias("_kept"))
+               .filter(~F.col("_kept")).collect())
+    for r in emptied:
+        name = "__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0].isoformat()
+        T.fs_delete(spark, f"{target.rstrip('/')}/{PARTITION_COLUMN}={name}")
+
+
+def _commit(spark: SparkSession, target: str, kind: str, staged_path: str) -> None:
+    marker = _marker(target, kind, staged_path)
+    T.fs_touch(spark, marker)
+    _apply(spark, target, kind, staged_path)
+    T.fs_delete(spark, marker)
+
+
+def recover_pending(spark: SparkSession, target: str) -> int:
+    """Finish mutations whose driver died between staging and the swap."""
+    folder = f"{target.rstrip('/')}/{PENDING_DIR}"
+    if not T.fs_exists(spark, folder):
+        return 0
+    names = T.fs_list(spark, folder)
+    for name in names:
+        kind, staged = _staged_of(name)
+        _apply(spark, target, kind, staged)
+        T.fs_delete(spark, f"{folder}/{name}")
+    T.fs_delete(spark, folder)
+    return len(names)
+
+
+def stage_upsert(spark: SparkSession, target_path: str, batch: DataFrame,
+                 order_col: str | None = "seq", zone: str | None = None) -> UpsertResult:
+    """Steps 1-2 of the upsert: compute and stage the touched partitions."""
+    cols = [c for c in QUOTE_KEY + UPDATABLE]
+    # The batch plan is used three times (count, touched dates, staging):
+    # keep it for the duration of the upsert; lost blocks are recomputed.
+    src = batch.select(*cols, *([order_col] if order_col else [])).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        input_rows = src.count()
+        if order_col is None:
+            order_col = "seq"
+            src_o = src.withColumn(order_col, F.monotonically_increasing_id())
+        else:
+            src_o = src
+        s = (src_o.withColumn("price_aud", F.col("price_aud").cast(PRICE))
+             .withColumn(PARTITION_COLUMN, T.partition_of(F.col("quote_ts"), zone)))
+
+        keyed = s.filter(~_any_null(QUOTE_KEY))
+        nullkey = s.filter(_any_null(QUOTE_KEY)).drop(order_col)
+        last = Window.partitionBy(*QUOTE_KEY).orderBy(F.col(order_col).desc_nulls_last())
+        dedup = (keyed.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1")
+                 .drop("_rn", order_col))
+
+        # Every partition that receives a row is rewritten, so the touched set
+        # comes from all source rows (NULL-key inserts and NULL dates included).
+        values, dates = _touched(s)
+        target_all = (T.read_quotes(spark, target_path) if T.fs_exists(spark, target_path)
+                      else empty_frame(spark, T.RAW_QUOTES_STORED))
+        target = _restrict(target_all, values, dates)
+
+        m_src = dedup.select(*QUOTE_KEY, *[F.col(c).alias(f"_s_{c}") for c in UPDATABLE],
+                             F.lit(True).alias("_matched"))
+        joined = target.join(m_src, QUOTE_KEY, "left")
+        m = F.col("_matched").isNotNull()
+        kept = joined.select(
+            *QUOTE_KEY,
+            *[F.when(m, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in UPDATABLE],
+            "cabin", PARTITION_COLUMN,
+            F.when(m, F.lit("updated")).otherwise(F.lit("kept")).alias(OP))
+        new = dedup.join(target.select(*QUOTE_KEY), QUOTE_KEY, "left_anti")
+        inserts = new.unionByName(nullkey).select(
+            *QUOTE_KEY, *UPDATABLE, F.lit(None).cast("string").alias("cabin"),
+            PARTITION_COLUMN, F.lit("inserted").alias(OP))
+
+        staged_path = scratch_path(spark, "upsert-staging")
+        T.write_partitioned(kept.unionByName(inserts), staged_path, mode="overwrite",
+                            static=True)
+    finally:
+        src.unpersist()
+    staged = T.read_stored(spark, staged_path, _staged_schema("quotes"))
+    counts = {r[OP]: r["n"] for r in
+              staged.groupBy(OP).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return UpsertResult(input_rows, counts.get("inserted", 0), counts.get("updated", 0),
+                        staged_path, values)
+
+
 def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
                   order_col: str | None = "seq", zone: str | None = None) -> UpsertResult:
     """MERGE the batch into the raw quotes table on (origin, destination,
@@ -74,67 +194,10 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
     - every target row with the key is updated;
     - a key with a NULL part never matches and is always inserted.
     """
-    cols = [c for c in QUOTE_KEY + UPDATABLE]
-    # The batch plan is used three times (count, touched dates, staging):
-    # keep it for the duration of the upsert; lost blocks are recomputed.
-    src = batch.select(*cols, *([order_col] if order_col else [])).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    input_rows = src.count()
-    if order_col is None:
-        src = src.withColumn("seq", F.monotonically_increasing_id())
-        order_col = "seq"
-    src = src.withColumn("price_aud", F.col("price_aud").cast(PRICE))
-    src = src.withColumn(PARTITION_COLUMN, T.partition_of(F.col("quote_ts"), zone))
-
-    keyed = src.filter(~_any_null(QUOTE_KEY))
-    nullkey = src.filter(_any_null(QUOTE_KEY))
-    last = Window.partitionBy(*QUOTE_KEY).orderBy(F.col(order_col).desc_nulls_last())
-    dedup = (keyed.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1")
-             .drop("_rn", order_col))
-
-    # Every partition that receives a row is rewritten, so the touched set
-    # comes from all dated source rows, NULL-key inserts included.
-    values, dates = _touched(spark, src.filter(F.col(PARTITION_COLUMN).isNotNull()))
-    target_all = T.read_quotes(spark, target_path) if T.fs_exists(spark, target_path) else \
-        empty_frame(spark, T.RAW_QUOTES_STORED)
-    target = _restrict(target_all, values, dates)
-
-    s = dedup.select(*QUOTE_KEY, *[F.col(c).alias(f"_s_{c}") for c in UPDATABLE],
-                     F.lit(True).alias("_matched"))
-    joined = target.join(s, QUOTE_KEY, "left")
-    m = F.col("_matched").isNotNull()
-    kept = joined.select(
-        *QUOTE_KEY,
-        *[F.when(m, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in UPDATABLE],
-        "cabin", PARTITION_COLUMN,
-        F.when(m, F.lit("updated")).otherwise(F.lit("kept")).alias("_op"))
-    new = dedup.join(target.select(*QUOTE_KEY), QUOTE_KEY, "left_anti")
-    inserts = new.unionByName(nullkey.drop(order_col)).select(
-        *QUOTE_KEY, *UPDATABLE, F.lit(None).cast("string").alias("cabin"),
-        PARTITION_COLUMN, F.lit("inserted").alias("_op"))
-
-    staged_path = scratch_path(spark, "upsert-staging")
-    staged = kept.unionByName(inserts)
-    T.write_partitioned(staged, staged_path, mode="overwrite", static=True)
-    staged = T.read_stored(spark, staged_path,
-                           T.with_partition(RAW_QUOTES).add("_op", "string"))  # new struct
-    summary = (staged.groupBy("_op", F.col(PARTITION_COLUMN).isNull().alias("_undated"))
-               .agg(F.count(F.lit(1)).alias("n")).collect())
-    counts: dict[str, int] = {}
-    for r in summary:
-        counts[r["_op"]] = counts.get(r["_op"], 0) + r["n"]
-    has_undated = any(r["_undated"] for r in summary)
-
-    dated = staged.filter(F.col(PARTITION_COLUMN).isNotNull()).drop("_op")
-    # A NULL quote_ts can never match, so those rows are only ever appended.
-    undated = staged.filter(F.col(PARTITION_COLUMN).isNull()).drop("_op")
-    if values is None or values:
-        T.write_partitioned(dated, target_path, mode="overwrite")
-    if has_undated:
-        T.write_partitioned(undated, target_path, mode="append")
-    src.unpersist()
-    return UpsertResult(input_rows, counts.get("inserted", 0), counts.get("updated", 0),
-                        staged_path)
+    recover_pending(spark, target_path)
+    res = stage_upsert(spark, target_path, batch, order_col, zone)
+    _commit(spark, target_path, "quotes", res.staging_path)
+    return res
 
 
 def append_rows(df: DataFrame, path: str, kind: str = "quotes", zone: str | None = None) -> None:
@@ -149,32 +212,22 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, kind: str =
     """Delete the rows for which ``predicate`` is true (NULL keeps the row).
 
     Only partitions holding a matching row are rewritten; a partition left
-    empty is removed explicitly (a dynamic overwrite would leave it as it
-    was). Returns the number of deleted rows.
+    empty is removed. Returns the number of deleted rows.
     """
+    recover_pending(spark, path)
     read = T.read_quotes if kind == "quotes" else T.read_json_rows
-    schema = T.RAW_QUOTES_STORED if kind == "quotes" else T.RAW_JSON_STORED
     table = read(spark, path)
     hit = F.coalesce(predicate, F.lit(False))
-    values, dates = _touched(spark, table.filter(hit))
+    values, dates = _touched(table.filter(hit))
     if values is not None and not values:
         return 0
     touched = _restrict(table, values, dates)
     staged_path = scratch_path(spark, "delete-staging")
-    T.write_partitioned(touched.withColumn("_hit", hit), staged_path, mode="overwrite", static=True)
-    staged = T.read_stored(spark, staged_path,
-                           T.StructType(list(schema.fields)).add("_hit", "boolean"))
-    deleted = staged.filter("_hit").count()
-    survivors = staged.filter(~F.col("_hit")).drop("_hit")
-    T.write_partitioned(survivors, path, mode="overwrite")
-    # Partitions whose every row was deleted, from the staged copy (the target
-    # has just been rewritten); only those names reach the driver.
-    emptied = (staged.groupBy(PARTITION_COLUMN).agg(F.bool_or(~F.col("_hit")).alias("_kept"))
-               .filter(~F.col("_kept")))
-    gone = [r[0] for r in emptied.collect()]
-    for d in gone:
-        name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
-        T.fs_delete(spark, f"{path.rstrip('/')}/{PARTITION_COLUMN}={name}")
+    flagged = touched.withColumn(OP, F.when(hit, F.lit("deleted")).otherwise(F.lit("kept")))
+    T.write_partitioned(flagged, staged_path, mode="overwrite", static=True)
+    deleted = (T.read_stored(spark, staged_path, _staged_schema(kind))
+               .filter(F.col(OP) == "deleted").count())
+    _commit(spark, path, kind, staged_path)
     return deleted
 
 

@@ -56,13 +56,13 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     if dates is not None:
         # The partition column is derived from quote_ts in the same zone
         # as quote_day, so this filter prunes RAW partitions and is exact.
-        raw = raw.filter(F.col(PARTITION_COLUMN).isin(list(dates)))
+        raw = raw.filter(T.in_partitions(list(dates)))
     stg = layers.stg_quotes(raw)
     core = layers.core_daily_quotes(stg, zone=zone, with_partition=True)
     mode_static = dates is None
     T.write_partitioned(core, wh.core, mode="overwrite", static=mode_static)
     core_t = T.read_stored(spark, wh.core, CORE_STORED)
-    core_new = core_t if dates is None else core_t.filter(F.col(PARTITION_COLUMN).isin(list(dates)))
+    core_new = core_t if dates is None else core_t.filter(T.in_partitions(list(dates)))
     T.write_partitioned(layers.mart_lowest_price(core_new), wh.mart, mode="overwrite",
                         static=mode_static)
     mart_t = T.read_stored(spark, wh.mart, CORE_STORED)
@@ -70,10 +70,9 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     if run_checks:
         raw_t = T.read_quotes(spark, wh.raw_quotes)
         if scope == "touched" and dates is not None:
-            part = F.col(PARTITION_COLUMN)
-            raw_t = raw_t.filter(part.isin(list(dates)) | part.isNull())
-            core_t = core_t.filter(part.isin(list(dates)))
-            mart_t = mart_t.filter(part.isin(list(dates)))
+            raw_t = raw_t.filter(T.in_partitions(list(dates) + [None]))
+            core_t = core_t.filter(T.in_partitions(list(dates)))
+            mart_t = mart_t.filter(T.in_partitions(list(dates)))
         checks = quality.run_checks({"stg": layers.stg_quotes(raw_t), "core": core_t,
                                      "mart": mart_t}, raw_from_stg=True)
         if fail_on_checks:

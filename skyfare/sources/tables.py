@@ -73,6 +73,14 @@ def fs_delete(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fs_list(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
 def fs_touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (overwriting one that exists)."""
     jvm = spark.sparkContext._jvm
@@ -96,6 +104,17 @@ def create_table(spark: SparkSession, path: str, schema: StructType,
     write_partitioned(empty, path, mode="overwrite", static=True)
 
 
+def in_partitions(values: list) -> Column:
+    """Predicate for ``quote_date`` in ``values``; a None entry selects the
+    NULL (default) partition."""
+    part = F.col(PARTITION_COLUMN)
+    dated = [v for v in values if v is not None]
+    cond = part.isin(dated) if dated else F.lit(False)
+    if len(dated) < len(values):
+        cond = cond | part.isNull()
+    return cond
+
+
 def partition_of(ts: Column, zone: str | None = None) -> Column:
     return local_date(ts, zone)
 

@@ -92,3 +92,25 @@ def test_delete_by_json_path(spark, tmp_path):
     assert mutation.delete_by_json_path(spark, path, "MEL-HKG", "$.airline", "XX") == 1
     left = T.read_json_rows(spark, path).select(F.to_json("response").alias("r")).collect()
     assert sorted(r.r for r in left) == ['{"airline":"XX","min_price":2}', '{"airline":"YY","min_price":1}']
+
+
+def test_driver_crash_between_stage_and_swap_is_recovered(spark, raw_df, tmp_path):
+    rows = [quote(qts="2024-01-01 10:00:00", price="100.00"),
+            quote(dest="PNH", qts="2024-01-02 10:00:00", price="50.00")]
+    crashed = setup(spark, raw_df, tmp_path / "a", rows)
+    clean = setup(spark, raw_df, tmp_path / "b", rows)
+    src = batch(spark, [quote(qts="2024-01-01 10:00:00", price="90.00"),
+                        quote(dest="SGN", qts="2024-01-03 10:00:00", price="70.00"),
+                        quote(qts=None, price="1.00")])
+    mutation.upsert_quotes(spark, clean, src)
+    # the driver staged the result and left its marker, then died
+    res = mutation.stage_upsert(spark, crashed, src)
+    assert sorted(res.touched, key=str) == sorted([dt.date(2024, 1, 1), dt.date(2024, 1, 3), None], key=str)
+    T.fs_touch(spark, mutation._marker(crashed, "quotes", res.staging_path))
+    assert table_rows(spark, crashed) != table_rows(spark, clean)
+    assert mutation.recover_pending(spark, crashed) == 1
+    assert table_rows(spark, crashed) == table_rows(spark, clean)
+    assert mutation.recover_pending(spark, crashed) == 0
+    # re-applying the same staged result again changes nothing
+    mutation._apply(spark, crashed, "quotes", res.staging_path)
+    assert table_rows(spark, crashed) == table_rows(spark, clean)

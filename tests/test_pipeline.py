@@ -23,9 +23,7 @@ def test_incremental_refresh_equals_full(spark, tmp_path):
     part = source.filter(F.dayofmonth(F.col("quote_ts")).isin(3, 4, 17))
     res = mutation.upsert_quotes(spark, inc.raw_quotes, part)
     mutation.upsert_quotes(spark, full.raw_quotes, part)
-    days = [r[0] for r in T.read_stored(spark, res.staging_path,
-                                        T.with_partition(T.RAW_QUOTES).add("_op", "string"))
-            .select("quote_date").distinct().collect()]
+    days = res.touched
     assert len(days) == 3
     # the fixture inserts NULL-destination rows on purpose: the gate must fail
     import pytest
