@@ -19,9 +19,9 @@ RAW_EVENTS = """raw AS (
          CAST(value AS DECIMAL(10,2)) AS price_aud,
          CAST(nullif(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 4, 3) AS INTEGER) AS stops,
          CASE event_id % 3 WHEN 0 THEN 'JQ' WHEN 1 THEN 'TR' WHEN 2 THEN 'ZZ' END AS airline_code,
-         'tequila' AS source,
+         '{SRC}' AS source,
          CAST(NULL AS VARCHAR) AS cabin
-  FROM events)"""
+  FROM events)""".replace("{SRC}", C.DEFAULT_SOURCE_NAME)
 
 RAW_LINEITEM = """raw AS (
   SELECT 'MEL' AS origin,
@@ -33,9 +33,9 @@ RAW_LINEITEM = """raw AS (
          CAST(l_extendedprice AS DECIMAL(10,2)) AS price_aud,
          CAST(nullif(l_linenumber - 1, 6) AS INTEGER) AS stops,
          l_returnflag AS airline_code,
-         'tequila' AS source,
+         '{SRC}' AS source,
          CAST(NULL AS VARCHAR) AS cabin
-  FROM lineitem)"""
+  FROM lineitem)""".replace("{SRC}", C.DEFAULT_SOURCE_NAME)
 
 STG = """stg AS (
   SELECT origin, destination, origin || '-' || destination AS route_code,
@@ -344,8 +344,8 @@ FROM d WHERE {_strip('dest')} <> ''"""),
        1 AS adults
 FROM grid"""),
     "parse_responses": with_([PARSED], "SELECT * FROM parsed"),
-    "build_quote_batch": with_([ROUTES_DIM, PAIRS, _grid(P.BATCH_HORIZON), PARSED], """SELECT g.origin, g.destination, g.departure_date, p.ingested_at AS quote_ts,
-       CAST(p.price AS DECIMAL(10,2)) AS price_aud, p.stops, p.airline_code, 'tequila' AS source
+    "build_quote_batch": with_([ROUTES_DIM, PAIRS, _grid(P.BATCH_HORIZON), PARSED], f"""SELECT g.origin, g.destination, g.departure_date, p.ingested_at AS quote_ts,
+       CAST(p.price AS DECIMAL(10,2)) AS price_aud, p.stops, p.airline_code, '{C.DEFAULT_SOURCE_NAME}' AS source
 FROM grid g
 JOIN parsed p ON g.origin = p.origin AND g.destination = p.destination
              AND g.departure_date = p.departure_date"""),
@@ -360,8 +360,8 @@ WHERE NOT (route_code = 'MEL-HKG' AND airline = 'XX')
     "delete_by_source": with_([RAW_EVENTS], "SELECT * FROM raw"),
     "upsert_quotes": with_(UPSERT, UPSERT_BODY),
     "refresh_layers": with_(EVENTS_LAYERS, "SELECT * FROM mart"),
-    "ingest_landed": with_([PARSED], """SELECT origin, destination, departure_date, ingested_at AS quote_ts,
-       CAST(price AS DECIMAL(10,2)) AS price_aud, stops, airline_code, 'tequila' AS source,
+    "ingest_landed": with_([PARSED], f"""SELECT origin, destination, departure_date, ingested_at AS quote_ts,
+       CAST(price AS DECIMAL(10,2)) AS price_aud, stops, airline_code, '{C.DEFAULT_SOURCE_NAME}' AS source,
        CAST(NULL AS VARCHAR) AS cabin
 FROM parsed"""),
 })

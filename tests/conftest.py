@@ -31,7 +31,7 @@ def d(s):
 
 
 def quote(origin="MEL", dest="BKK", dep="2024-06-01", qts="2024-01-01 10:00:00", price="100.00",
-          stops=0, airline="JQ", source="tequila", cabin=None):
+          stops=0, airline="JQ", source="feed", cabin=None):
     return (origin, dest, d(dep) if dep else None, ts(qts) if qts else None,
             Decimal(price) if price is not None else None, stops, airline, source, cabin)
 

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from skyfare import constants as C
 from skyfare.operators import ingest
 
 
@@ -42,7 +43,7 @@ def test_batch_stamps_ingestion_time(spark):
     b = ingest.build_quote_batch(grid, ingest.parse_responses(r)).collect()
     assert len(b) == 1
     assert b[0].quote_ts == dt.datetime(2024, 1, 1) and str(b[0].price_aud) == "12.35"
-    assert b[0].stops == 1 and b[0].source == "tequila"
+    assert b[0].stops == 1 and b[0].source == C.DEFAULT_SOURCE_NAME
 
 
 def test_cheapest_offer_rule(spark):

@@ -42,10 +42,10 @@ def test_upsert_semantics(spark, raw_df, tmp_path):
     assert (res.input_rows, res.inserted, res.updated) == (5, 3, 2)
     got = table_rows(spark, path)
     d, t = dt.date(2024, 6, 1), ts("2024-01-01 10:00:00")
-    assert ("MEL", "BKK", d, t, Decimal("80.00"), None, None, "tequila", "Y") in got
-    assert ("MEL", "BKK", d, t, Decimal("80.00"), None, None, "tequila", "J") in got
-    assert ("MEL", "PNH", d, ts("2024-01-02 10:00:00"), Decimal("50.00"), 0, "JQ", "tequila", None) in got
-    assert ("MEL", "SGN", d, ts("2024-01-01 11:00:00"), Decimal("70.00"), 0, "JQ", "tequila", None) in got
+    assert ("MEL", "BKK", d, t, Decimal("80.00"), None, None, "feed", "Y") in got
+    assert ("MEL", "BKK", d, t, Decimal("80.00"), None, None, "feed", "J") in got
+    assert ("MEL", "PNH", d, ts("2024-01-02 10:00:00"), Decimal("50.00"), 0, "JQ", "feed", None) in got
+    assert ("MEL", "SGN", d, ts("2024-01-01 11:00:00"), Decimal("70.00"), 0, "JQ", "feed", None) in got
     assert sum(1 for r in got if r[1] is None) == 2
     assert len(got) == 6
 
@@ -69,7 +69,7 @@ def test_upsert_into_missing_table_and_null_timestamp(spark, tmp_path):
 
 def test_delete_keeps_null_predicate_rows_and_drops_empty_partitions(spark, raw_df, tmp_path):
     rows = [quote(qts="2024-01-01 10:00:00", source="ingestion_test"),
-            quote(qts="2024-01-02 10:00:00", source="tequila"),
+            quote(qts="2024-01-02 10:00:00", source="feed"),
             quote(qts="2024-01-02 11:00:00", source=None)]
     path = setup(spark, raw_df, tmp_path, rows)
     n = mutation.delete_by_source(spark, path, "ingestion_test")
