@@ -76,7 +76,8 @@ def _any_null(cols: list[str]) -> Column:
 
 
 def _staged_schema(kind: str) -> StructType:
-    base = T.RAW_QUOTES_STORED if kind == "quotes" else T.RAW_JSON_STORED
+    """``kind`` is ``<table>`` or ``<table>-delete``, table ``quotes``/``json``."""
+    base = T.RAW_QUOTES_STORED if kind.split("-")[0] == "quotes" else T.RAW_JSON_STORED
     return StructType(list(base.fields)).add(OP, "string")
 
 
@@ -95,6 +96,8 @@ def _apply(spark: SparkSession, target: str, kind: str, staged_path: str) -> Non
     staged = T.read_stored(spark, staged_path, _staged_schema(kind))
     keep = staged.filter(F.col(OP) != "deleted").drop(OP)
     T.write_partitioned(keep, target, mode="overwrite")
+    if not kind.endswith("-delete"):
+        return      # an upsert never empties a partition
     # A partition whose every row was deleted is not touched by a dynamic
     # overwrite, so it is removed explicitly; only those names reach the driver.
     emptied = (staged.groupBy(PARTITION_COLUMN)
@@ -227,7 +230,7 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, kind: str =
     T.write_partitioned(flagged, staged_path, mode="overwrite", static=True)
     deleted = (T.read_stored(spark, staged_path, _staged_schema(kind))
                .filter(F.col(OP) == "deleted").count())
-    _commit(spark, path, kind, staged_path)
+    _commit(spark, path, f"{kind}-delete", staged_path)
     return deleted
 
 
