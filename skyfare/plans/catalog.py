@@ -368,6 +368,19 @@ def q_mart_by_name(spark, sf_dir):
     return present(spark.table(names[T.MART_TABLE]).drop(PARTITION_COLUMN))
 
 
+def q_daily_run(spark, sf_dir):
+    """Two scheduled runs over landed responses (first the morning, then the
+    rest of each day): the second refreshes only the dates it changed."""
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    landing, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "daily-checkpoint")
+    resp = fx.responses_from_events(spark, sf_dir)
+    stream_ingest.land_responses(resp.filter(F.hour("ingested_at") < 12), landing)
+    pipeline.daily_run(spark, wh, landing, ckpt)
+    stream_ingest.land_responses(resp.filter(F.hour("ingested_at") >= 12), landing)
+    pipeline.daily_run(spark, wh, landing, ckpt)
+    return present(pipeline.read_mart(spark, wh).drop(PARTITION_COLUMN))
+
+
 QUERIES = {
     "stg_quotes": q_stg_quotes,
     "core_daily_quotes": q_core_daily_quotes,
@@ -414,4 +427,5 @@ QUERIES = {
     "latest_snapshot_sql": q_latest_snapshot_sql,
     "usage_daily_rollup_sql": q_usage_daily_rollup_sql,
     "mart_by_name": q_mart_by_name,
+    "daily_run": q_daily_run,
 }

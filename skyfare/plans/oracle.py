@@ -371,3 +371,9 @@ for _k in ["cheapest_latest", "routes_in_window", "price_trend", "volume_by_quot
            "cheapest_recent", "latest_snapshot", "usage_daily_rollup"]:
     ORACLE[f"{_k}_sql"] = ORACLE[_k]
 ORACLE["mart_by_name"] = ORACLE["mart_lowest_price"]
+
+ORACLE["daily_run"] = with_([PARSED, f"""raw AS (
+  SELECT origin, destination, departure_date, ingested_at AS quote_ts,
+         CAST(price AS DECIMAL(10,2)) AS price_aud, stops, airline_code,
+         '{C.DEFAULT_SOURCE_NAME}' AS source, CAST(NULL AS VARCHAR) AS cabin
+  FROM parsed)""", STG, CORE, MART], "SELECT * FROM mart")

@@ -92,3 +92,20 @@ def setup_tables(spark: SparkSession, wh: Warehouse, replace: bool = False) -> N
     """Create the raw tables empty, with their declared schemas."""
     T.create_table(spark, wh.raw_quotes, T.RAW_QUOTES_STORED, replace=replace)
     T.create_table(spark, wh.raw_json, T.RAW_JSON_STORED, replace=replace)
+
+
+def daily_run(spark: SparkSession, wh: Warehouse, landing: str, checkpoint: str,
+              zone: str | None = None, fail_on_checks: bool = True):
+    """The scheduled job: load newly landed responses (archive + upsert),
+    then rebuild CORE and MART for exactly the quote dates that changed and
+    run the checks on them (the gate fails the run)."""
+    from skyfare.streaming.ingest import ingest_landed
+
+    stats = ingest_landed(spark, wh, landing, checkpoint, zone=zone)
+    refreshed = None
+    if stats.touched:
+        full = not T.fs_exists(spark, wh.core)
+        refreshed = refresh_layers(spark, wh, zone=zone,
+                                   dates=None if full else sorted(stats.touched, key=str),
+                                   fail_on_checks=fail_on_checks)
+    return stats, refreshed

@@ -48,6 +48,7 @@ class IngestStats:
     quotes: int = 0
     inserted: int = 0
     updated: int = 0
+    touched: set = field(default_factory=set)   # quote_date partitions rewritten
     history: list = field(default_factory=list)
 
 
@@ -114,6 +115,12 @@ def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
         stats.quotes += res.input_rows
         stats.inserted += res.inserted
         stats.updated += res.updated
+        if res.touched is not None:
+            stats.touched.update(res.touched)
+        else:   # above the literal-list bound: fall back to the staged copy
+            stats.touched.update(r[0] for r in T.read_stored(
+                spark, res.staging_path, mutation._staged_schema("quotes"))
+                .select("quote_date").distinct().toLocalIterator())
         stats.history.append((epoch, n, res.input_rows))
     finally:
         batch.unpersist()

@@ -60,5 +60,9 @@ def test_query_matches_oracle(spark, duck, key):
     res = duck.execute(E.oracle_sql()[key])
     o_cols = [d[0] for d in res.description]
     o_rows = res.fetchall()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for python_eval in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                        "MapInPandas", "PythonUDF"):
+        assert python_eval not in plan
     assert sorted(s_cols) == sorted(o_cols)
     assert _rows(s_cols, s_rows) == _rows(o_cols, o_rows)
