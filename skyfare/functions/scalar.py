@@ -18,9 +18,10 @@ def strip_ws(c: Column) -> Column:
 
 
 def split_first(c: Column, sep: str = "-") -> tuple[Column, Column]:
-    """Split on the first ``sep`` only: ``MEL-A-B`` -> (``MEL``, ``A-B``)."""
+    """Split on the first ``sep`` only: ``MEL-A-B`` -> (``MEL``, ``A-B``).
+    Without a separator the second part is NULL (never an index error)."""
     parts = F.split(c, _regex_literal(sep), 2)
-    return parts.getItem(0), parts.getItem(1)
+    return F.get(parts, 0), F.get(parts, 1)
 
 
 def _regex_literal(s: str) -> str:

@@ -95,3 +95,18 @@ def test_replayed_epoch_archives_once(spark, tmp_path):
     assert T.read_json_rows(spark, wh.raw_json).count() == priced
     assert stream.archive_once(spark, wh, resp, 7, markers) == "skipped"
     assert T.read_json_rows(spark, wh.raw_json).count() == priced
+
+
+def test_stream_with_grid_keeps_grid_cells_only(spark, tmp_path):
+    from skyfare.operators import ingest as ing
+    from skyfare.operators import routes as rt
+    wh = Warehouse(str(tmp_path / "wh"))
+    landing = str(tmp_path / "landing")
+    stream.land_responses(fx.responses_from_events(spark, SF001), landing)
+    pairs = spark.createDataFrame([("MEL", "CLICK")], "origin string, destination string")
+    grid = ing.request_grid(pairs, "2024-05-31", 2)
+    st = stream.ingest_landed(spark, wh, landing, str(tmp_path / "ckpt"), grid=grid)
+    raw = T.read_quotes(spark, wh.raw_quotes)
+    assert raw.count() == st.inserted > 0
+    assert raw.filter("destination <> 'CLICK' OR departure_date > DATE'2024-06-02'").count() == 0
+    assert rt  # imported for symmetry with the grid builder
