@@ -61,6 +61,8 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     core = layers.core_daily_quotes(stg, zone=zone, with_partition=True)
     mode_static = dates is None
     T.write_partitioned(core, wh.core, mode="overwrite", static=mode_static)
+    if dates is not None:
+        _drop_vanished(spark, wh, raw, list(dates))
     core_t = T.read_stored(spark, wh.core, CORE_STORED)
     core_new = core_t if dates is None else core_t.filter(T.in_partitions(list(dates)))
     T.write_partitioned(layers.mart_lowest_price(core_new), wh.mart, mode="overwrite",
@@ -80,6 +82,21 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     return RefreshResult(wh.core, wh.mart, checks)
 
 
+def _drop_vanished(spark: SparkSession, wh: Warehouse, raw_touched: DataFrame,
+                   dates: list) -> None:
+    """Touched dates with no RAW rows left produce no CORE rows, and a dynamic
+    overwrite would leave their old CORE/MART partitions in place: remove
+    them. A CORE partition exists exactly when RAW has rows for that date,
+    so only the partition column of the touched RAW partitions is read."""
+    present = {r[0] for r in raw_touched.select(PARTITION_COLUMN).distinct().collect()}
+    for d in dates:
+        if d in present:
+            continue
+        name = "__HIVE_DEFAULT_PARTITION__" if d is None else str(d)[:10]
+        for table in (wh.core, wh.mart):
+            T.fs_delete(spark, f"{table.rstrip('/')}/{PARTITION_COLUMN}={name}")
+
+
 def read_mart(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return T.read_stored(spark, wh.mart, CORE_STORED)
 

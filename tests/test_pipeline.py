@@ -110,3 +110,21 @@ def test_stream_with_grid_keeps_grid_cells_only(spark, tmp_path):
     assert raw.count() == st.inserted > 0
     assert raw.filter("destination <> 'CLICK' OR departure_date > DATE'2024-06-02'").count() == 0
     assert rt  # imported for symmetry with the grid builder
+
+
+def test_incremental_refresh_drops_emptied_dates(spark, tmp_path):
+    wh = Warehouse(str(tmp_path / "wh"))
+    T.write_quotes(fx.quotes_from_events(spark, SF001), wh.raw_quotes, mode="overwrite", static=True)
+    pipeline.refresh_layers(spark, wh)
+    day = "2024-01-05"
+    gone = mutation.delete_where(spark, wh.raw_quotes, F.to_date("quote_ts") == F.lit(day).cast("date"))
+    assert gone > 0
+    import datetime as dt
+    pipeline.refresh_layers(spark, wh, dates=[dt.date(2024, 1, 5)])
+    mart = pipeline.read_mart(spark, wh)
+    assert mart.filter(F.to_date("quote_day") == F.lit(day).cast("date")).count() == 0
+    full = Warehouse(str(tmp_path / "full"))
+    T.write_quotes(T.read_quotes(spark, wh.raw_quotes), full.raw_quotes, mode="overwrite", static=True)
+    pipeline.refresh_layers(spark, full)
+    assert collect_sorted(mart.select(*CORE_COLUMNS)) == \
+        collect_sorted(pipeline.read_mart(spark, full).select(*CORE_COLUMNS))
