@@ -24,9 +24,14 @@ def _ddl(schema: StructType) -> str:
 def _table(spark: SparkSession, full_name: str, schema: StructType, path: str,
            partitioned: bool = True) -> None:
     part = f" PARTITIONED BY ({PARTITION_COLUMN})" if partitioned else ""
-    # External table (explicit LOCATION): dropping it removes only the catalog
-    # entry, so re-pointing a name at another warehouse never touches data.
-    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+    # Our tables are external (explicit LOCATION): dropping one removes only
+    # the catalog entry, so re-pointing a name never touches data. A managed
+    # table of the same name is someone else's data: refuse.
+    if spark.catalog.tableExists(full_name):
+        kind = spark.catalog.getTable(full_name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{full_name} exists as a {kind} table; not replacing it")
+        spark.sql(f"DROP TABLE {full_name}")
     spark.sql(f"CREATE TABLE {full_name} ({_ddl(schema)}) USING parquet{part} "
               f"LOCATION '{path}'")
     if partitioned:

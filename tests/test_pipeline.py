@@ -128,3 +128,19 @@ def test_incremental_refresh_drops_emptied_dates(spark, tmp_path):
     pipeline.refresh_layers(spark, full)
     assert collect_sorted(mart.select(*CORE_COLUMNS)) == \
         collect_sorted(pipeline.read_mart(spark, full).select(*CORE_COLUMNS))
+
+
+def test_catalog_refuses_to_replace_managed_table(spark, tmp_path):
+    import pytest
+    from skyfare.sources.catalog import register_catalog
+    spark.sql("CREATE DATABASE IF NOT EXISTS CORE")
+    spark.sql("DROP TABLE IF EXISTS CORE.core_daily_quotes")
+    spark.sql("CREATE TABLE CORE.core_daily_quotes (x int) USING parquet")
+    wh = Warehouse(str(tmp_path / "wh"))
+    T.write_quotes(fx.quotes_from_events(spark, SF001), wh.raw_quotes, mode="overwrite", static=True)
+    pipeline.refresh_layers(spark, wh)
+    try:
+        with pytest.raises(ValueError):
+            register_catalog(spark, wh)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS CORE.core_daily_quotes")
