@@ -15,8 +15,10 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     s = build_session("local[4]", 4, app_name="skyfare-tests",
                       extra={"spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="skyfare-wh-"),
                              "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024)})
     yield s
     s.stop()
