@@ -129,8 +129,14 @@ def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
 def ingest_landed(spark: SparkSession, wh: Warehouse, landing: str, checkpoint: str,
                   grid: DataFrame | None = None, store_json: bool = True,
                   source_name: str = C.DEFAULT_SOURCE_NAME, zone: str | None = None,
-                  max_files_per_trigger: int | None = None) -> IngestStats:
-    """Load every landed file not loaded before, then stop."""
+                  max_files_per_trigger: int | None = None,
+                  archive_dir: str | None = None) -> IngestStats:
+    """Load every landed file not loaded before, then stop.
+
+    ``archive_dir``: move each landed file there once its batch is committed
+    (the file source's ``cleanSource=archive``), so the landing folder, which
+    the source lists on every trigger, does not grow without bound.
+    """
     stats = IngestStats()
     markers = f"{checkpoint.rstrip('/')}/_archive"
 
@@ -141,6 +147,8 @@ def ingest_landed(spark: SparkSession, wh: Warehouse, landing: str, checkpoint:
               .option("timestampFormat", TIMESTAMP_FORMAT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.json(landing)
     q = (stream.writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint)

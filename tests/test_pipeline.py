@@ -144,3 +144,17 @@ def test_catalog_refuses_to_replace_managed_table(spark, tmp_path):
             register_catalog(spark, wh)
     finally:
         spark.sql("DROP TABLE IF EXISTS CORE.core_daily_quotes")
+
+
+def test_stream_archives_processed_landed_files(spark, tmp_path):
+    import glob
+    wh = Warehouse(str(tmp_path / "wh"))
+    landing, ckpt, arch = str(tmp_path / "landing"), str(tmp_path / "ckpt"), str(tmp_path / "arch")
+    resp = fx.responses_from_events(spark, SF001)
+    stream.land_responses(resp.filter("hour(ingested_at) < 12"), landing)
+    s1 = stream.ingest_landed(spark, wh, landing, ckpt, archive_dir=arch)
+    stream.land_responses(resp.filter("hour(ingested_at) >= 12"), landing)
+    s2 = stream.ingest_landed(spark, wh, landing, ckpt, archive_dir=arch)
+    # files of committed batches move out of the landing folder (one run behind)
+    assert len(glob.glob(arch + "/**/*.txt", recursive=True)) >= 1
+    assert s1.responses + s2.responses == resp.count()
