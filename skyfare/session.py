@@ -58,6 +58,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             return existing
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is invisible to other executors.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
+                               "cluster's distributed filesystem) before writing")
         root = tempfile.mkdtemp(prefix="skyfare-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
