@@ -3,6 +3,8 @@ non-empty source, expand to the request grid."""
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,5 +93,5 @@ def try_table(spark: SparkSession, name_or_path: str) -> DataFrame | None:
         df.schema  # force analysis
         return df
     except Exception as e:  # noqa: BLE001 - any read failure means "fall back"
-        print(f"[skyfare] WARN could not read routes from {name_or_path}: {e}")
+        logging.getLogger("skyfare").warning("could not read routes from %s: %s", name_or_path, e)
         return None
