@@ -133,8 +133,10 @@ def test_incremental_refresh_drops_emptied_dates(spark, tmp_path):
 def test_catalog_refuses_to_replace_managed_table(spark, tmp_path):
     import pytest
     from skyfare.sources.catalog import register_catalog
-    spark.sql("CREATE DATABASE IF NOT EXISTS CORE")
-    spark.sql("DROP TABLE IF EXISTS CORE.core_daily_quotes")
+    # a CORE namespace of its own (earlier tests may have registered external
+    # tables in it; dropping those removes catalog entries only)
+    spark.sql("DROP DATABASE IF EXISTS CORE CASCADE")
+    spark.sql(f"CREATE DATABASE CORE LOCATION '{tmp_path / 'core_db'}'")
     spark.sql("CREATE TABLE CORE.core_daily_quotes (x int) USING parquet")
     wh = Warehouse(str(tmp_path / "wh"))
     T.write_quotes(fx.quotes_from_events(spark, SF001), wh.raw_quotes, mode="overwrite", static=True)
