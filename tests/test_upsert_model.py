@@ -55,3 +55,23 @@ def test_upsert_matches_sequential_merge(spark, tmp_path_factory, target, batch)
     got = collect_sorted(T.read_quotes(spark, path).select(*RAW_QUOTE_COLUMNS))
     assert got == merge_model(target, batch)
     assert res.input_rows == len(batch)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(target=st.lists(st.tuples(ORIGINS, DESTS, DEPS, TSS, PRICES, STOPS, AIRLINES,
+                                 st.sampled_from(["s1", "s2", None]), st.sampled_from(["Y", None])),
+                       min_size=1, max_size=8))
+def test_delete_matches_filter_model(spark, tmp_path_factory, target):
+    import os
+    path = str(tmp_path_factory.mktemp("del") / "raw")
+    T.write_quotes(spark.createDataFrame(target, RAW_QUOTES), path, mode="overwrite", static=True)
+    n = mutation.delete_by_source(spark, path, "s1")
+    keep = [r for r in target if r[7] != "s1"]          # NULL source keeps the row
+    assert n == len(target) - len(keep)
+    got = collect_sorted(T.read_quotes(spark, path).select(*RAW_QUOTE_COLUMNS))
+    assert got == sorted(keep, key=lambda t: tuple((x is None, str(x)) for x in t))
+    # no partition directory is left without rows
+    dates = {r[3].date() if r[3] else None for r in keep}
+    dirs = {d for d in os.listdir(path) if d.startswith("quote_date=")}
+    assert len(dirs) == len(dates)
