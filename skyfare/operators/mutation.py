@@ -81,6 +81,21 @@ def _staged_schema(kind: str) -> StructType:
     return StructType(list(base.fields)).add(OP, "string")
 
 
+def write_staged(df: DataFrame, path: str) -> None:
+    """Stage rows as plain Parquet (``quote_date`` an ordinary column).
+
+    Staging's layout does not matter, because the swap re-lays the rows
+    out, so staging skips the partitioned writer's rebalance shuffle:
+    each task writes its rows once, and the touched data is shuffled once
+    (at the swap), not twice.
+    """
+    df.write.mode("overwrite").parquet(path)
+
+
+def read_staged(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return spark.read.schema(_staged_schema(kind)).parquet(path)
+
+
 def _marker(target: str, kind: str, staged: str) -> str:
     token = base64.urlsafe_b64encode(staged.encode()).decode().rstrip("=")
     return f"{target.rstrip('/')}/{PENDING_DIR}/{kind}__{token}"
@@ -93,7 +108,7 @@ def _staged_of(marker_name: str) -> tuple[str, str]:
 
 def _apply(spark: SparkSession, target: str, kind: str, staged_path: str) -> None:
     """Swap the touched partitions for their staged content (repeatable)."""
-    staged = T.read_stored(spark, staged_path, _staged_schema(kind))
+    staged = read_staged(spark, staged_path, kind)
     keep = staged.filter(F.col(OP) != "deleted").drop(OP)
     T.write_partitioned(keep, target, mode="overwrite")
     if not kind.endswith("-delete"):
@@ -175,11 +190,10 @@ def stage_upsert(spark: SparkSession, target_path: str, batch: DataFrame,
             PARTITION_COLUMN, F.lit("inserted").alias(OP))
 
         staged_path = scratch_path(spark, "upsert-staging")
-        T.write_partitioned(kept.unionByName(inserts), staged_path, mode="overwrite",
-                            static=True)
+        write_staged(kept.unionByName(inserts), staged_path)
     finally:
         src.unpersist()
-    staged = T.read_stored(spark, staged_path, _staged_schema("quotes"))
+    staged = read_staged(spark, staged_path, "quotes")
     counts = {r[OP]: r["n"] for r in
               staged.groupBy(OP).agg(F.count(F.lit(1)).alias("n")).collect()}
     return UpsertResult(input_rows, counts.get("inserted", 0), counts.get("updated", 0),
@@ -227,8 +241,8 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, kind: str =
     touched = _restrict(table, values, dates)
     staged_path = scratch_path(spark, "delete-staging")
     flagged = touched.withColumn(OP, F.when(hit, F.lit("deleted")).otherwise(F.lit("kept")))
-    T.write_partitioned(flagged, staged_path, mode="overwrite", static=True)
-    deleted = (T.read_stored(spark, staged_path, _staged_schema(kind))
+    write_staged(flagged, staged_path)
+    deleted = (read_staged(spark, staged_path, kind)
                .filter(F.col(OP) == "deleted").count())
     _commit(spark, path, f"{kind}-delete", staged_path)
     return deleted

@@ -118,8 +118,8 @@ def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
         if res.touched is not None:
             stats.touched.update(res.touched)
         else:   # above the literal-list bound: fall back to the staged copy
-            stats.touched.update(r[0] for r in T.read_stored(
-                spark, res.staging_path, mutation._staged_schema("quotes"))
+            stats.touched.update(r[0] for r in mutation.read_staged(
+                spark, res.staging_path, "quotes")
                 .select("quote_date").distinct().toLocalIterator())
         stats.history.append((epoch, n, res.input_rows))
     finally:
