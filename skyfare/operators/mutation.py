@@ -144,55 +144,70 @@ def recover_pending(spark: SparkSession, target: str) -> int:
     return len(names)
 
 
+def upsert_frame(spark: SparkSession, target_path: str, src: DataFrame,
+                 order_col: str = "seq", zone: str | None = None
+                 ) -> tuple[DataFrame, list | None, DataFrame]:
+    """The new content of every partition the batch touches, rows flagged
+    kept / updated / inserted; the touched partition values; and the
+    de-duplicated batch, which is persisted because both joins read it (the
+    caller unpersists it once the frame is written).
+
+    ``src`` holds the key, the updatable columns and ``order_col``.
+    """
+    s = (src.withColumn("price_aud", F.col("price_aud").cast(PRICE))
+         .withColumn(PARTITION_COLUMN, T.partition_of(F.col("quote_ts"), zone)))
+
+    keyed = s.filter(~_any_null(QUOTE_KEY))
+    nullkey = s.filter(_any_null(QUOTE_KEY)).drop(order_col)
+    last = Window.partitionBy(*QUOTE_KEY).orderBy(F.col(order_col).desc_nulls_last())
+    dedup = (keyed.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1")
+             .drop("_rn", order_col)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    # Every partition that receives a row is rewritten, so the touched set
+    # comes from all source rows (NULL-key inserts and NULL dates included).
+    values, dates = _touched(s)
+    target_all = (T.read_quotes(spark, target_path) if T.fs_exists(spark, target_path)
+                  else empty_frame(spark, T.RAW_QUOTES_STORED))
+    target = _restrict(target_all, values, dates)
+
+    m_src = dedup.select(*QUOTE_KEY, *[F.col(c).alias(f"_s_{c}") for c in UPDATABLE],
+                         F.lit(True).alias("_matched"))
+    joined = target.join(m_src, QUOTE_KEY, "left")
+    m = F.col("_matched").isNotNull()
+    kept = joined.select(
+        *QUOTE_KEY,
+        *[F.when(m, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in UPDATABLE],
+        "cabin", PARTITION_COLUMN,
+        F.when(m, F.lit("updated")).otherwise(F.lit("kept")).alias(OP))
+    new = dedup.join(target.select(*QUOTE_KEY), QUOTE_KEY, "left_anti")
+    inserts = new.unionByName(nullkey).select(
+        *QUOTE_KEY, *UPDATABLE, F.lit(None).cast("string").alias("cabin"),
+        PARTITION_COLUMN, F.lit("inserted").alias(OP))
+    return kept.unionByName(inserts), values, dedup
+
+
 def stage_upsert(spark: SparkSession, target_path: str, batch: DataFrame,
                  order_col: str | None = "seq", zone: str | None = None) -> UpsertResult:
     """Steps 1-2 of the upsert: compute and stage the touched partitions."""
     cols = [c for c in QUOTE_KEY + UPDATABLE]
     # The batch plan is used three times (count, touched dates, staging):
     # keep it for the duration of the upsert; lost blocks are recomputed.
-    src = batch.select(*cols, *([order_col] if order_col else [])).persist(
+    cached = batch.select(*cols, *([order_col] if order_col else [])).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        input_rows = src.count()
+        input_rows = cached.count()
+        src = cached
         if order_col is None:
             order_col = "seq"
-            src_o = src.withColumn(order_col, F.monotonically_increasing_id())
-        else:
-            src_o = src
-        s = (src_o.withColumn("price_aud", F.col("price_aud").cast(PRICE))
-             .withColumn(PARTITION_COLUMN, T.partition_of(F.col("quote_ts"), zone)))
-
-        keyed = s.filter(~_any_null(QUOTE_KEY))
-        nullkey = s.filter(_any_null(QUOTE_KEY)).drop(order_col)
-        last = Window.partitionBy(*QUOTE_KEY).orderBy(F.col(order_col).desc_nulls_last())
-        dedup = (keyed.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1")
-                 .drop("_rn", order_col))
-
-        # Every partition that receives a row is rewritten, so the touched set
-        # comes from all source rows (NULL-key inserts and NULL dates included).
-        values, dates = _touched(s)
-        target_all = (T.read_quotes(spark, target_path) if T.fs_exists(spark, target_path)
-                      else empty_frame(spark, T.RAW_QUOTES_STORED))
-        target = _restrict(target_all, values, dates)
-
-        m_src = dedup.select(*QUOTE_KEY, *[F.col(c).alias(f"_s_{c}") for c in UPDATABLE],
-                             F.lit(True).alias("_matched"))
-        joined = target.join(m_src, QUOTE_KEY, "left")
-        m = F.col("_matched").isNotNull()
-        kept = joined.select(
-            *QUOTE_KEY,
-            *[F.when(m, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in UPDATABLE],
-            "cabin", PARTITION_COLUMN,
-            F.when(m, F.lit("updated")).otherwise(F.lit("kept")).alias(OP))
-        new = dedup.join(target.select(*QUOTE_KEY), QUOTE_KEY, "left_anti")
-        inserts = new.unionByName(nullkey).select(
-            *QUOTE_KEY, *UPDATABLE, F.lit(None).cast("string").alias("cabin"),
-            PARTITION_COLUMN, F.lit("inserted").alias(OP))
-
-        staged_path = scratch_path(spark, "upsert-staging")
-        write_staged(kept.unionByName(inserts), staged_path)
+            src = cached.withColumn(order_col, F.monotonically_increasing_id())
+        frame, values, dedup = upsert_frame(spark, target_path, src, order_col, zone)
+        try:
+            staged_path = scratch_path(spark, "upsert-staging")
+            write_staged(frame, staged_path)
+        finally:
+            dedup.unpersist()
     finally:
-        src.unpersist()
+        cached.unpersist()
     staged = read_staged(spark, staged_path, "quotes")
     counts = {r[OP]: r["n"] for r in
               staged.groupBy(OP).agg(F.count(F.lit(1)).alias("n")).collect()}
