@@ -150,4 +150,4 @@ def test_window_helpers():
     serving.check_window("2024-06-01", "2024-06-01")            # a one-day window is valid
     with pytest.raises(ValueError):
         serving.check_window(dt.date(2024, 6, 2), dt.date(2024, 6, 1))
-    assert serving.default_window("2024-01-30") == (dt.date(2024, 1, 30), dt.date(2024, 3, 1))
+    assert serving.default_window("2024-01-30") == (dt.date(2024, 1, 30), dt.date(2024, 2, 29))
