@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyfare.llm import line_dedup, sharding, url_filter
+from skyfare.llm import line_dedup, quality_rules, sharding, url_filter
 from skyfare.llm.common import table
 
 
@@ -14,11 +14,15 @@ def op6_sharding(spark, sf_dir):
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark, sf_dir):
+    return quality_rules.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark, sf_dir):
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_sharding, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_sharding, op8_quality_rules, op10_url_filter)}
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
