@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from skyfare.llm import line_dedup, quality_rules, sharding, url_filter
+import public_tokenizers
+
+from skyfare.llm import bpe, line_dedup, packing, quality_rules, sharding, url_filter
 from skyfare.llm.common import table
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark, sf_dir):
+    return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_sharding(spark, sf_dir):
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -18,11 +31,15 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark, sf_dir):
+    return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_url_filter(spark, sf_dir):
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_sharding, op8_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_bpe, op6_sharding, op8_quality_rules, op9_packing, op10_url_filter)}
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
