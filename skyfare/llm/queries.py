@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyfare.llm import bpe, embedding_dedup, line_dedup, packing, quality_rules, sharding, url_filter
+from skyfare.llm import (bpe, embedding_dedup, jaccard_join, line_dedup, packing, quality_rules,
+                         sharding, url_filter)
 from skyfare.llm.common import table
 
 
@@ -23,6 +24,10 @@ def op3_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_embedding_dedup(spark, sf_dir):
     return embedding_dedup.digest(table(spark, sf_dir, "embeddings"))
 
@@ -43,7 +48,7 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_bpe, op5_embedding_dedup, op6_sharding, op8_quality_rules, op9_packing, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_bpe, op4_jaccard_join, op5_embedding_dedup, op6_sharding, op8_quality_rules, op9_packing, op10_url_filter)}
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
