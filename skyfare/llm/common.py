@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +56,58 @@ def arrow_batch(spark: SparkSession, rows: int):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def block_pairs(rows: DataFrame, key: list[str], member: str, block: int) -> DataFrame:
+    """Deal the rows of each key out so that any two meet in one unit
+    (key, x, y) of at most about ``block`` rows. A key of up to ``block`` rows
+    is one unit; a larger one is cut into blocks that meet two by two, with
+    ``side`` 1 or 2 (0: both). Only sizes of large keys are joined back."""
+    large = staged(rows.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > block)
+                   .withColumn("blocks", F.ceil(2 * F.col("n") / block).cast("int")).drop("n"),
+                   "large-keys")
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = (rows.join(large, key, "left")
+             .withColumn("own", F.pmod(F.xxhash64(member), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other"),
+                           "side": F.when(F.col("own") < F.col("other"), 1)
+                           .when(F.col("own") > F.col("other"), 2).otherwise(0)}))
+    unit = [*key, "x", "y"]
+    return (dealt.drop("blocks", "own", "other").repartition(*unit)
+            .sortWithinPartitions(*unit, member))
+
+
+def units(batches: Iterator[pa.RecordBatch], unit: list[str]) -> Iterator[list[list[dict]]]:
+    """For each batch, the units that it completes, of rows sorted by ``unit``."""
+    held, at = [], None
+    for batch in batches:
+        done = []
+        for r in batch.to_pylist():
+            k = tuple(r[c] for c in unit)
+            if k != at:
+                if held:
+                    done.append(held)
+                held, at = [], k
+            held.append(r)
+        yield done
+    if held:
+        yield [held]
+
+
+def forest(links: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning forest of a symmetric boolean link matrix over ``ids``."""
+    seen = np.zeros(len(ids), bool)
+    out = []
+    for s in range(len(ids)):
+        if seen[s]:
+            continue
+        seen[s] = True
+        stack = [s]
+        while stack:
+            u = stack.pop()
+            new = np.flatnonzero(links[u] & ~seen)
+            seen[new] = True
+            out.extend((int(ids[u]), int(ids[v])) for v in new)
+            stack.extend(new.tolist())
+    return out

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import arrow_batch, staged
+from skyfare.llm.common import arrow_batch, block_pairs, forest, staged, units
 from skyfare.llm.components import connected_components
 
 THRESHOLD = 0.93
@@ -71,24 +71,6 @@ def _unit(rows: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _forest(links: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest of a boolean link matrix over ``ids``."""
-    seen = np.zeros(len(ids), bool)
-    out = []
-    for s in range(len(ids)):
-        if seen[s]:
-            continue
-        seen[s] = True
-        stack = [s]
-        while stack:
-            u = stack.pop()
-            new = np.flatnonzero(links[u] & ~seen)
-            seen[new] = True
-            out.extend((int(ids[u]), int(ids[v])) for v in new)
-            stack.extend(new.tolist())
-    return out
-
-
 def _compare(block: list[dict], threshold: float) -> tuple[dict, list]:
     """Link counts and forest of one block, or of a pair of blocks."""
     table = block[0]["t"]
@@ -108,57 +90,31 @@ def _compare(block: list[dict], threshold: float) -> tuple[dict, list]:
         links[a[fresh], b[fresh]] = True
     counts = links @ weight
     hit = np.flatnonzero(counts)
-    return dict(zip(ids[hit].tolist(), counts[hit].tolist())), _forest(links, ids)
+    return dict(zip(ids[hit].tolist(), counts[hit].tolist())), forest(links, ids)
 
 
 def _buckets(reps: DataFrame, tables: int, threshold: float, block: int) -> DataFrame:
     """(a, b, n): for n > 0, n links of ``a``; for n = 0, a link a-b."""
     rows = reps.select("l", "dim", "rep", "weight", "vec", "sigs", F.posexplode("sigs").alias("t", "s"))
     key = ["l", "dim", "t", "s"]
-    # Buckets above one block: at most rows / block of them.
-    large = staged(rows.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > block)
-                   .withColumn("blocks", F.ceil(2 * F.col("n") / block).cast("int")).drop("n"),
-                   "large-buckets")
-    own = F.pmod(F.xxhash64("rep"), F.coalesce("blocks", F.lit(1))).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    dealt = (rows.join(large, key, "left").withColumn("own", own).withColumn("other", other)
-             .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other"),
-                           "side": F.when(F.col("own") < F.col("other"), 1)
-                           .when(F.col("own") > F.col("other"), 2).otherwise(0)}))
     unit = [*key, "x", "y"]
-    sorted_rows = (dealt.select(*unit, "side", "rep", "weight", "vec", "sigs")
-                   .repartition(*unit).sortWithinPartitions(*unit, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(groups):
+        for groups in units(batches, unit):
             a, b, n = [], [], []
             for g in groups:
                 if len(g) < 2:
                     continue
-                counts, forest = _compare(g, threshold)
+                counts, tree = _compare(g, threshold)
                 for k, v in counts.items():
                     a.append(k), b.append(None), n.append(v)
-                for u, v in forest:
+                for u, v in tree:
                     a.append(u), b.append(v), n.append(0)
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())],
                 ["a", "b", "n"])
 
-        held, at = [], None
-        for batch in batches:
-            done = []
-            for r in batch.to_pylist():
-                k = tuple(r[c] for c in unit)
-                if k != at:
-                    if held:
-                        done.append(held)
-                    held, at = [], k
-                held.append(r)
-            yield out(done)
-        if held:
-            yield out([held])
-
-    return sorted_rows.mapInArrow(run, "a bigint, b bigint, n bigint")
+    return block_pairs(rows, key, "rep", block).mapInArrow(run, "a bigint, b bigint, n bigint")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",

@@ -11,8 +11,9 @@ shorter prefix (its index part); only the larger one needs the whole of it.
 
 Verification is exact and only the links that components need are verified:
 first each posting list against one of its members, which joins whole groups of
-copies with a number of pairs linear in the postings; then, with the matches
-counted, every remaining pair that lies across two components.
+copies with a number of pairs linear in the postings; then every remaining pair
+that lies across two components, with the matches counted. Documents that meet
+in a very long list are compared in bounded blocks instead of being paired.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import arrow_batch, staged
+from skyfare.llm.common import arrow_batch, block_pairs, forest, staged, units
 from skyfare.llm.components import connected_components
 
 SHINGLE = 4
@@ -40,6 +41,12 @@ CELLS = 1 << 20
 VERIFY_COST = 20.0
 # Rounds of star pairs before the pairs that are left are enumerated.
 STAR_ROUNDS = 3
+# Lists with more index postings than this are not joined with themselves:
+# their documents are compared in blocks, which return links and no pairs.
+HOT_LIST = 128
+BLOCK = 256
+# Columns of the membership matrix held at a time.
+MATRIX_COLUMNS = 16_384
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -219,15 +226,70 @@ def _star_pairs(postings: DataFrame, salt: int, percent: int) -> DataFrame:
             .select(F.least("i", "h.hi").alias("a"), F.greatest("i", "h.hi").alias("b")).distinct())
 
 
-def _cross_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components that share as many prefix shingles as the
-    smaller requirement of the two asks for."""
-    cols = ["i", "n", "m", "c"]
+def _intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Pairwise intersection sizes, by a membership matrix of bounded width."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, token, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count[token] > 1
+    column = np.cumsum(count > 1) - 1
+    token, owner = column[token[shared]], owner[shared]
+    by_token = np.argsort(token, kind="stable")
+    token, owner = token[by_token], owner[by_token]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, MATRIX_COLUMNS):
+        a, b = np.searchsorted(token, [low, low + MATRIX_COLUMNS])
+        m = np.zeros((len(sets), MATRIX_COLUMNS), np.float32)
+        m[owner[a:b], token[a:b] - low] = 1
+        out += m @ m.T
+    return out
+
+
+def _hot_links(postings: DataFrame, hot: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(clusters, links): documents that meet in hot lists, directly or through
+    others, and the exact links within each cluster across components."""
+    met = postings.join(hot, "t", "left_semi").select("t", "i", "c")
+    hub = staged(met.groupBy("t").agg(F.min("i").alias("hub")), "hot-hubs")
+    clusters = staged(connected_components(met.join(hub, "t").select("i", "hub"), "i", "hub")
+                      .withColumnsRenamed({"node": "i", "component": "g"}), "hot-clusters")
+    rows = (clusters.join(postings.select("i", "c").distinct(), "i").join(sets, "i")
+            .select("g", "i", "c", "s"))
+    unit = ["g", "x", "y"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in units(batches, unit):
+            found = []
+            for rows in groups:
+                held = [np.frombuffer(r["s"], np.uint64) for r in rows]
+                n = np.array([len(s) for s in held])
+                both = _intersections(held)
+                c = np.array([r["c"] for r in rows])
+                side = np.array([r["side"] for r in rows])
+                links = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+                links &= c[:, None] != c[None, :]
+                if side.any():
+                    links &= side[:, None] != side[None, :]
+                found += forest(links, np.array([r["i"] for r in rows]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.int64()),
+                 pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+
+    links = block_pairs(rows, ["g"], "i", BLOCK).mapInArrow(run, "a bigint, b bigint")
+    return clusters, staged(links, "hot-links")
+
+
+def _cross_pairs(postings: DataFrame, hot: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components and clusters that share as many prefix shingles
+    as the smaller requirement of the two asks for. Documents of two clusters
+    share no hot shingle, so the counts here are complete."""
+    postings = (postings.join(hot, "t", "left_anti").join(clusters, "i", "left"))
+    cols = ["i", "n", "m", "c", "g"]
     x = postings.filter("idx").select("t", F.col("rest_idx").alias("restx"),
                                       *[F.col(c).alias(f"{c}x") for c in cols])
     y = postings.select("t", F.col("tail").alias("resty"), *[F.col(c).alias(f"{c}y") for c in cols])
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
     met = x.join(y, "t").filter(smaller & (F.col("cx") != F.col("cy"))
+                                & (F.coalesce("gx", "ix") != F.coalesce("gy", "iy"))
                                 & _fits(F.col("nx"), F.col("ny"), percent))
     counted = met.groupBy("ix", "iy").agg(
         F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("nx", "ny", "mx", "my", "restx", "resty")])
@@ -275,10 +337,14 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             links = found if links is None else links.union(found)
             comp = connected_components(links, "a", "b")
             postings = _open_lists(_attach(postings, comp), f"open{salt}")
-        rest = _verify(staged(_cross_pairs(postings, percent), "cross-pairs"), sets, percent, "cross-links")
+        hot = staged(postings.filter("idx").groupBy("t").count()
+                     .filter(F.col("count") > HOT_LIST).select("t"), "hot-tokens")
+        clusters, in_hot = _hot_links(postings, hot, sets, percent)
+        pairs = staged(_cross_pairs(postings, hot, clusters, percent), "cross-pairs")
+        links = links.union(in_hot).union(_verify(pairs, sets, percent, "cross-links"))
         members = print_.filter("n > 0 AND i IS NOT NULL").join(reps, ["h1", "h2"])
         same = members.filter("i != rep").select(F.col("i").alias("a"), F.col("rep").alias("b"))
-        comp = staged(connected_components(links.union(rest).union(same), "a", "b"), "doc-components")
+        comp = staged(connected_components(links.union(same), "a", "b"), "doc-components")
     return (print_.join(comp.withColumnRenamed("node", "i"), "i", "left")
             .select(F.col("i").cast(out_type).alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "i").alias("component_id")))
