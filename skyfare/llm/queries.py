@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skyfare.llm import (bpe, embedding_dedup, jaccard_join, line_dedup, packing, quality_rules,
-                         sharding, url_filter)
+from skyfare.llm import (bpe, embedding_dedup, jaccard_join, language_id, line_dedup, packing,
+                         quality_rules, quotation, sharding, url_filter)
 from skyfare.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark, sf_dir):
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -36,6 +40,10 @@ def op6_sharding(spark, sf_dir):
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_quotation_linking(spark, sf_dir):
+    return quotation.digest(table(spark, sf_dir, "conversations"))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
@@ -48,9 +56,12 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_bpe, op4_jaccard_join, op5_embedding_dedup, op6_sharding, op8_quality_rules, op9_packing, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_language_id, op3_bpe, op4_jaccard_join, op5_embedding_dedup, op6_sharding,
+    op7_quotation_linking, op8_quality_rules, op9_packing, op10_url_filter)}
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
+    "op7_quotation_linking": quotation.ORACLE_SQL,
     "op10_url_filter": url_filter.ORACLE_SQL,
 }
