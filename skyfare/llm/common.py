@@ -39,7 +39,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``staged`` table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 @contextmanager

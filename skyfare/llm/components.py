@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import staged
+from skyfare.llm.common import discard, staged
 
 MAX_ROUNDS = 60
 
@@ -46,7 +46,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        e = staged(_small_star(_large_star(e)), "stars")
+        last, e = e, staged(_small_star(_large_star(e)), "stars")
+        discard(last)
         after = _mark(e)
         if after == before:
             break

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import arrow_batch, block_pairs, forest, staged, units
+from skyfare.llm.common import arrow_batch, block_pairs, discard, forest, staged, units
 from skyfare.llm.components import connected_components
 
 SHINGLE = 4
@@ -164,31 +164,39 @@ def _postings(docs: DataFrame, counts, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "i bigint, n int, m int, head int, tokens array<bigint>")
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column("i"), pa.array([shingles(t.as_py(), size).tobytes() for t in b.column("t")],
-                                         pa.binary())], ["i", "s"])
-    return docs.mapInArrow(run, "i bigint, s binary")
+class _Sets:
+    """Sets of the texts at hand; one text of a list is often asked for again."""
+
+    def __init__(self, size: int, keep: int = 64):
+        self.size, self.keep, self.held = size, keep, {}
+
+    def get(self, text: str) -> np.ndarray:
+        s = self.held.get(text)
+        if s is None:
+            if len(self.held) >= self.keep:
+                self.held.clear()
+            s = self.held[text] = shingles(text, self.size)
+        return s
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+def _verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold. Texts are joined, not
+    sets: compressed, they are less than half as large."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _Sets(size)
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                p = np.frombuffer(x.as_buffer(), np.uint64)
-                q = np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(batch.column("ta"), batch.column("tb")):
+                p, q = sets.get(x.as_py()), sets.get(y.as_py())
                 both = len(p) + len(q) - len(np.union1d(p, q))
                 ok.append(100 * both >= percent * (len(p) + len(q) - both))
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    both = (pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-            .select("a", "b", "sa", "sb"))
+    pairs = staged(pairs.select("a", "b"), f"{name}-pairs")
+    both = (pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+            .select("a", "b", "ta", "tb"))
     return staged(both.mapInArrow(run, "a bigint, b bigint"), name)
 
 
@@ -245,22 +253,22 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _hot_links(postings: DataFrame, hot: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _hot_links(postings: DataFrame, hot: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(clusters, links): documents that meet in hot lists, directly or through
     others, and the exact links within each cluster across components."""
     met = postings.join(hot, "t", "left_semi").select("t", "i", "c")
     hub = staged(met.groupBy("t").agg(F.min("i").alias("hub")), "hot-hubs")
     clusters = staged(connected_components(met.join(hub, "t").select("i", "hub"), "i", "hub")
                       .withColumnsRenamed({"node": "i", "component": "g"}), "hot-clusters")
-    rows = (clusters.join(postings.select("i", "c").distinct(), "i").join(sets, "i")
-            .select("g", "i", "c", "s"))
+    rows = (clusters.join(postings.select("i", "c").distinct(), "i").join(texts, "i")
+            .select("g", "i", "c", "text"))
     unit = ["g", "x", "y"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in units(batches, unit):
             found = []
             for rows in groups:
-                held = [np.frombuffer(r["s"], np.uint64) for r in rows]
+                held = [shingles(r["text"], size) for r in rows]
                 n = np.array([len(s) for s in held])
                 both = _intersections(held)
                 c = np.array([r["c"] for r in rows])
@@ -306,7 +314,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     - NULL or empty text, or one without words: n_shingles 0, linked with nothing.
     - Fewer than ``size`` words: the whole sequence is the one shingle.
-    - Rows of one id are one node: its component spans what any of them links with.
+    - Rows of one id and text are one node. Different texts under one id are one
+      node too, described by the largest of their sets: keep ids unique to be exact.
     - NULL id: n_shingles is given, component_id is NULL, and it links nothing.
     - Other columns are not carried; an empty table gives an empty result.
     """
@@ -319,29 +328,35 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         reps = staged(print_.filter("n > 0 AND i IS NOT NULL").groupBy("h1", "h2")
                       .agg(F.min("i").alias("rep")), "set-representatives")
         counts = spark.sparkContext.broadcast(_merge_counts(scanned))
-        prefixes = _postings(rows.filter("i IS NOT NULL"), counts, size, percent)
-        # Copies leave here; a repeated id keeps each of its texts.
-        one = staged(prefixes.filter("n > 0").join(reps.select(F.col("rep").alias("i")).distinct(),
-                                                   "i", "left_semi")
-                     .select("i", "n", "m", "head", (F.col("n") - F.size("tokens")).alias("tail"),
-                             F.posexplode("tokens").alias("p", "t"))
-                     # rest_idx, tail: shingles beyond the index part, the prefix.
-                     .select("i", "n", "m", "t", (F.col("p") < F.col("head")).alias("idx"),
-                             (F.col("n") - F.col("head")).alias("rest_idx"), "tail"), "prefixes")
-        postings = _open_lists(one.withColumn("c", F.col("i")), "postings")
-        nodes = postings.select("i").distinct()
-        sets = staged(_sets(rows.join(nodes, "i", "left_semi"), size), "sets")
+        # Copies leave here.
+        prefixes = staged(
+            _postings(rows.filter("i IS NOT NULL"), counts, size, percent).filter("n > 0")
+            .join(reps.select(F.col("rep").alias("i")).distinct(), "i", "left_semi"), "prefixes")
+        one = (prefixes.select("i", "head", F.posexplode("tokens").alias("p", "t"))
+               .select("i", "t", (F.col("p") < F.col("head")).alias("idx")))
+        # Most shingles lie in one prefix only; just their counts are shuffled.
+        shared = staged(one.groupBy("t").agg(F.count("*").alias("k"), F.bool_or("idx").alias("idx"))
+                        .filter("idx AND k > 1").select("t"), "shared-tokens")
+        # rest, tail: shingles beyond the index part, beyond the prefix.
+        about = prefixes.select("i", "n", "m", (F.col("n") - F.col("head")).alias("rest_idx"),
+                                (F.col("n") - F.size("tokens")).alias("tail")).groupBy("i").agg(
+            *[F.max(c).alias(c) for c in ("n", "m", "rest_idx", "tail")])
+        listed = staged(one.join(shared, "t", "left_semi"), "listed")
+        postings = staged(listed.join(about, "i").withColumn("c", F.col("i")), "postings")
+        discard(prefixes)
+        texts = staged(rows.join(postings.select("i").distinct(), "i", "left_semi")
+                       .select("i", F.col("t").alias("text")), "candidate-texts")
         links = None
         for salt in range(STAR_ROUNDS):
-            found = _verify(_star_pairs(postings, salt, percent), sets, percent, f"star-links{salt}")
+            found = _verify(_star_pairs(postings, salt, percent), texts, size, percent, f"star-links{salt}")
             links = found if links is None else links.union(found)
             comp = connected_components(links, "a", "b")
             postings = _open_lists(_attach(postings, comp), f"open{salt}")
         hot = staged(postings.filter("idx").groupBy("t").count()
                      .filter(F.col("count") > HOT_LIST).select("t"), "hot-tokens")
-        clusters, in_hot = _hot_links(postings, hot, sets, percent)
-        pairs = staged(_cross_pairs(postings, hot, clusters, percent), "cross-pairs")
-        links = links.union(in_hot).union(_verify(pairs, sets, percent, "cross-links"))
+        clusters, in_hot = _hot_links(postings, hot, texts, size, percent)
+        pairs = _cross_pairs(postings, hot, clusters, percent)
+        links = links.union(in_hot).union(_verify(pairs, texts, size, percent, "cross-links"))
         members = print_.filter("n > 0 AND i IS NOT NULL").join(reps, ["h1", "h2"])
         same = members.filter("i != rep").select(F.col("i").alias("a"), F.col("rep").alias("b"))
         comp = staged(connected_components(links.union(same), "a", "b"), "doc-components")
