@@ -49,7 +49,7 @@ def _offer(o: Column | str, prefix: str = "$") -> Column:
         F.try_variant_get(o, f"{prefix}.airlines[0]", "string").alias("airline_code"))
 
 
-def extract_quotes(responses: DataFrame, offer: str = "first") -> DataFrame:
+def extract_quotes(responses: DataFrame, offer: str = "first", carry: tuple = ()) -> DataFrame:
     """Offer of each stored response as a quote.
 
     The request (params) gives route and date. ``offer="first"`` takes the
@@ -58,7 +58,7 @@ def extract_quotes(responses: DataFrame, offer: str = "first") -> DataFrame:
     airline. ``offer="cheapest"`` instead takes the lowest-priced entry
     (ties: fewer stops, then airline code), for responses holding several.
     A missing/empty ``data`` or a missing price gives a NULL price; an
-    empty airline list gives a NULL airline.
+    empty airline list gives a NULL airline. Columns ``carry`` are passed on.
     """
     if offer == "first":
         best = _offer("response", "$.data[0]")
@@ -74,35 +74,38 @@ def extract_quotes(responses: DataFrame, offer: str = "first") -> DataFrame:
         F.try_variant_get("params", "$.fly_to", "string").alias("destination"),
         F.try_to_date(F.try_variant_get("params", "$.date_from", "string"),
                       C.REQUEST_DATE_FORMAT).alias("departure_date"),
-        best.alias("_best"),
-    ).select("ingested_at", "route_code", "origin", "destination", "departure_date",
+        best.alias("_best"), *carry,
+    ).select("ingested_at", "route_code", "origin", "destination", "departure_date", *carry,
              F.col("_best.price").alias("price"),
              F.coalesce(F.col("_best.stops"), F.lit(0)).alias("stops"),
              F.col("_best.airline_code").alias("airline_code"))
 
 
-def parse_responses(responses: DataFrame, offer: str = "first") -> DataFrame:
+def parse_responses(responses: DataFrame, offer: str = "first", carry: tuple = ()) -> DataFrame:
     """Extracted quotes, unpriced responses dropped."""
-    return extract_quotes(responses, offer).filter(F.col("price").isNotNull())
+    return extract_quotes(responses, offer, carry).filter(F.col("price").isNotNull())
 
 
 def build_quote_batch(grid: DataFrame, quotes: DataFrame,
-                      source_name: str = C.DEFAULT_SOURCE_NAME) -> DataFrame:
+                      source_name: str = C.DEFAULT_SOURCE_NAME, carry: tuple = (),
+                      run_ts=None) -> DataFrame:
     """Grid cells with a priced response -> raw quote rows.
 
-    ``quote_ts`` is the response's ingestion time (one run stamps every
-    response it fetches with the same time). The join keeps grid
+    ``quote_ts`` is ``run_ts``, the one time of the run, if it is given, and
+    the response's own ingestion time otherwise. The join keeps grid
     multiplicity, as one fetch per grid cell would.
     """
     priced = quotes.filter(F.col("price").isNotNull())
     joined = grid.select(*GRID_KEY).join(priced, GRID_KEY, "inner")
     return joined.select(
         *GRID_KEY,
-        F.col("ingested_at").alias("quote_ts"),
+        (F.col("ingested_at") if run_ts is None
+         else F.lit(str(run_ts)).cast("timestamp")).alias("quote_ts"),
         F.col("price").cast(PRICE).alias("price_aud"),
         F.col("stops").cast("int").alias("stops"),
         "airline_code",
         F.lit(source_name).alias("source"),
+        *carry,
     )
 
 

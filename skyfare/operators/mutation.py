@@ -33,9 +33,6 @@ from skyfare.schemas import PARTITION_COLUMN, PRICE, QUOTE_KEY, UPDATABLE
 from skyfare.session import scratch_path
 from skyfare.sources import tables as T
 
-# Above this many distinct touched partitions, restrict the target with a
-# semi-join instead of a literal IN list.
-MAX_LITERAL_PARTITIONS = 5000
 PENDING_DIR = "_pending"
 OP = "_op"          # staged row flag: kept / updated / inserted / deleted
 
@@ -46,26 +43,14 @@ class UpsertResult:
     inserted: int
     updated: int         # target rows overwritten by a matching source row
     staging_path: str
-    touched: list | None = None   # rewritten quote_date values (None = NULL partition);
-                                  # None when above MAX_LITERAL_PARTITIONS
+    touched: list        # rewritten quote_date values (a None entry = the NULL partition)
 
 
-def _touched(dates: DataFrame) -> tuple[list | None, DataFrame]:
-    """Distinct touched partition values (NULL included): a literal list when
-    small (static partition pruning), otherwise a frame for a semi-join."""
-    dates = dates.select(PARTITION_COLUMN).distinct()
-    few = dates.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-    if len(few) <= MAX_LITERAL_PARTITIONS:
-        return [r[0] for r in few], dates
-    return None, dates
-
-
-def _restrict(df: DataFrame, values: list | None, dates: DataFrame) -> DataFrame:
-    part = F.col(PARTITION_COLUMN)
-    if values is not None:
-        return df.filter(T.in_partitions(values))
-    d = dates.withColumnRenamed(PARTITION_COLUMN, "_d")
-    return df.join(d, part.eqNullSafe(F.col("_d")), "left_semi")
+def _touched(dates: DataFrame) -> list:
+    """Distinct touched partition values, NULL included. One value per calendar
+    day at most, whatever the size of the batch, so the list is bounded by the
+    calendar; it prunes the target's partitions when the scan is planned."""
+    return [r[0] for r in dates.select(PARTITION_COLUMN).distinct().collect()]
 
 
 def _any_null(cols: list[str]) -> Column:
@@ -128,6 +113,7 @@ def _commit(spark: SparkSession, target: str, kind: str, staged_path: str) -> No
     T.fs_touch(spark, marker)
     _apply(spark, target, kind, staged_path)
     T.fs_delete(spark, marker)
+    T.fs_delete(spark, staged_path)
 
 
 def recover_pending(spark: SparkSession, target: str) -> int:
@@ -140,13 +126,14 @@ def recover_pending(spark: SparkSession, target: str) -> int:
         kind, staged = _staged_of(name)
         _apply(spark, target, kind, staged)
         T.fs_delete(spark, f"{folder}/{name}")
+        T.fs_delete(spark, staged)
     T.fs_delete(spark, folder)
     return len(names)
 
 
 def upsert_frame(spark: SparkSession, target_path: str, src: DataFrame,
                  order_col: str = "seq", zone: str | None = None
-                 ) -> tuple[DataFrame, list | None, DataFrame]:
+                 ) -> tuple[DataFrame, list, DataFrame]:
     """The new content of every partition the batch touches, rows flagged
     kept / updated / inserted; the touched partition values; and the
     de-duplicated batch, which is persisted because both joins read it (the
@@ -165,10 +152,10 @@ def upsert_frame(spark: SparkSession, target_path: str, src: DataFrame,
 
     # Every partition that receives a row is rewritten, so the touched set
     # comes from all source rows (NULL-key inserts and NULL dates included).
-    values, dates = _touched(s)
+    values = _touched(s)
     target_all = (T.read_quotes(spark, target_path) if T.fs_exists(spark, target_path)
                   else empty_frame(spark, T.RAW_QUOTES_STORED))
-    target = _restrict(target_all, values, dates)
+    target = target_all.filter(T.in_partitions(values))
 
     m_src = dedup.select(*QUOTE_KEY, *[F.col(c).alias(f"_s_{c}") for c in UPDATABLE],
                          F.lit(True).alias("_matched"))
@@ -233,7 +220,9 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
 
 
 def append_rows(df: DataFrame, path: str, kind: str = "quotes", zone: str | None = None) -> None:
-    """Append rows (e.g. a literal smoke row) to a raw table."""
+    """Append rows (e.g. a literal smoke row) to a raw table. A mutation left
+    half-way is finished first: its swap would otherwise drop what is appended."""
+    recover_pending(df.sparkSession, path)
     if kind == "quotes":
         T.write_quotes(df, path, mode="append", zone=zone)
     else:
@@ -250,10 +239,10 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, kind: str =
     read = T.read_quotes if kind == "quotes" else T.read_json_rows
     table = read(spark, path)
     hit = F.coalesce(predicate, F.lit(False))
-    values, dates = _touched(table.filter(hit))
-    if values is not None and not values:
+    values = _touched(table.filter(hit))
+    if not values:
         return 0
-    touched = _restrict(table, values, dates)
+    touched = table.filter(T.in_partitions(values))
     staged_path = scratch_path(spark, "delete-staging")
     flagged = touched.withColumn(OP, F.when(hit, F.lit("deleted")).otherwise(F.lit("kept")))
     write_staged(flagged, staged_path)

@@ -42,34 +42,21 @@ def routes_in_window(routes: DataFrame, mart: DataFrame, start, end) -> DataFram
             .orderBy(F.col("route_code").asc_nulls_last()))
 
 
-def latest_rows(mart: DataFrame, method: str = "semi") -> DataFrame:
+def latest_rows(mart: DataFrame) -> DataFrame:
     """Mart rows at the latest quote_day of their (route, departure).
 
-    ``semi`` (default): semi-join against the per-key max. The aggregate is
-    combined map-side, so only one row per key crosses the network, and AQE
-    broadcasts it when its measured size allows; the fact side then never
-    shuffles, and a hot key is never gathered into one task.
-
-    ``window``: one scan, ``max(quote_day) over (route, departure)`` and an
-    equality filter. It shuffles every mart row by key (a hot key lands in
-    one task), so it is kept only for comparison.
-
-    Both drop rows with a NULL key part, as the inner-join form does.
+    ``rank() = 1`` by descending day: one scan, and the limit of rank 1 is
+    applied to each task's rows before the exchange, so a hot key sends its
+    best rows of each task and no more. Rows with a NULL key part or day drop out.
     """
-    if method == "semi":
-        latest = mart.groupBy(*LATEST_KEY).agg(F.max("quote_day").alias("quote_day"))
-        return mart.join(latest, LATEST_KEY + ["quote_day"], "left_semi").select(*mart.columns)
-    if method == "window":
-        w = Window.partitionBy(*LATEST_KEY)
-        keyed = mart.filter(F.col("route_code").isNotNull() & F.col("departure_date").isNotNull()
-                            & F.col("quote_day").isNotNull())
-        return (keyed.withColumn("_latest", F.max("quote_day").over(w))
-                .filter(F.col("quote_day") == F.col("_latest")).drop("_latest"))
-    raise ValueError(f"unknown method {method!r}")
+    keyed = mart.filter(F.col("route_code").isNotNull() & F.col("departure_date").isNotNull()
+                        & F.col("quote_day").isNotNull())
+    newest_first = Window.partitionBy(*LATEST_KEY).orderBy(F.col("quote_day").desc())
+    return keyed.withColumn("_age", F.rank().over(newest_first)).filter("_age = 1").drop("_age")
 
 
 def cheapest_latest(mart: DataFrame, route: str, start, end,
-                    limit: int = C.FARE_LIMIT, method: str = "semi") -> DataFrame:
+                    limit: int = C.FARE_LIMIT) -> DataFrame:
     """Cheapest fares at the latest quote for one route and departure window."""
     check_window(start, end)
     in_scope = (F.col("route_code") == F.lit(route)) & \
@@ -77,7 +64,7 @@ def cheapest_latest(mart: DataFrame, route: str, start, end,
     # Filters are on the latest-key columns, so applying them before the
     # aggregate gives the same rows as filtering after the join.
     m = mart.filter(in_scope)
-    fares = latest_rows(m, method).select(
+    fares = latest_rows(m).select(
         "route_code", "departure_date",
         F.col("daily_min_price_aud").cast("double").alias("price_aud"),
         "airline_code", "stops", "quote_day")
@@ -110,7 +97,7 @@ def airline_table(spark: SparkSession) -> DataFrame:
 
 def with_airline(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Left lookup of airline names; unknown codes show the code itself."""
-    joined = rows.join(F.broadcast(labels.withColumnRenamed("airline", "_airline_name")),
+    joined = rows.join(labels.withColumnRenamed("airline", "_airline_name"),
                        "airline_code", "left")
     return joined.withColumn("airline", airline_name(F.col("airline_code"),
                                                      F.col("_airline_name"))).drop("_airline_name")

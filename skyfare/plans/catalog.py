@@ -218,7 +218,7 @@ def q_parse_responses(spark, sf_dir):
 
 
 def q_build_quote_batch(spark, sf_dir):
-    grid = routes_grid(spark, sf_dir, P.BATCH_HORIZON)
+    grid = routes_grid(spark, sf_dir, C.DEFAULT_HORIZON_DAYS)
     quotes = ingest.parse_responses(fx.responses_from_events(spark, sf_dir))
     return present(ingest.build_quote_batch(grid, quotes))
 
@@ -257,7 +257,10 @@ def q_delete_by_json_path(spark, sf_dir):
 
 def _raw_with_smoke(spark, sf_dir):
     path = scratch_path(spark, "raw-quotes")
-    T.write_quotes(fx.quotes_from_events(spark, sf_dir), path, mode="overwrite", static=True)
+    # Every 53rd quote stands for an earlier test load.
+    quotes = fx.events_quotes_with_id(spark, sf_dir).withColumn("source", F.when(
+        F.col("event_id") % 53 == 0, F.lit(C.SMOKE_SOURCE)).otherwise(F.col("source")))
+    T.write_quotes(quotes, path, mode="overwrite", static=True)
     mutation.append_rows(fx.smoke_quote(spark, P.AS_OF, P.SMOKE_AS_OF_TS), path)
     return path
 

@@ -61,13 +61,16 @@ MART = """mart AS (
          daily_min_price_aud, stops, airline_code, source, cabin, observed_at
   FROM core)"""
 
-LATEST = """newest AS (
-  SELECT route_code, departure_date, max(quote_day) AS newest_day
-  FROM mart GROUP BY route_code, departure_date)"""
+# Rows of the mart that no later day of their route and departure outdates.
+LATEST = """current_fares AS (
+  SELECT a.* FROM mart a
+  WHERE a.quote_day IS NOT NULL AND a.route_code IS NOT NULL AND a.departure_date IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM mart b WHERE b.quote_day > a.quote_day
+                    AND b.departure_date = a.departure_date AND b.route_code = a.route_code))"""
 
 ROUTES_DIM = """routes AS (
   SELECT DISTINCT 'MEL-' || upper(event_type) AS route_code
-  FROM events WHERE event_type IN ('click', 'view', 'purchase')
+  FROM events WHERE event_type IS NOT NULL
   UNION ALL SELECT 'MEL-SYD' AS route_code)"""
 
 LABELS = "labels AS (SELECT * FROM (VALUES " + ", ".join(
@@ -85,18 +88,12 @@ def with_(ctes: list[str], body: str) -> str:
 
 EVENTS_LAYERS = [RAW_EVENTS, STG, CORE, MART]
 
-FARES_BODY = f"""SELECT m.route_code, m.departure_date,
-       CAST(m.daily_min_price_aud AS DOUBLE) AS price_aud,
-       m.airline_code, m.stops, m.quote_day
-FROM mart m
-JOIN newest n
-  ON m.route_code = n.route_code
- AND m.departure_date = n.departure_date
- AND m.quote_day = n.newest_day
-WHERE m.route_code = '{P.ROUTE}'
-  AND m.departure_date BETWEEN DATE '{P.WINDOW_START}' AND DATE '{P.WINDOW_END}'
-ORDER BY price_aud ASC NULLS LAST, m.departure_date ASC NULLS LAST,
-         m.airline_code ASC NULLS LAST
+FARES_BODY = f"""SELECT route_code, departure_date, daily_min_price_aud::DOUBLE AS price_aud, airline_code,
+       stops, quote_day
+FROM current_fares
+WHERE departure_date >= '{P.WINDOW_START}' AND departure_date <= '{P.WINDOW_END}'
+  AND route_code = '{P.ROUTE}'
+ORDER BY 3 NULLS LAST, 2 NULLS LAST, 4 NULLS LAST
 LIMIT {C.FARE_LIMIT}"""
 
 FARES = f"fares AS (\n{FARES_BODY})"
@@ -198,22 +195,14 @@ FROM mart m LEFT JOIN labels l ON m.airline_code = l.airline_code"""),
 FROM fares f LEFT JOIN labels l ON f.airline_code = l.airline_code"""),
     "volume_by_quote_day": with_(EVENTS_LAYERS, """SELECT quote_day, count(*) AS quotes
 FROM mart GROUP BY quote_day ORDER BY quote_day DESC NULLS FIRST"""),
-    "cheapest_recent": with_(EVENTS_LAYERS + [f"""recent AS (
-  SELECT * FROM mart
-  WHERE quote_day >= CAST(DATE '{P.AS_OF}' - 7 AS TIMESTAMP))"""], f"""SELECT route_code, departure_date,
-       min(daily_min_price_aud) AS min_price_aud
-FROM recent
-GROUP BY route_code, departure_date
-ORDER BY min_price_aud ASC NULLS LAST, route_code ASC NULLS LAST, departure_date ASC NULLS LAST
+    "cheapest_recent": with_(EVENTS_LAYERS, f"""SELECT DISTINCT ON (route_code, departure_date)
+       route_code, departure_date,
+       list_min(list(daily_min_price_aud) OVER (PARTITION BY route_code, departure_date)) AS min_price_aud
+FROM mart WHERE date_diff('day', quote_day::DATE, DATE '{P.AS_OF}') <= 7
+ORDER BY min_price_aud NULLS LAST, route_code NULLS LAST, departure_date NULLS LAST
 LIMIT {C.RECENT_LIMIT}"""),
-    "latest_snapshot": with_(EVENTS_LAYERS + [LATEST], f"""SELECT m.*
-FROM mart m
-JOIN newest n
-  ON m.route_code = n.route_code
- AND m.departure_date = n.departure_date
- AND m.quote_day = n.newest_day
-ORDER BY m.daily_min_price_aud ASC NULLS LAST, m.route_code ASC NULLS LAST,
-         m.departure_date ASC NULLS LAST
+    "latest_snapshot": with_(EVENTS_LAYERS + [LATEST], f"""SELECT * FROM current_fares
+ORDER BY daily_min_price_aud NULLS LAST, route_code NULLS LAST, departure_date NULLS LAST
 LIMIT {C.SNAPSHOT_LIMIT}"""),
     "usage_daily_rollup": with_([USAGE], f"""SELECT date_trunc('day', start_time) AS usage_day,
        sum(CAST(amount AS DECIMAL(38,9))) AS credits_used
@@ -282,6 +271,13 @@ SMOKE_ROW = f"""SELECT 'MEL' AS origin, 'HKG' AS destination, DATE '{P.AS_OF}' +
        TIMESTAMP '{P.SMOKE_AS_OF_TS}' AS quote_ts, CAST(555.00 AS DECIMAL(10,2)) AS price_aud,
        0 AS stops, 'XX' AS airline_code, 'ingestion_test' AS source, 'Y' AS cabin"""
 
+# Quotes with every 53rd one from an earlier test load, then the literal row.
+TESTED = [RAW_EVENTS_ID, f"""tested AS (
+  SELECT origin, destination, departure_date, quote_ts, price_aud, stops, airline_code,
+         CASE WHEN event_id % 53 = 0 THEN 'ingestion_test' ELSE source END AS source, cabin
+  FROM raw_id
+  UNION ALL {SMOKE_ROW})"""]
+
 KEY_EQ = " AND ".join(f"t.{k} = d.{k}" for k in ["origin", "destination", "departure_date", "quote_ts"])
 KEY_NN = " AND ".join(f"{k} IS NOT NULL" for k in ["origin", "destination", "departure_date", "quote_ts"])
 UPSERT = [RAW_EVENTS_ID, """target AS (
@@ -344,7 +340,7 @@ FROM d WHERE {_strip('dest')} <> ''"""),
        1 AS adults
 FROM grid"""),
     "parse_responses": with_([PARSED], "SELECT * FROM parsed"),
-    "build_quote_batch": with_([ROUTES_DIM, PAIRS, _grid(P.BATCH_HORIZON), PARSED], f"""SELECT g.origin, g.destination, g.departure_date, p.ingested_at AS quote_ts,
+    "build_quote_batch": with_([ROUTES_DIM, PAIRS, _grid(C.DEFAULT_HORIZON_DAYS), PARSED], f"""SELECT g.origin, g.destination, g.departure_date, p.ingested_at AS quote_ts,
        CAST(p.price AS DECIMAL(10,2)) AS price_aud, p.stops, p.airline_code, '{C.DEFAULT_SOURCE_NAME}' AS source
 FROM grid g
 JOIN parsed p ON g.origin = p.origin AND g.destination = p.destination
@@ -355,9 +351,10 @@ ORDER BY ingested_at DESC NULLS FIRST, route_code ASC NULLS LAST LIMIT 1"""),
     "delete_by_json_path": with_([PARSED, ARCHIVED], f"""SELECT * FROM archived
 WHERE NOT (route_code = 'MEL-HKG' AND airline = 'XX')
   AND NOT (route_code = '{P.JSON_DELETE_ROUTE}' AND airline = '{P.JSON_DELETE_VALUE}')"""),
-    "append_smoke_row": with_([RAW_EVENTS], "SELECT * FROM raw\nUNION ALL\n" + SMOKE_ROW),
-    "last_test_row": SMOKE_ROW,
-    "delete_by_source": with_([RAW_EVENTS], "SELECT * FROM raw"),
+    "append_smoke_row": with_(TESTED, "SELECT * FROM tested"),
+    "last_test_row": with_(TESTED, """SELECT * FROM tested WHERE source = 'ingestion_test'
+ORDER BY quote_ts DESC NULLS FIRST, departure_date NULLS LAST, price_aud NULLS LAST LIMIT 1"""),
+    "delete_by_source": with_(TESTED, "SELECT * FROM tested WHERE source IS DISTINCT FROM 'ingestion_test'"),
     "upsert_quotes": with_(UPSERT, UPSERT_BODY),
     "refresh_layers": with_(EVENTS_LAYERS, "SELECT * FROM mart"),
     "ingest_landed": with_([PARSED], f"""SELECT origin, destination, departure_date, ingested_at AS quote_ts,

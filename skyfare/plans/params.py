@@ -13,7 +13,6 @@ VOLUME_GUARD_LO, VOLUME_GUARD_HI = 5000, 50000
 VOLUME_WINDOW_START, VOLUME_WINDOW_END = "2024-06-01", "2024-06-30"
 VOLUME_TREND_DEPARTURE = "2024-06-10"
 GRID_AS_OF = "2024-05-31"
-BATCH_HORIZON = 5
 SMOKE_AS_OF_TS = "2024-01-30 12:00:00"
 JSON_DELETE_ROUTE, JSON_DELETE_PATH, JSON_DELETE_VALUE = "MEL-CLICK", "$.data[0].airlines[0]", "ZZ"
 SMOKE_JSON_PATH = "$.airline"

@@ -8,18 +8,18 @@ refresh result, provided truncation and partitioning use the same zone.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfare.operators import layers, quality
+from skyfare.operators import layers, mutation, quality
 from skyfare.schemas import CORE_STORED, PARTITION_COLUMN
 from skyfare.sources import tables as T
 from skyfare.sources.tables import Warehouse
 
 
-
 @dataclass
 class RefreshResult:
     core_path: str
@@ -27,12 +27,17 @@ class RefreshResult:
     checks: DataFrame
 
 
-def stg_view(spark: SparkSession, wh: Warehouse, register: bool = True) -> DataFrame:
-    """STG is a view: a lazy plan over RAW, optionally registered by name."""
-    stg = layers.stg_quotes(T.read_quotes(spark, wh.raw_quotes))
-    if register:
-        stg.createOrReplaceTempView(T.STG_VIEW)
-    return stg
+def _days(dates: list) -> list:
+    """Quote dates as ``datetime.date`` (None stays: the NULL partition). Text
+    and timestamps are read by their date part; anything else is refused."""
+    out = []
+    for d in dates:
+        if isinstance(d, _dt.datetime):
+            d = d.date()
+        if d is not None and not isinstance(d, _dt.date):
+            d = _dt.date.fromisoformat(str(d).strip()[:10])
+        out.append(d)
+    return list(dict.fromkeys(out))
 
 
 def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
@@ -52,6 +57,8 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     grain contains ``quote_day``.
     """
     scope = check_scope or ("all" if dates is None else "touched")
+    dates = None if dates is None else _days(dates)
+    mutation.recover_pending(spark, wh.raw_quotes)
     raw = T.read_quotes(spark, wh.raw_quotes)
     if dates is not None:
         # The partition column is derived from quote_ts in the same zone
@@ -118,11 +125,19 @@ def daily_run(spark: SparkSession, wh: Warehouse, landing: str, checkpoint: str,
     run the checks on them (the gate fails the run)."""
     from skyfare.streaming.ingest import ingest_landed
 
+    # The marker stands from before the first write until refresh and gate have
+    # passed. A run that finds one follows a crash or a failed gate: what is
+    # out of date, or bad, is then unknown, so all is rebuilt and checked.
+    unfinished = f"{checkpoint.rstrip('/')}/_unfinished_run"
+    heal = T.fs_exists(spark, unfinished)
+    if not heal:
+        T.fs_touch(spark, unfinished)
     stats = ingest_landed(spark, wh, landing, checkpoint, zone=zone)
     refreshed = None
-    if stats.touched:
-        full = not T.fs_exists(spark, wh.core)
+    if stats.touched or (heal and T.fs_exists(spark, wh.raw_quotes)):
+        full = heal or not T.fs_exists(spark, wh.core)
         refreshed = refresh_layers(spark, wh, zone=zone,
                                    dates=None if full else sorted(stats.touched, key=str),
                                    fail_on_checks=fail_on_checks)
+    T.fs_delete(spark, unfinished)
     return stats, refreshed

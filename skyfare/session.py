@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,7 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             return existing
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             # A machine-local folder is invisible to other executors.
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
                                "cluster's distributed filesystem) before writing")
@@ -70,18 +70,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/skyfare/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir(path: str) -> str | None:
-    """Filesystem path for a ``file:`` URI or a bare path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path
-
-
-def ensure_parent(path: str) -> None:
-    p = local_dir(path)
-    if p is not None:
-        os.makedirs(os.path.dirname(p) or ".", exist_ok=True)

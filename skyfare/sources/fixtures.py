@@ -17,7 +17,6 @@ EVENTS_DEPARTURE_BASE = "2024-06-01"
 LINEITEM_QUOTE_BASE = "2024-01-01 00:00:00"
 LINEITEM_DESTINATIONS = ["BKK", "PNH", "SGN", "MNL", "HND", "ICN"]
 EVENT_AIRLINES = ["JQ", "TR", "ZZ"]
-ROUTE_EVENT_TYPES = ["click", "view", "purchase"]
 UNQUOTED_ROUTE = "MEL-SYD"
 
 
@@ -82,10 +81,10 @@ def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supported_routes_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DIM_SUPPORTED_ROUTES stand-in: the distinct quoted routes for three
-    event types plus one supported route that has no quotes."""
+    """DIM_SUPPORTED_ROUTES stand-in: every distinct quoted route, plus one
+    supported route that has no quotes."""
     ev = table(spark, sf_dir, "events")
-    quoted = (ev.filter(F.col("event_type").isin(ROUTE_EVENT_TYPES))
+    quoted = (ev.filter(F.col("event_type").isNotNull())
               .select(F.concat(F.lit("MEL-"), F.upper("event_type")).alias("route_code"))
               .distinct())
     extra = spark.range(1).select(F.lit(UNQUOTED_ROUTE).alias("route_code"))

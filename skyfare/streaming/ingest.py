@@ -99,28 +99,26 @@ def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
             return
         if store_json:
             archive_once(spark, wh, batch, epoch, markers, zone=zone)
-        quotes = ingest.parse_responses(batch)
+        # Last wins by time of landing: file time, file, block, then the order
+        # in the block. Row ids alone would follow the splits, largest first.
+        place = ("_place",) if "_place" in batch.columns else ()
+        quotes = ingest.parse_responses(batch, carry=place)
         if grid is not None:
-            rows = ingest.build_quote_batch(grid, quotes, source_name)
+            rows = ingest.build_quote_batch(grid, quotes, source_name, carry=place)
         else:
             rows = quotes.select(
                 "origin", "destination", "departure_date",
                 F.col("ingested_at").alias("quote_ts"),
                 F.col("price").alias("price_aud"), "stops", "airline_code",
-                F.lit(source_name).alias("source"))
-        rows = rows.withColumn("seq", F.monotonically_increasing_id())
+                F.lit(source_name).alias("source"), *place)
+        rows = rows.withColumn("seq", F.struct(*place, F.monotonically_increasing_id().alias("at")))
         res = mutation.upsert_quotes(spark, wh.raw_quotes, rows, zone=zone)
         stats.batches += 1
         stats.responses += n
         stats.quotes += res.input_rows
         stats.inserted += res.inserted
         stats.updated += res.updated
-        if res.touched is not None:
-            stats.touched.update(res.touched)
-        else:   # above the literal-list bound: fall back to the staged copy
-            stats.touched.update(r[0] for r in mutation.read_staged(
-                spark, res.staging_path, "quotes")
-                .select("quote_date").distinct().toLocalIterator())
+        stats.touched.update(res.touched)
         stats.history.append((epoch, n, res.input_rows))
     finally:
         batch.unpersist()
@@ -149,7 +147,9 @@ def ingest_landed(spark: SparkSession, wh: Warehouse, landing: str, checkpoint:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.json(landing)
+    stream = reader.json(landing).select("*", F.struct(
+        "_metadata.file_modification_time", "_metadata.file_path",
+        "_metadata.file_block_start").alias("_place"))
     q = (stream.writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
