@@ -117,7 +117,8 @@ def _commit(spark: SparkSession, target: str, kind: str, staged_path: str) -> No
 
 
 def recover_pending(spark: SparkSession, target: str) -> int:
-    """Finish mutations whose driver died between staging and the swap."""
+    """Finish mutations whose driver died between staging and the swap. Their
+    staged copies stay, for a look at what the crash interrupted."""
     folder = f"{target.rstrip('/')}/{PENDING_DIR}"
     if not T.fs_exists(spark, folder):
         return 0
@@ -126,7 +127,6 @@ def recover_pending(spark: SparkSession, target: str) -> int:
         kind, staged = _staged_of(name)
         _apply(spark, target, kind, staged)
         T.fs_delete(spark, f"{folder}/{name}")
-        T.fs_delete(spark, staged)
     T.fs_delete(spark, folder)
     return len(names)
 

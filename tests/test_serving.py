@@ -82,20 +82,35 @@ def test_plans_top_k_and_semi_join(spark):
     assert "LeftSemi" in _plan(routes)
 
 
-def test_route_filter_reaches_both_sides(spark, tmp_path):
+def _written_mart(spark, tmp_path):
     from skyfare.plans import pipeline
     from skyfare.sources import tables as T
     from skyfare.sources.tables import Warehouse
     wh = Warehouse(str(tmp_path / "wh"))
     T.write_quotes(fx.quotes_from_events(spark, SF001), wh.raw_quotes, mode="overwrite", static=True)
     pipeline.refresh_layers(spark, wh)
-    fares = serving.cheapest_latest(pipeline.read_mart(spark, wh), "MEL-CLICK",
-                                    "2024-06-01", "2024-06-05")
-    plan = fares._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PushedFilters: [IsNotNull(route_code), IsNotNull(departure_date)") >= 2
+    return pipeline.read_mart(spark, wh)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_reads_the_mart_once_with_its_filters(spark, tmp_path):
+    mart = _written_mart(spark, tmp_path)
+    plan = _plan(serving.cheapest_latest(mart, "MEL-CLICK", "2024-06-01", "2024-06-05"))
+    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan and "Partial" in plan
     assert "EqualTo(route_code,MEL-CLICK)" in plan
 
 
+def test_recent_sql_prunes_partitions(spark, tmp_path):
+    from skyfare.operators import serving_sql
+    _written_mart(spark, tmp_path).createOrReplaceTempView("written_mart")
+    plan = _plan(serving_sql.cheapest_recent(spark, "written_mart", "2024-01-30"))
+    assert "PartitionFilters: [isnotnull(quote_date" in plan
+    spark.catalog.dropTempView("written_mart")
+
+
 def test_recency_is_eight_calendar_days(raw_df):
     rows = [quote(qts=f"2024-01-{day:02d} 12:00:00", dep=f"2024-06-{day:02d}") for day in range(20, 31)]
     rec = monitoring.recent(mart_of(raw_df(rows)), "2024-01-30").select("quote_day").distinct()
@@ -139,11 +154,13 @@ def test_no_python_udfs_in_read_plans(spark):
     assert F  # keep import
 
 
-def test_latest_methods_agree(spark):
+def test_latest_rows_equal_the_semi_join(spark):
     mart = mart_of(fx.quotes_from_events(spark, SF001))
-    a = sorted(map(tuple, serving.latest_rows(mart, "semi").collect()), key=str)
-    b = sorted(map(tuple, serving.latest_rows(mart, "window").collect()), key=str)
-    assert a == b and len(a) == 35
+    key = ["route_code", "departure_date"]
+    newest = mart.groupBy(*key).agg(F.max("quote_day").alias("quote_day"))
+    want = mart.join(newest, [*key, "quote_day"], "left_semi").select(*mart.columns)
+    got = sorted(map(tuple, serving.latest_rows(mart).collect()), key=str)
+    assert got == sorted(map(tuple, want.collect()), key=str) and len(got) == 35
 
 
 def test_window_helpers():
