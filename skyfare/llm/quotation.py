@@ -106,22 +106,28 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 
 def _reply_order(keys: DataFrame) -> DataFrame:
-    """``keys`` with their place in a walk of the reply tree. Chains are doubled
-    (each round doubles the known path), so rounds grow with the logarithm of
-    the longest chain; paths are arrays of turns."""
-    node = keys.groupBy("conv", "turn").agg(F.min("parent_turn").alias("up"))
+    """``keys`` with their place in a walk of the reply tree. Where each message
+    answers the turn before, that is the order of turns. Elsewhere chains are
+    doubled (each round doubles the known path of those not yet at their first
+    turn), so rounds grow with the logarithm of the longest chain."""
+    keys = staged(keys, "reply-keys")
+    branching = keys.filter("parent_turn != prior").select("conv").distinct()
+    node = (keys.join(branching, "conv", "left_semi")
+            .groupBy("conv", "turn").agg(F.min("parent_turn").alias("up")))
     state = staged(node.withColumn("path", F.array("turn")), "paths0")
     for k in range(1, 40):
         if not state.filter("up IS NOT NULL").limit(1).count():
             break
         upper = state.select("conv", F.col("turn").alias("up"), F.col("up").alias("up2"),
                              F.col("path").alias("path2"))
-        state = staged(state.join(upper, ["conv", "up"], "left")
-                       .select("conv", "turn", F.col("up2").alias("up"),
-                               F.concat(F.coalesce("path2", F.array().cast("array<bigint>")), "path")
-                               .alias("path")), f"paths{k}")
+        longer = (state.filter("up IS NOT NULL").join(upper, ["conv", "up"], "left")
+                  .select("conv", "turn", F.col("up2").alias("up"),
+                          F.concat(F.coalesce("path2", F.array().cast("array<bigint>")), "path")
+                          .alias("path")))
+        state = staged(state.filter("up IS NULL").unionByName(longer), f"paths{k}")
     walk = Window.partitionBy("conv").orderBy("path", "copy")
-    return (keys.join(state.select("conv", "turn", "path"), ["conv", "turn"])
+    return (keys.join(state.select("conv", "turn", "path"), ["conv", "turn"], "left")
+            .withColumn("path", F.coalesce("path", F.array("turn")))
             .withColumn("position", F.row_number().over(walk) - 1)
             .select("conv", "turn", "copy", "n_linked", "parent_turn", "position"))
 
