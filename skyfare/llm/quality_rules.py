@@ -145,15 +145,17 @@ def _state(rows: DataFrame, scale: float, name: str) -> DataFrame:
 
 
 def _distances(rows: DataFrame, state: DataFrame) -> DataFrame:
-    return (rows.join(state, "grp", "left").withColumn("d2", _distance2()).drop("m", "inv")
+    return (rows.join(state, "grp", "left").withColumn("d2", _distance2())
             .withColumn("bin", F.round(BIN * F.log(F.col("d2") + 0.01)).cast("long")))
 
 
-def _nearest(rows: DataFrame, share: float) -> DataFrame:
-    """Rows in the ``share`` of their group with the least distance."""
-    limit = staged(rows.groupBy("grp").agg(F.percentile("bin", F.lit(share)).alias("limit")),
-                   "mcd-limit")
-    return rows.join(limit, "grp").filter(F.col("bin") <= F.col("limit"))
+def _nearest(rows: DataFrame, state: DataFrame, share: float) -> DataFrame:
+    """Rows in the ``share`` of their group with the least distance. The limit
+    carries its group's state, so the second pass needs one join."""
+    limit = staged(_distances(rows, state).groupBy("grp").agg(
+        F.percentile("bin", F.lit(share)).alias("limit"),
+        F.any_value("m").alias("m"), F.any_value("inv").alias("inv")), "mcd-limit")
+    return _distances(rows, limit).filter(F.col("bin") <= F.col("limit"))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -203,12 +205,13 @@ def _statistics(rows: DataFrame) -> DataFrame:
 def estimate(base: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, DataFrame]:
     """(groups, state): the group of each (lang, source), and the final centre
     and covariance factors of each group, from the rows that pass the base rules."""
-    passed = staged(_statistics(base.filter(~F.col("base_failed"))).select("lang", "source", *X),
-                    "mcd-rows")
+    passed = base.filter(~F.col("base_failed"))
     groups = staged(_groups(passed, min_group), "mcd-groups")
-    rows = (passed.join(groups.withColumnsRenamed({"lang": "_l", "source": "_s"}),
-                        F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")))
-            .select("grp", *X))
+    # Written with their group: every pass below would join it again.
+    rows = staged(_statistics(passed).join(
+        groups.withColumnsRenamed({"lang": "_l", "source": "_s"}),
+        F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")))
+        .select("grp", *X), "mcd-rows")
     # Start: medians, and spreads from the median absolute deviations.
     med = staged(rows.groupBy("grp").agg(*[F.percentile(x, F.lit(0.5)).alias(f"m{i}")
                                            for i, x in enumerate(X)]), "mcd-medians")
@@ -223,7 +226,7 @@ def estimate(base: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, Da
         F.array(*[1.0 / variance[i] if i == j else F.lit(0.0) for i in n for j in n]).alias("inv")),
         "mcd-start")
     for step in range(C_STEPS):
-        state = _state(_nearest(_distances(rows, state), KEEP_SHARE), CONSISTENCY, f"mcd-step{step}")
+        state = _state(_nearest(rows, state, KEEP_SHARE), CONSISTENCY, f"mcd-step{step}")
     near = _distances(rows, state).filter(F.col("d2") <= REWEIGHT_AT)
     return groups, _state(near, CONSISTENCY_REWEIGHTED, "mcd-final")
 
