@@ -46,8 +46,11 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        last, e = e, staged(_small_star(_large_star(e)), "stars")
-        discard(last)
+        # Written, as the second half reads it three times.
+        moved = staged(_large_star(e), "large-stars")
+        discard(e)
+        e = staged(_small_star(moved), "stars")
+        discard(moved)
         after = _mark(e)
         if after == before:
             break
