@@ -2,9 +2,9 @@
 
 Lines that open with ``>`` marks are quotes; the number of marks is their
 level. A run of lines of one level is a passage. Its hash, after normalising,
-is looked up among the passages of earlier messages of the conversation, which
-links a message to the one it answers. Messages are then put in reply order,
-and formatted without their quotes.
+is looked up among the passages of earlier messages of the conversation, and
+among their runs of as many lines, which links a message to the one it answers.
+Messages are then put in reply order, and formatted without their quotes.
 """
 
 from __future__ import annotations
@@ -31,6 +31,40 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), part)
 
 
+def _line_hashes(text: Column) -> Column:
+    """Two hashes of each line that is not blank, normalised."""
+    keys = F.filter(F.transform(F.split(text, "\n", -1), _passage_key), lambda k: k != "")
+    return F.transform(keys, lambda k: F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit(1), k).alias("b")))
+
+
+def _run_key(hashes: Column) -> Column:
+    """(kind, k1, k2) of a run of lines by its line hashes."""
+    return F.struct(F.lit("lines").alias("kind"), F.xxhash64(F.transform(hashes, lambda h: h["a"])).alias("k1"),
+                    F.xxhash64(F.lit(1), F.transform(hashes, lambda h: h["b"])).alias("k2"))
+
+
+def _text_key(key: Column) -> Column:
+    return F.struct(F.lit("text").alias("kind"), F.xxhash64(key).alias("k1"),
+                    F.xxhash64(F.lit(1), key).alias("k2"))
+
+
+def _line_runs(streams: DataFrame, passages: DataFrame) -> DataFrame:
+    """(conv, turn, key): the runs of lines in ``streams`` (conv, turn, hs) that
+    start like a passage and have as many lines. Line hashes meet the first
+    lines of passages; only the runs so found are hashed, each in its stream."""
+    streams = staged(streams.filter(F.size("hs") > 0)
+                     .withColumn("stream", F.monotonically_increasing_id()), "line-streams")
+    starts = (passages.filter(F.size("hs") > 0)
+              .select("conv", F.get("hs", F.lit(0))["a"].alias("a"), F.size("hs").alias("m")).distinct())
+    at = (streams.select("conv", "stream", F.size("hs").alias("n"), F.posexplode("hs").alias("i", "h"))
+          .select("conv", "stream", "n", "i", F.col("h.a").alias("a"))
+          .join(starts, ["conv", "a"]).filter(F.col("i") + F.col("m") <= F.col("n"))
+          .groupBy("stream").agg(F.collect_list(F.struct("i", "m")).alias("at")))
+    return (streams.join(at, "stream")
+            .select("conv", "turn", F.explode(F.array_distinct(F.transform(
+                "at", lambda x: _run_key(F.slice(F.col("hs"), x["i"] + 1, x["m"]))))).alias("key")))
+
+
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
                 role: str = "role", text: str = "text") -> DataFrame:
     """One row per message: conv, turn, role, copy, body, n_quote_lines, max_level,
@@ -38,8 +72,11 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
     - ``body`` is the message without quoted lines, outer white space stripped.
     - A passage of level L, with L - 1 marks taken off, is held against every
-      passage (a run of lines of one level) and every whole own text of earlier
-      turns; the latest turn with an equal one is its origin. ``parent_turn`` is
+      passage (a run of lines of one level), every whole own text, every
+      paragraph of one and every run of as many lines, blank ones aside, of
+      either, of earlier turns; the latest turn with an equal one is its origin.
+      Whole passages, texts and paragraphs may be wrapped otherwise, runs of
+      lines may not; a part of a line is no quote of it. ``parent_turn`` is
       the origin of the outermost linked passage, the latest if several; without
       any, the turn before; NULL for the first turn.
     - ``position`` counts from 0 in reply order: each message follows its parent,
@@ -77,18 +114,24 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
             .groupBy("conv", "turn", "copy", "run", "level")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "body"))),
                                           lambda x: x["body"]), "\n").alias("p"))
-            .withColumn("key", _passage_key(F.col("p"))).filter("key != ''")
-            .withColumns({"k1": F.xxhash64("key"), "k2": F.xxhash64(F.lit(1), "key")}))
-    runs = staged(runs.select("conv", "turn", "copy", "run", "level", "k1", "k2"), "passages")
-    whole = _passage_key(F.col("body"))
-    quoting = runs.select("conv").distinct()
-    sources = (rows.join(quoting, "conv", "left_semi").filter(whole != "")
-               .select("conv", "turn", F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2"))
-               .union(runs.select("conv", "turn", "k1", "k2")).distinct()
-               .withColumnRenamed("turn", "from_turn"))
+            .withColumn("key", _passage_key(F.col("p"))).filter("key != ''"))
+    runs = staged(runs.select("conv", "turn", "copy", "run", "level", _text_key(F.col("key")).alias("key"),
+                              _line_hashes(F.col("p")).alias("hs")), "passages")
+    quoted_runs = runs.filter("level > 0")
+    quoting = quoted_runs.select("conv").distinct()
+    # Own texts of a quoting conversation, whole and by paragraph.
+    texts = rows.join(quoting, "conv", "left_semi").select("conv", "turn", "body")
+    keys = F.transform(F.array_append(F.split("body", f"\n[{SPACE_CLASS}]*\n", -1), F.col("body")), _passage_key)
+    whole = texts.select("conv", "turn", F.explode(F.array_distinct(F.transform(
+        F.filter(keys, lambda k: k != ""), _text_key))).alias("key"))
+    streams = (texts.select("conv", "turn", _line_hashes(F.col("body")).alias("hs"))
+               .union(quoted_runs.select("conv", "turn", "hs")))
+    sources = (whole.union(runs.select("conv", "turn", "key")).union(_line_runs(streams, quoted_runs))
+               .distinct().withColumnRenamed("turn", "from_turn"))
     # The latest earlier turn with the passage, of each quoted passage.
-    origin = (runs.filter("level > 0").join(sources, ["conv", "k1", "k2"])
-              .filter(F.col("from_turn") < F.col("turn"))
+    sought = quoted_runs.select("conv", "turn", "copy", "run", "level",
+                                F.explode(F.array(F.col("key"), _run_key(F.col("hs")))).alias("key"))
+    origin = (sought.join(sources, ["conv", "key"]).filter(F.col("from_turn") < F.col("turn"))
               .groupBy("conv", "turn", "copy", "run", "level").agg(F.max("from_turn").alias("origin")))
     linked = (origin.groupBy("conv", "turn", "copy").agg(
         F.count("*").alias("n_linked"), F.min_by("origin", F.struct("level", -F.col("origin"))).alias("linked")))

@@ -252,6 +252,25 @@ def test_quotes_link_to_their_origin(spark):
     assert quotation.digest(m.limit(0)).count() == 0
 
 
+def test_quotes_of_a_part_link_to_their_origin(spark):
+    letter = "Dear all,\nthe first point\nis here.\n\nThe second point\nis there.\n\nThe third\nis last."
+    rows = [(1, 0, "a", letter), (1, 1, "b", "is here.\nsomething else"), (1, 2, "c", "noise"),
+            (1, 3, "d", "> the SECOND point\n> is there.\nagreed"),
+            (1, 4, "e", "> is last.\nno\n> the first  point\n> is here.\n>\n> The second point\nyes"),
+            (1, 5, "f", "> The second point is\n> there.\nwrapped otherwise"),
+            (1, 6, "g", "> > is last.\n> no\nlevels"),
+            (1, 7, "h", "> is here.\n> The third\nnot side by side"),
+            (1, 8, "i", "> is here.\nthe latest with that line"),
+            (2, 0, "a", "x\r\n\r\ny\r\nz"), (2, 1, "b", "noise"), (2, 2, "c", "> y\r\n> z\r\nok"),
+            (3, 0, "a", "the first point"), (3, 1, "b", "no quote")]
+    m = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["n_linked"])
+           for r in quotation.link_quotes(m.repartition(3)).collect()}
+    assert got == {(1, 0): (None, 0), (1, 1): (0, 0), (1, 2): (1, 0), (1, 3): (0, 1), (1, 4): (0, 2),
+                   (1, 5): (3, 1), (1, 6): (4, 2), (1, 7): (6, 0), (1, 8): (7, 1),
+                   (2, 0): (None, 0), (2, 1): (0, 0), (2, 2): (0, 1), (3, 0): (None, 0), (3, 1): (0, 0)}
+
+
 # -- quality rules ------------------------------------------------------------
 
 def base_by_hand(text):
