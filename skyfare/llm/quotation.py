@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import SPACE_CLASS, ascii_lower, staged
+from skyfare.llm.common import SPACE_CLASS, ascii_lower, discard, staged
 
 MARKS = r"^[\x20\x09]*((?:>[\x20\x09]*)+)"
 
@@ -87,14 +87,12 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
       order of role and text, and are ordered by it.
     - Other columns are not carried; an empty table gives an empty result.
 
-    Only passage hashes are shuffled for the links. A conversation's message
-    keys, not its texts, meet in one group to be ordered.
+    Only line and passage hashes are shuffled for the links. Message keys, not
+    texts, are sorted for the order, by ranges: no task has to hold a conversation.
     """
-    order = Window.partitionBy("conv", "turn").orderBy(F.col("role").asc_nulls_first(),
-                                                       F.col("text").asc_nulls_first())
     rows = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
                            F.col(role).alias("role"), F.col(text).alias("text"))
-    rows = rows.withColumn("copy", F.row_number().over(order) - 1).withColumn("lines", _lines(F.col("text")))
+    rows = _copies(rows).withColumn("lines", _lines(F.col("text")))
     own = F.filter("lines", lambda x: x["level"] == 0)
     quoted = F.filter("lines", lambda x: x["level"] > 0)
     rows = rows.withColumns({
@@ -106,7 +104,8 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
                               F.when(F.col("n_quote_lines") > 0, F.col("lines")).alias("lines")),
                   "messages")
     # Passages: runs of lines of one level within a message.
-    line = (rows.filter("lines IS NOT NULL").select("conv", "turn", "copy", F.explode("lines").alias("x"))
+    known = rows.filter("conv IS NOT NULL AND turn IS NOT NULL")
+    line = (known.filter("lines IS NOT NULL").select("conv", "turn", "copy", F.explode("lines").alias("x"))
             .select("conv", "turn", "copy", "x.*"))
     one = Window.partitionBy("conv", "turn", "copy").orderBy("pos")
     runs = (line.withColumn("new", F.coalesce(F.col("level") != F.lag("level").over(one), F.lit(True)))
@@ -131,16 +130,11 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     # The latest earlier turn with the passage, of each quoted passage.
     sought = quoted_runs.select("conv", "turn", "copy", "run", "level",
                                 F.explode(F.array(F.col("key"), _run_key(F.col("hs")))).alias("key"))
-    origin = (sought.join(sources, ["conv", "key"]).filter(F.col("from_turn") < F.col("turn"))
+    origin = (_latest_before(sought, sources, ["conv", "key"])
               .groupBy("conv", "turn", "copy", "run", "level").agg(F.max("from_turn").alias("origin")))
     linked = (origin.groupBy("conv", "turn", "copy").agg(
         F.count("*").alias("n_linked"), F.min_by("origin", F.struct("level", -F.col("origin"))).alias("linked")))
-    before = Window.partitionBy("conv").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    keys = (rows.select("conv", "turn", "copy").filter("conv IS NOT NULL AND turn IS NOT NULL")
-            .withColumn("prior", F.max("turn").over(before))
-            .join(linked, ["conv", "turn", "copy"], "left")
-            .withColumn("parent_turn", F.coalesce("linked", "prior")))
-    placed = staged(_reply_order(keys), "reply-order")
+    placed = _reply_order(known.select("conv", "turn", "copy"), staged(linked, "links"))
     return (rows.drop("lines").join(placed, ["conv", "turn", "copy"], "left")
             .select(F.col("conv").alias(conv), F.col("turn").alias(turn), F.col("role").alias(role),
                     "copy", "body", "n_quote_lines", "max_level",
@@ -148,35 +142,123 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
                     F.col("position").cast("long").alias("position")))
 
 
-def _reply_order(keys: DataFrame) -> DataFrame:
-    """``keys`` with their place in a walk of the reply tree. Where each message
-    answers the turn before, that is the order of turns. Elsewhere chains are
-    doubled (each round doubles the known path of those not yet at their first
-    turn), so rounds grow with the logarithm of the longest chain."""
-    keys = staged(keys, "reply-keys")
-    branching = keys.filter("parent_turn != prior").select("conv").distinct()
-    node = (keys.join(branching, "conv", "left_semi")
-            .groupBy("conv", "turn").agg(F.min("parent_turn").alias("up")))
-    state = staged(node.withColumn("path", F.array("turn")), "paths0")
-    for k in range(1, 40):
-        if not state.filter("up IS NOT NULL").limit(1).count():
-            break
-        upper = state.select("conv", F.col("turn").alias("up"), F.col("up").alias("up2"),
-                             F.col("path").alias("path2"))
-        longer = (state.filter("up IS NOT NULL").join(upper, ["conv", "up"], "left")
-                  .select("conv", "turn", F.col("up2").alias("up"),
-                          F.concat(F.coalesce("path2", F.array().cast("array<bigint>")), "path")
-                          .alias("path")))
-        state = staged(state.filter("up IS NULL").unionByName(longer), f"paths{k}")
-    walk = Window.partitionBy("conv").orderBy("path", "copy")
-    return (keys.join(state.select("conv", "turn", "path"), ["conv", "turn"], "left")
-            .withColumn("path", F.coalesce("path", F.array("turn")))
-            .withColumn("position", F.row_number().over(walk) - 1)
-            .select("conv", "turn", "copy", "n_linked", "parent_turn", "position"))
+def _dealt(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``rows`` written in ranges of ``order``, numbered by ``part``."""
+    return staged(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name)
+
+
+def _carried(dealt: DataFrame, group: list[str], name: str, **totals) -> DataFrame:
+    """``dealt`` plus each of ``totals`` (name=(F.sum or F.max, column)) over the
+    earlier ranges of a row's group. A range has at most one group that began
+    before it, so one line a range is broadcast."""
+    sizes = staged(dealt.groupBy(*group, "part").agg(*[f(c).alias(k) for k, (f, c) in totals.items()]),
+                   f"{name}-sizes")
+    spans = sizes.groupBy(*group).agg(F.count("*").alias("n")).filter("n > 1").select(*group)
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = staged(sizes.join(F.broadcast(spans), group, "left_semi").select(
+        *group, "part", *[f(k).over(earlier).alias(k) for k, (f, _) in totals.items()]), f"{name}-carry")
+    return dealt.join(F.broadcast(carry), [*group, "part"], "left")
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``copy``, the number of each among those of its turn. Only
+    messages whose turn has others are sorted, by ranges; the sort samples a
+    hundred of their texts a task for the driver."""
+    rows = rows.withColumn("g", F.struct("conv", "turn"))  # equal where both are NULL
+    shared = staged(rows.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g"), "shared-turns")
+    if not shared.limit(1).count():
+        return rows.drop("g").withColumn("copy", F.lit(0))
+    alone = rows.join(shared, "g", "left_anti").drop("g").withColumn("copy", F.lit(0))
+    dealt = _dealt(rows.join(shared, "g", "left_semi").withColumn("salt", F.monotonically_increasing_id()),
+                   ["conv", "turn", "role", "text", "salt"], "copies")
+    order = Window.partitionBy("part", "g").orderBy(F.col("role").asc_nulls_first(),
+                                                    F.col("text").asc_nulls_first())
+    dealt = _carried(dealt, ["g"], "copies", before=(F.sum, F.lit(1)))
+    copy = F.coalesce("before", F.lit(0)) + F.row_number().over(order) - 1
+    return alone.unionByName(dealt.withColumn("copy", copy.cast("int")).select(alone.columns))
+
+
+def _latest_before(sought: DataFrame, sources: DataFrame, group: list[str]) -> DataFrame:
+    """``sought`` plus ``from_turn``, the latest turn before its own that
+    ``sources`` have with the same ``group``; rows without one go. What is
+    sought and found is sorted together, not paired."""
+    both = (sought.unionByName(sources.withColumn("turn", F.col("from_turn")), allowMissingColumns=True)
+            # Behind what is sought by the same turn.
+            .withColumn("side", F.col("from_turn").isNotNull())
+            .withColumn("salt", F.monotonically_increasing_id()))
+    dealt = _dealt(both, [*group, "turn", "side", "salt"], "sought")
+    dealt = _carried(dealt, group, "sought", before=(F.max, F.col("from_turn")))
+    so_far = (Window.partitionBy("part", *group).orderBy("turn", "side")
+              .rowsBetween(Window.unboundedPreceding, 0))
+    return (dealt.withColumn("latest", F.coalesce(F.max("from_turn").over(so_far), "before"))
+            .filter(~F.col("side") & F.col("latest").isNotNull())
+            .select(*sought.columns, F.col("latest").alias("from_turn")))
+
+
+def _reply_order(messages: DataFrame, linked: DataFrame) -> DataFrame:
+    """``messages`` (conv, turn, copy) with n_linked, parent_turn and their place
+    in a walk of the reply tree. Where each message answers the turn before,
+    that is the order of turns, summed up by ranges."""
+    turns = _dealt(messages.groupBy("conv", "turn").agg(F.count("*").alias("copies")), ["conv", "turn"], "turns")
+    turns = _carried(turns, ["conv"], "turns", last=(F.max, F.col("turn")), carried=(F.sum, F.col("copies")))
+    one = Window.partitionBy("part", "conv").orderBy("turn")
+    first = linked.groupBy("conv", "turn").agg(F.min("linked").alias("first"))
+    turns = staged(turns.select(
+        "conv", "turn", "copies", F.coalesce(F.lag("turn").over(one), "last").alias("prior"),
+        (F.coalesce("carried", F.lit(0)) + F.sum("copies").over(one) - F.col("copies")).alias("at"))
+        .join(first, ["conv", "turn"], "left").withColumn("up", F.coalesce("first", "prior")).drop("first"),
+        "reply-turns")
+    branching = staged(turns.filter("up != prior").select("conv").distinct(), "branching")
+    if branching.limit(1).count():
+        walked = _walk(turns.join(branching, "conv", "left_semi").select("conv", "turn", "up", "copies"))
+        turns = turns.join(walked, ["conv", "turn"], "left").withColumn("at", F.coalesce("walk_at", "at"))
+    return (messages.join(turns.select("conv", "turn", "prior", "at"), ["conv", "turn"])
+            .join(linked, ["conv", "turn", "copy"], "left")
+            .select("conv", "turn", "copy", "n_linked", F.coalesce("linked", "prior").alias("parent_turn"),
+                    (F.col("at") + F.col("copy")).alias("position")))
+
+
+def _walk(tree: DataFrame) -> DataFrame:
+    """conv, turn, walk_at: the messages before each turn in a walk of the tree.
+
+    The walk is a list: a turn is entered (side 0) after its parent is entered
+    or the reply before it is left, and left (side 1) after its last reply is
+    left, or at once. Sums along the list are doubled: each round doubles the
+    steps that the sum of an element spans, so rounds grow with the logarithm
+    of a conversation. An element follows one other and is followed by one, so
+    no round has a hot key, and each holds a few numbers."""
+    replies = _dealt(tree, ["conv", "up", "turn"], "replies")
+    replies = _carried(replies.filter("up IS NOT NULL"), ["conv", "up"], "replies", last=(F.max, F.col("turn")))
+    side_by_side = Window.partitionBy("part", "conv", "up").orderBy("turn")
+    enter = (replies.withColumn("sibling", F.coalesce(F.lag("turn").over(side_by_side), "last"))
+             .select("conv", "turn", F.lit(0).alias("side"), F.coalesce("sibling", "up").alias("to_turn"),
+                     F.col("sibling").isNotNull().cast("int").alias("to_side"), "copies"))
+    root = tree.filter("up IS NULL").select("conv", "turn", F.lit(0).alias("side"), F.col("up").alias("to_turn"),
+                                            F.lit(0).alias("to_side"), "copies")
+    last = (tree.filter("up IS NOT NULL").groupBy("conv", F.col("up").alias("turn"))
+            .agg(F.max("turn").alias("reply")))
+    leave = tree.join(last, ["conv", "turn"], "left").select(
+        "conv", "turn", F.lit(1).alias("side"), F.coalesce("reply", "turn").alias("to_turn"),
+        F.col("reply").isNotNull().cast("int").alias("to_side"), F.lit(0).cast("long").alias("copies"))
+    state = staged(root.union(enter).union(leave).withColumnRenamed("copies", "total"), "walk0")
+    k = 0
+    while state.filter("to_turn IS NOT NULL").limit(1).count():
+        k += 1
+        before = state.select("conv", F.col("turn").alias("to_turn"), F.col("side").alias("to_side"),
+                              F.col("to_turn").alias("turn2"), F.col("to_side").alias("side2"),
+                              F.col("total").alias("total2"))
+        longer = (state.filter("to_turn IS NOT NULL").join(before, ["conv", "to_turn", "to_side"])
+                  .select("conv", "turn", "side", F.col("turn2").alias("to_turn"),
+                          F.col("side2").alias("to_side"), (F.col("total") + F.col("total2")).alias("total")))
+        spent, state = state, staged(state.filter("to_turn IS NULL").unionByName(longer), f"walk{k}")
+        discard(spent)
+    return (state.filter("side = 0").join(tree, ["conv", "turn"])
+            .select("conv", "turn", (F.col("total") - F.col("copies")).alias("walk_at")))
 
 
 def format_chat(linked: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """conv, chat: each conversation in reply order as ``role: body`` lines."""
+    """conv, chat: each conversation in reply order as ``role: body`` lines. A
+    chat is one value, so one task puts it together."""
     line = F.concat(F.coalesce("role", F.lit("unknown")), F.lit(": "), "body")
     return (linked.filter(F.col("position").isNotNull()).groupBy(conv)
             .agg(F.array_sort(F.collect_list(F.struct("position", line.alias("x")))).alias("m"))

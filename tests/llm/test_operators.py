@@ -271,6 +271,60 @@ def test_quotes_of_a_part_link_to_their_origin(spark):
                    (2, 0): (None, 0), (2, 1): (0, 0), (2, 2): (0, 1), (3, 0): (None, 0), (3, 1): (0, 0)}
 
 
+def by_hand(rows):
+    """{(conv, turn, copy): (parent, position)} by a plain walk of whole-line quotes."""
+    out, convs = {}, {}
+    for c, t, _, x in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3])):
+        convs.setdefault(c, {}).setdefault(t, []).append(x)
+    for c, turns in convs.items():
+        up, order = {}, sorted(turns)
+        for i, t in enumerate(order):
+            for k, x in enumerate(turns[t]):
+                quote = x.split("\n")[0][2:] if x.startswith("> ") else None
+                found = [u for u in order[:i] if quote and any(quote in y.replace("> ", "").split("\n") for y in turns[u])]
+                out[c, t, k] = max(found) if found else order[i - 1] if i else None
+            up[t] = min((out[c, t, k] for k in range(len(turns[t]))), default=None) if i else None
+        paths, at = {}, 0
+        for t in order:
+            paths[t] = (*paths.get(up[t], ()), t)
+        for t in sorted(order, key=paths.get):
+            for k in range(len(turns[t])):
+                out[c, t, k] = out[c, t, k], at
+                at += 1
+    return out
+
+
+def test_long_branching_conversations_are_ordered_by_ranges(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(1, t, "u", f"> line {rnd.randrange(t)}\nline {t}" if t % 9 == 1 else f"line {t}") for t in range(700)]
+    rows += [(2, t, "u", "> line 0\nhub" if t else "line 0") for t in range(300)]
+    rows += [(3, t, "u", "> same\nsame") for t in range(300)] + [(4, t, "u", f"x{t}") for t in range(300)]
+    rows += [(5, t % 40, f"r{t % 3}", f"> line {t % 7}\nline {t % 40}" if t % 4 else f"line {t % 40}") for t in range(200)]
+    rows += [(None, None, "u", f"same{i % 2}") for i in range(300)]
+    m = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    tables, write = {}, quotation.staged
+
+    def spy(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+    monkeypatch.setattr(quotation, "staged", spy)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        linked = quotation.link_quotes(m.repartition(3)).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    got = {(r["conv_id"], r["turn"], r["copy"]): (r["parent_turn"], r["position"]) for r in linked}
+    assert len(got) == len(linked) == len(rows)
+    want = by_hand([r for r in rows if r[0] is not None])
+    assert {k: v for k, v in got.items() if k[0] is not None} == want
+    assert sorted(k[2] for k in got if k[0] is None) == list(range(300))
+    # No path is kept of a message, and ranges cut conversations.
+    assert not any(kind.startswith("array") for name, x in tables.items() for _, kind in x.dtypes
+                   if name not in ("messages", "passages", "line-streams"))
+    assert tables["turns"].filter("conv = 1").select("part").distinct().count() > 1
+
+
 # -- quality rules ------------------------------------------------------------
 
 def base_by_hand(text):
