@@ -1,7 +1,7 @@
 """Sharding: size-balanced range partitions from sampled splitters.
 
-Rows are ordered by (hash of the text, then the id within hot texts), so equal
-texts lie side by side. Splitters come from a size-weighted sample of those
+Rows are ordered by (hash of the text, then, within hot texts, the id and the
+row), so equal texts lie side by side. Splitters come from a size-weighted sample of those
 keys; the fine ranges they cut are measured exactly, overfull ones are cut
 again, and running byte totals over the ranges place every row in the shard
 that its byte offset falls in. Equal texts share a shard unless their group
@@ -19,15 +19,16 @@ SHARDS = 8
 RANGES_PER_SHARD = 32
 SAMPLES_PER_RANGE = 24
 HOT_SHARE = 0.01
+KEY = ("_k", "_sub", "_salt")
 
 
 def _splitters(keys: DataFrame, step: float) -> list:
     """Quantile boundaries: one key of about every ``step`` bytes, drawn with a
     chance proportional to the row's size. Bounded by total bytes / step."""
     per = step / SAMPLES_PER_RANGE
-    u = F.pmod(F.xxhash64(F.lit(7), "_k", "_sub", "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = keys.filter(u < F.col("size") / F.lit(per)).select("_k", "_sub")
-    ordered = sorted((r[0], r[1]) for r in sample.collect())
+    u = F.pmod(F.xxhash64(F.lit(7), "_k", "_row"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = keys.filter(u < F.col("size") / F.lit(per)).select(*KEY)
+    ordered = sorted(tuple(r) for r in sample.collect())
     return sorted(set(ordered[SAMPLES_PER_RANGE - 1::SAMPLES_PER_RANGE]))
 
 
@@ -37,8 +38,9 @@ def _range_of(splitters: list) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        k, sub = splitters[mid]
-        below = (F.col("_k") < k) | ((F.col("_k") == k) & (F.col("_sub") < sub))
+        k, sub, salt = splitters[mid]
+        below = (F.col("_k") < k) | ((F.col("_k") == k) & (
+            (F.col("_sub") < sub) | ((F.col("_sub") == sub) & (F.col("_salt") < salt))))
         return F.when(below, search(lo, mid)).otherwise(search(mid + 1, hi))
     return search(0, len(splitters))
 
@@ -61,7 +63,8 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = staged(docs.select(
         F.col(id_col).alias("_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("_k"), F.xxhash64(F.lit(1), text).alias("_k2")), "shard-rows")
+        F.xxhash64(text).alias("_k"), F.xxhash64(F.lit(1), text).alias("_k2"),
+        F.monotonically_increasing_id().alias("_row")), "shard-rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
     spark = rows.sparkSession
     out = ["_id", "size", "text_crc32"]
@@ -74,8 +77,10 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
            .filter(F.col("_g") > hot_share * share).select("_k"))
     hot_keys = [r[0] for r in hot.collect()]
     spread = F.col("_k").isin(hot_keys) if hot_keys else F.lit(False)
-    keys = rows.withColumn("_sub", F.when(spread, F.xxhash64(F.lit(3), "_id"))
-                           .otherwise(F.lit(0)).cast("long"))
+    # Repeated rows have one id or none, so the row itself comes last.
+    keys = rows.withColumns({
+        "_sub": F.when(spread, F.xxhash64(F.lit(3), "_id")).otherwise(F.lit(0)).cast("long"),
+        "_salt": F.when(spread, F.xxhash64(F.lit(4), "_row")).otherwise(F.lit(0)).cast("long")})
     splitters = _splitters(keys, share / RANGES_PER_SHARD)
     ranged = keys.withColumn("_range", _range_of(splitters))
     found = ranged.groupBy("_range").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
@@ -93,8 +98,8 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         before.append((r["_range"], b, n))
         b, n = b + r["b"], n + r["n"]
     offsets = F.broadcast(spark.createDataFrame(before, "_range int, _b0 long, _n0 long"))
-    in_range = Window.partitionBy("_range").orderBy("_k", "_sub", "_k2", "_id")
-    group = Window.partitionBy("_range", "_k", "_sub")
+    in_range = Window.partitionBy("_range").orderBy(*KEY, "_k2", "_id")
+    group = Window.partitionBy("_range", *KEY)
     placed = (ranged.join(offsets, "_range")
               .withColumn("_at", F.col("_b0") - F.col("size") + F.sum("size").over(
                   in_range.rowsBetween(Window.unboundedPreceding, 0)))

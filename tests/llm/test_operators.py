@@ -226,6 +226,32 @@ def test_sharding_is_even_gapless_and_keeps_small_groups_together(spark):
     assert sharding.digest(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("same", [17, None])
+def test_sharding_spreads_a_repeated_row(spark, same, monkeypatch):
+    rnd = random.Random(15)
+    rows = [(10_000 + i, prose(rnd, rnd.randrange(1, 60)), "en", "s", 1) for i in range(3000)]
+    rows += [(same, "one row again and again " * 8, "en", "s", 1)] * 1500
+    drawn, cut = [], sharding._splitters
+
+    def spy(keys, step):
+        drawn.append((cut(keys, step), keys))
+        return drawn[-1][0]
+    monkeypatch.setattr(sharding, "_splitters", spy)
+    got = sharding.digest(docs(spark, rows)).collect()
+    sizes, hot = [0] * 8, [0] * 8
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        hot[r["shard"]] += r["doc_id"] == same
+    assert len(got) == len(rows) and sum(hot) == 1500
+    assert max(sizes) - min(sizes) < 0.05 * max(sizes)
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    # Ranges cut the repeated row: none holds much of it.
+    first, keys = drawn[0]
+    in_range = (keys.filter("_id = 17" if same else "_id IS NULL").groupBy(sharding._range_of(first)).count())
+    assert max(r["count"] for r in in_range.collect()) < 200
+
+
 # -- quotation linking --------------------------------------------------------
 
 def test_quotes_link_to_their_origin(spark):
