@@ -23,9 +23,10 @@ from skyfare.llm.common import staged
 
 UNKNOWN = "und"
 DIM = 4096
-# At most so many training texts in all, shared evenly by the languages; the
-# choice is by a hash of the id. Bounds the model's cost, not its use.
-MAX_TRAIN = 1200
+# About so many training texts in all, shared evenly by the languages, where
+# what rare ones leave goes to the others; each has one at least. The choice is
+# by a hash of the id. Bounds the model's cost, not its use.
+MAX_TRAIN = 3000
 HELD_OUT = 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -164,20 +165,31 @@ def held_out_column(id_col):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == HELD_OUT
 
 
+def _quota(counts: list[int], total: int) -> int:
+    """The most texts a language may give, for ``total`` in all."""
+    left = total
+    for i, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if n > share:
+            return max(1, share)
+        left -= n
+    return max(counts)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_train: int = MAX_TRAIN, dim: int = DIM) -> Model:
     """Model from the rows that are not held out and have a text and a language.
 
     Counts per language come first; then the ids with the smallest hashes are
-    taken, ``max_train`` in all. Their profiles are made in the tasks; the
-    driver receives at most max_train x dim numbers.
+    taken, ``max_train`` in all, or one a language if there are more. Their
+    profiles are made in the tasks; the driver receives that many x dim numbers.
     """
     labelled = docs.filter(~held_out_column(id_col) & F.col(text_col).isNotNull()
                            & F.col(lang_col).isNotNull())
-    langs = [r[0] for r in labelled.select(lang_col).distinct().limit(max_train).collect()]
-    if not langs:
+    counts = [r[1] for r in labelled.groupBy(lang_col).count().collect()]
+    if not counts:
         return fit([])
-    each = max(1, max_train // len(langs))
+    each = _quota(counts, max_train)
     order = F.xxhash64(F.col(id_col), F.col(text_col))
     ranked = labelled.select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), order.alias("o"))
     ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("o", "i")))

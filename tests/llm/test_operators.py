@@ -114,6 +114,15 @@ def test_bpe_rows(spark, library):
 
 # -- Jaccard join -------------------------------------------------------------
 
+def test_language_id_learns_every_language_and_passes_quota_on(spark):
+    rows = [(i, f"{'abcde'[i % 5] * 3} {'vwxyz'[i % 5] * 4} text", f"l{i % 5}", "s", 1) for i in range(60)]
+    model = language_id.train(docs(spark, rows), max_train=2)
+    assert sorted(x for f in model.families for x in f) == [f"l{i}" for i in range(5)]
+    assert language_id._quota([2, 1000, 1000], 1000) == 499
+    assert language_id._quota([5, 7], 1000) == 7 and language_id._quota([9] * 50, 20) == 1
+    assert language_id.MAX_TRAIN == 3000
+
+
 def components_of(pairs, nodes):
     up = {n: n for n in nodes}
 
