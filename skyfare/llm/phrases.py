@@ -2,11 +2,12 @@
 
 Every n-gram is fingerprinted by prefix polynomials in numpy: one over the
 bytes gives each word's hash as a difference, one over the word hashes gives
-each n-gram's. A shuffle adds up the fingerprints, keeping of each its count
-and pointers to its first and last text; only the frequent ones are read back
-from the texts they point to. Two pointers with different words, or two
-different second hashes, betray a collision, and the occurrences of such a
-fingerprint are counted again by their words.
+each n-gram's. A shuffle adds up the fingerprints. For the frequent ones a
+second pass keeps pointers to the first and the last text and the least and
+the greatest of a second hash; only they are read back from the texts that the
+pointers name. Two pointers with different words, or two different second
+hashes, betray a collision, and the occurrences of such a fingerprint are
+counted again by their words.
 
 Sizes are counted in turn: an n-gram can be frequent only if both (n-1)-grams
 in it are, so the frequent ones of one size filter the next. The filter is a
@@ -16,11 +17,12 @@ shuffle and never changes a count.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +35,18 @@ TOP = 2000
 UNKNOWN = "und"
 
 # Words hashed at once, n-grams added up in a task before they are passed on,
-# rows to an Arrow batch.
+# rows to an Arrow batch in and out, and bytes of text taken from one at a time.
 BLOCK_WORDS = 200_000
-BUFFER_GRAMS = 2_000_000
-BATCH_ROWS = 1000
+BUFFER_GRAMS = 3_000_000
+BATCH_ROWS, BATCH_OUT = 250, 1 << 16
+SLICE_BYTES = 4 << 20
 # Bits of the filter to a frequent n-gram, and its greatest size (16 MB).
 BITS_PER_GRAM = 32
 MAX_FILTER_BITS = 1 << 27
-# A language's candidates are ranked in so many parts before the last ranking.
+# Scores lie between 0 and 1,000,000. They are ranked in bands: each score below
+# this one by itself, then so many together (1,999 bands at most).
+BAND = 1000
+# A band is ranked in so many parts before the last ranking.
 RANK_PARTS = 64
 
 # A-Z lower-cased, and what ends a piece made a newline.
@@ -81,12 +87,17 @@ class _Powers:
                 np.full(n - 1, b, np.uint64)))) for b in (self.base, self.inverse))
 
 
-def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: _Powers) -> np.ndarray:
-    """Polynomial hash of each ``values[start:end]``, wherever it lies."""
-    powers.reach(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers.up[:len(values)], out=prefix[1:])
-    return (prefix[ends] - prefix[starts]) * powers.down[starts]
+class _Hashes:
+    """Polynomial hashes of ``values[start:end]``, wherever it lies."""
+
+    def __init__(self, values: np.ndarray, powers: _Powers):
+        powers.reach(len(values) + 1)
+        self.down = powers.down
+        self.prefix = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * powers.up[:len(values)], out=self.prefix[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self.prefix[ends] - self.prefix[starts]) * self.down[starts]
 
 
 class _Words:
@@ -109,25 +120,38 @@ class _Words:
         self.mask = None if how.bits >= 64 else np.uint64((1 << how.bits) - 1)
         self.block = how.block
 
-    def blocks(self, sizes: tuple[int, ...]) -> Iterator[tuple[int, dict]]:
-        """For each block its first word and {size: (first words, fingerprints,
-        second hashes)} of the n-grams that start in it and lie in one piece."""
+    def blocks(self, sizes: tuple[int, ...]) -> Iterator[tuple[int, dict, Callable]]:
+        """For each block its first word, {size: (first words, fingerprints)} of
+        the n-grams that start in it and lie in one piece, and a function that
+        gives second hashes of (first words, size)."""
         top, n = max(sizes), len(self.starts)
         for i in range(0, n, self.block):
             j = min(i + self.block + top - 1, n)
             at = self.starts[i]
             values = self.bytes[at:self.ends[j - 1]].astype(np.uint64) + np.uint64(1)
-            words = [_mix(_spans(values, self.starts[i:j] - at, self.ends[i:j] - at, by_byte))
-                     for by_byte, _ in self.powers]
-            out = {}
+
+            def grams(which: int, i=i, j=j, at=at, values=values) -> _Hashes:
+                by_byte, by_word = self.powers[which]
+                words = _Hashes(values, by_byte).of(self.starts[i:j] - at, self.ends[i:j] - at)
+                return _Hashes(_mix(words), by_word)
+
+            def hashed(hashes: _Hashes, first: np.ndarray, m: int, i=i) -> np.ndarray:
+                return _mix(hashes.of(first - i, first - i + m) ^ self.seeds[self.doc[first]])
+
+            out, hashes = {}, grams(0)
             for m in sizes:
                 first = np.arange(i, max(min(i + self.block, j - m + 1), i))
                 first = first[self.piece[first] == self.piece[first + m - 1]]
-                seed = self.seeds[self.doc[first]]
-                fp, check = (_mix(_spans(w, first - i, first - i + m, by_word) ^ seed)
-                             for w, (_, by_word) in zip(words, self.powers))
-                out[m] = first, fp if self.mask is None else _mix(fp & self.mask), check
-            yield i, out
+                fp = hashed(hashes, first, m)
+                out[m] = first, fp if self.mask is None else _mix(fp & self.mask)
+            second = []
+
+            def check(first: np.ndarray, m: int, grams=grams, hashed=hashed, second=second) -> np.ndarray:
+                if not second:
+                    second.append(grams(1))
+                return hashed(second[0], first, m)
+
+            yield i, out, check
 
     def text(self, first: int, m: int) -> str:
         return b" ".join(self.raw[self.starts[k]:self.ends[k]] for k in range(first, first + m)).decode()
@@ -135,11 +159,16 @@ class _Words:
 
 def _batches(batches: Iterator[pa.RecordBatch], how: Hashing) -> Iterator[tuple[pa.RecordBatch, _Words]]:
     powers = [(_Powers(a), _Powers(b)) for a, b in _BASES]
-    for batch in batches:
-        if not len(batch):
-            continue
-        seeds = batch.column("seed").to_numpy().view(np.uint64)
-        yield batch, _Words(batch.column("text"), seeds, powers, how)
+    for whole in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column("text")), 0).to_numpy())
+        at = 0
+        while at < len(whole):
+            # As many texts as fit into a slice, and one at least.
+            fit = np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")
+            batch = whole.slice(at, max(int(fit) - at, 1))
+            at += len(batch)
+            seeds = batch.column("seed").to_numpy().view(np.uint64)
+            yield batch, _Words(batch.column("text"), seeds, powers, how)
 
 
 class _Filter:
@@ -173,81 +202,127 @@ class _Filter:
         self.shared.unpersist()
 
 
-def _reduce(parts: list[tuple]) -> pa.RecordBatch:
+def _begins(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array begins."""
+    return np.flatnonzero(np.concatenate((np.ones(1, bool), ordered[1:] != ordered[:-1])))
+
+
+def _added(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    fp = np.sort(np.concatenate(parts))
+    at = _begins(fp)
+    yield from _out({"fp": fp[at].view(np.int64), "n": np.diff(np.append(at, len(fp)))})
+
+
+def _pointed(size: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
     fp, check, row = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(fp, kind="stable")
+    order = np.argsort(fp)
     fp, check, row = fp[order], check[order].view(np.int64), row[order]
-    at = np.flatnonzero(np.concatenate((np.ones(1, bool), fp[1:] != fp[:-1])))
-    n = np.diff(np.append(at, len(fp)))
-    cols = [fp[at].view(np.int64), n, np.minimum.reduceat(check, at), np.maximum.reduceat(check, at),
-            np.minimum.reduceat(row, at), np.maximum.reduceat(row, at)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["fp", "n", "c0", "c1", "r0", "r1"])
+    at = _begins(fp)
+    yield from _out({"size": np.full(len(at), size, np.int32), "fp": fp[at].view(np.int64),
+                     "c0": np.minimum.reduceat(check, at), "c1": np.maximum.reduceat(check, at),
+                     "r0": np.minimum.reduceat(row, at), "r1": np.maximum.reduceat(row, at)})
+
+
+def _out(cols: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cols.values()], list(cols))
+    for at in range(0, len(batch), BATCH_OUT):
+        yield batch.slice(at, BATCH_OUT)
 
 
 def _count(texts: DataFrame, m: int, below: _Filter | None, how: Hashing) -> DataFrame:
-    """fp, n, c0, c1 (least and greatest second hash), r0, r1 (first and last
-    row) of the n-grams of ``m`` words: added up in each task, then by shuffle."""
+    """fp, n of the n-grams of ``m`` words: added up in each task, then by shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch, words in _batches(batches, how):
-            rows = batch.column("row").to_numpy()
-            for i, found in words.blocks((m,) if below is None else (m - 1, m)):
-                first, fp, check = found[m]
+        for _, words in _batches(batches, how):
+            for i, found, _ in words.blocks((m,) if below is None else (m - 1, m)):
+                first, fp = found[m]
                 if below is not None:
-                    sub, sub_fp, _ = found[m - 1]
+                    sub, sub_fp = found[m - 1]
                     # Unknown: the sub-gram after a block's last one; it is kept.
                     good = np.ones(how.block + 1, bool)
                     good[sub - i] = below.holds(sub_fp)
-                    keep = good[first - i] & good[first - i + 1]
-                    first, fp, check = first[keep], fp[keep], check[keep]
-                if len(fp):
-                    held.append((fp, check, rows[words.doc[first]]))
-                    n += len(fp)
+                    fp = fp[good[first - i] & good[first - i + 1]]
+                held.append(fp)
+                n += len(fp)
                 if n >= BUFFER_GRAMS:
-                    yield _reduce(held)
+                    yield from _added(held)
                     held, n = [], 0
-        if held:
-            yield _reduce(held)
+        if n:
+            yield from _added(held)
+
+    return (texts.select("seed", "text").mapInArrow(run, "fp bigint, n bigint")
+            .groupBy("fp").agg(F.sum("n").alias("n")))
+
+
+def _locate(texts: DataFrame, among: dict[int, _Filter], how: Hashing) -> DataFrame:
+    """size, fp, c0, c1 (least and greatest second hash), r0, r1 (first and
+    last row) of the n-grams that pass the filter of their size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = {m: [] for m in among}, 0
+        for batch, words in _batches(batches, how):
+            rows = batch.column("row").to_numpy()
+            for _, found, check in words.blocks(tuple(among)):
+                for m, (first, fp) in found.items():
+                    hit = among[m].holds(fp)
+                    if hit.any():
+                        first = first[hit]
+                        held[m].append((fp[hit], check(first, m), rows[words.doc[first]]))
+                        n += len(first)
+                if n >= BUFFER_GRAMS:
+                    for m in among:
+                        if held[m]:
+                            yield from _pointed(m, held[m])
+                    held, n = {m: [] for m in among}, 0
+        for m in among:
+            if held[m]:
+                yield from _pointed(m, held[m])
 
     found = texts.select("row", "seed", "text").mapInArrow(
-        run, "fp bigint, n bigint, c0 bigint, c1 bigint, r0 bigint, r1 bigint")
-    return found.groupBy("fp").agg(F.sum("n").alias("n"), F.min("c0").alias("c0"), F.max("c1").alias("c1"),
-                                   F.min("r0").alias("r0"), F.max("r1").alias("r1"))
+        run, "size int, fp bigint, c0 bigint, c1 bigint, r0 bigint, r1 bigint")
+    return found.groupBy("size", "fp").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"),
+                                           F.min("r0").alias("r0"), F.max("r1").alias("r1"))
 
 
-def _read_back(texts: DataFrame, frequent: DataFrame, m: int, how: Hashing) -> DataFrame:
-    """fp, lang, phrase: the words of each fingerprint in the rows it points to
-    (at most two rows; equal readings are given once)."""
-    points = (frequent.select("fp", F.explode(F.array_distinct(F.array("r0", "r1"))).alias("row"))
-              .groupBy("row").agg(F.collect_list("fp").alias("wanted")))
+def _read_back(texts: DataFrame, points: DataFrame, sizes: tuple[int, ...], how: Hashing) -> DataFrame:
+    """size, fp, lang, phrase: the words of each fingerprint in the rows it
+    points to (at most two rows; equal readings are given once)."""
+    wanted = (points.select("size", "fp", F.explode(F.array_distinct(F.array("r0", "r1"))).alias("row"))
+              .groupBy("row").agg(*[F.collect_list(F.when(F.col("size") == m, F.col("fp"))).alias(f"w{m}")
+                                    for m in sizes]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _batches(batches, how):
-            wanted = batch.column("wanted")
-            # (row, fingerprint) as one number, to look all of them up at once.
             salt = _mix(np.arange(1, len(batch) + 1, dtype=np.uint64))
-            keys = np.sort(wanted.flatten().to_numpy().view(np.uint64)
-                           ^ np.repeat(salt, np.diff(wanted.offsets.to_numpy())))
+            keys = {}
+            for m in sizes:
+                want = batch.column(f"w{m}")
+                # (row, fingerprint) as one number, to look all of them up at once.
+                keys[m] = np.sort(want.flatten().to_numpy().view(np.uint64)
+                                  ^ np.repeat(salt, np.diff(want.offsets.to_numpy())))
             done, out = set(), []
-            for _, found in words.blocks((m,)):
-                first, fp, _ = found[m]
-                key = fp ^ salt[words.doc[first]]
-                hit = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key)
-                doc, fp, first = words.doc[first[hit]], fp[hit], first[hit]
-                order = np.lexsort((fp, doc))
-                new = np.ones(len(order), bool)
-                new[1:] = (np.diff(doc[order]) != 0) | (fp[order][1:] != fp[order][:-1])
-                for k in order[new]:
-                    if (pair := (doc[k], fp[k])) not in done:
-                        done.add(pair)
-                        out.append((fp[k], doc[k], words.text(first[k], m)))
-            fps = np.array([o[0] for o in out], np.uint64).view(np.int64)
+            for _, found, _ in words.blocks(sizes):
+                for m, (first, fp) in found.items():
+                    if not len(keys[m]):
+                        continue
+                    key = fp ^ salt[words.doc[first]]
+                    at = np.minimum(np.searchsorted(keys[m], key), len(keys[m]) - 1)
+                    hit = np.flatnonzero(keys[m][at] == key)
+                    doc, fp, first = words.doc[first[hit]], fp[hit], first[hit]
+                    order = np.lexsort((fp, doc))
+                    new = np.ones(len(order), bool)
+                    new[1:] = (np.diff(doc[order]) != 0) | (fp[order][1:] != fp[order][:-1])
+                    for k in order[new]:
+                        if (place := (m, doc[k], fp[k])) not in done:
+                            done.add(place)
+                            out.append((*place, words.text(first[k], m)))
+            fps = np.array([o[2] for o in out], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(fps), batch.column("lang").take(pa.array([o[1] for o in out], pa.int64())),
-                 pa.array([o[2] for o in out], pa.string())], ["fp", "lang", "phrase"])
+                [pa.array([o[0] for o in out], pa.int32()), pa.array(fps),
+                 batch.column("lang").take(pa.array([o[1] for o in out], pa.int64())),
+                 pa.array([o[3] for o in out], pa.string())], ["size", "fp", "lang", "phrase"])
 
-    return (texts.join(points, "row").select("seed", "lang", "text", "wanted")
-            .mapInArrow(run, "fp bigint, lang string, phrase string").distinct())
+    return (texts.join(wanted, "row").select("seed", "lang", "text", *[f"w{m}" for m in sizes])
+            .mapInArrow(run, "size int, fp bigint, lang string, phrase string").distinct())
 
 
 def _by_words(texts: DataFrame, collided: DataFrame, m: int, how: Hashing) -> DataFrame:
@@ -261,8 +336,8 @@ def _by_words(texts: DataFrame, collided: DataFrame, m: int, how: Hashing) -> Da
         for batch, words in _batches(batches, how):
             langs = batch.column("lang").to_pylist()
             counts: dict[tuple, int] = {}
-            for _, found in words.blocks((m,)):
-                first, fp, _ = found[m]
+            for _, found, _ in words.blocks((m,)):
+                first, fp = found[m]
                 hit = among.holds(fp)
                 for k, f in zip(first[hit].tolist(), fp[hit].view(np.int64).tolist()):
                     key = f, langs[words.doc[k]], words.text(k, m)
@@ -305,29 +380,32 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     with arrow_batch(spark, BATCH_ROWS):
         texts = _stage_texts(docs, text_col, lang_col)
         totals = staged(texts.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-totals")
-        below, phrases, spent = None, None, [texts]
-        for m in range(1, max_words + 1):
-            frequent = staged(_count(texts, m, below, how).filter(F.col("n") >= min_count), f"phrase-counts{m}")
-            if below is not None:
-                below.free()
-            read = staged(_read_back(texts, frequent, m, how), f"phrase-texts{m}")
-            seen = read.groupBy("fp").agg(F.count("*").alias("readings"), F.first("lang").alias("lang"),
-                                          F.first("phrase").alias("phrase"))
-            judged = staged(frequent.join(seen, "fp").select(
-                "fp", "n", "lang", "phrase", ((F.col("c0") != F.col("c1")) | (F.col("readings") > 1)).alias("bad")),
-                f"phrase-judged{m}")
-            found = judged.filter(~F.col("bad")).select("lang", "phrase", "n")
-            again = _by_words(texts, judged.filter("bad").select("fp"), m, how)
+        sizes, among, frequent = tuple(range(1, max_words + 1)), {}, None
+        spent = [texts]
+        for m in sizes:
+            count = _count(texts, m, among.get(m - 1), how).filter(F.col("n") >= min_count)
+            spent.append(staged(count, f"phrase-counts{m}"))
+            among[m] = _Filter(spent[-1])
+            sized = spent[-1].withColumn("size", F.lit(m))
+            frequent = sized if frequent is None else frequent.union(sized)
+        points = staged(_locate(texts, among, how).join(frequent, ["size", "fp"]), "phrase-points")
+        read = _read_back(texts, points, sizes, how)
+        seen = read.groupBy("size", "fp").agg(F.count("*").alias("readings"), F.first("lang").alias("lang"),
+                                              F.first("phrase").alias("phrase"))
+        bad = (F.col("c0") != F.col("c1")) | (F.col("readings") > 1)
+        judged = staged(points.join(seen, ["size", "fp"]).select(
+            "lang", "phrase", "size", "n", "fp", bad.alias("bad")), "phrase-judged")
+        phrases = judged.filter(~F.col("bad")).drop("fp", "bad")
+        for m in sizes:
+            again = _by_words(texts, judged.filter(F.col("bad") & (F.col("size") == m)).select("fp"), m, how)
             if again is not None:
-                found = found.union(staged(again.filter(F.col("n") >= min_count), f"phrase-collided{m}"))
-            found = found.withColumn("size", F.lit(m))
-            phrases = found if phrases is None else phrases.union(found)
-            if m < max_words:
-                below = _Filter(frequent)
-            spent += [frequent, read, judged]
+                phrases = phrases.union(again.filter(F.col("n") >= min_count)
+                                        .select("lang", "phrase", F.lit(m).alias("size"), "n"))
         phrases = staged(phrases, "phrases")
-        for t in spent:
+        for t in [*spent, points, judged]:
             discard(t)
+        for f in among.values():
+            f.free()
     return phrases, totals
 
 
@@ -374,15 +452,27 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
              .groupBy("lang", "phrase").agg(F.max("longer").alias("longer")))
     left = (best.join(inner, ["lang", "phrase"], "left")
             .filter(F.coalesce(100 * F.col("longer") < absorb * F.col("a"), F.lit(True))).drop("longer"))
+    return _ranked(left, top).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _ranked(rows: DataFrame, top: int) -> DataFrame:
+    """``rows`` with ``rank``, the first ``top`` a language. Bands of scores are
+    counted first; a row's rank is what lies in better bands, plus its place in
+    its own. Bands that start past ``top`` are not ranked at all, and no task
+    sorts a language: at most 1,999 counts, or RANK_PARTS x ``top`` rows of one band."""
+    rows = staged(rows.withColumn("band", F.expr(
+        f"CASE WHEN score < {BAND} THEN score ELSE {BAND - 1} + score DIV {BAND} END")), "phrase-scores")
+    better = Window.partitionBy("lang").orderBy(F.col("band").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bands = (rows.groupBy("lang", "band").agg(F.count("*").alias("in_band"))
+             .withColumn("before", F.coalesce(F.sum("in_band").over(better), F.lit(0)))
+             .filter(F.col("before") < top).drop("in_band"))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    # Ranked within parts first, so the last ranking reads RANK_PARTS x top rows a language.
-    dealt = left.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
-    short = (dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
-             .filter(F.col("rank") <= top).drop("part", "rank"))
-    ranked = (short.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
-              .filter(F.col("rank") <= top))
-    return (ranked.join(totals, "lang")
-            .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+    dealt = (rows.join(bands, ["lang", "band"])
+             .withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))))
+    short = (dealt.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang", "band", "part").orderBy(*order))).filter(F.col("rank") <= top))
+    return (short.withColumn("rank", F.col("before") + F.row_number().over(
+        Window.partitionBy("lang", "band").orderBy(*order))).filter(F.col("rank") <= top))
 
 
 def digest(docs: DataFrame) -> DataFrame:
