@@ -89,6 +89,52 @@ def fs_touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there whole or not at all."""
+    tmp, fs = _fs(spark, f"{path}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(tmp, _fs(spark, path)[0]):
+        raise OSError(f"cannot write {path}")
+
+
+def fs_read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    source = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(fs.open(p))
+    return bytes(source).decode()
+
+
+def fs_move_partitions(spark: SparkSession, source: str, target: str) -> int:
+    """Rename the files of each ``quote_date=...`` folder of ``source`` into the
+    folder of that name in ``target``: no data passes the driver. A file keeps
+    its (unique) name, so a second call moves only what the first one left."""
+    root, fs = _fs(spark, source)
+    moved = 0
+    if not fs.exists(root):
+        return 0
+    for part in fs.listStatus(root):
+        name = part.getPath().getName()
+        if not name.startswith(f"{PARTITION_COLUMN}="):
+            continue
+        folder, _ = _fs(spark, f"{target.rstrip('/')}/{name}")
+        fs.mkdirs(folder)
+        for f in fs.listStatus(part.getPath()):
+            if f.isFile() and not f.getPath().getName().startswith(("_", ".")):
+                to, _ = _fs(spark, f"{folder}/{f.getPath().getName()}")
+                if not fs.rename(f.getPath(), to):
+                    raise OSError(f"cannot move {f.getPath()} to {to}")
+                moved += 1
+    return moved
+
+
 def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a partitioned table with its declared schema (never inferred)."""
     return (spark.read.schema(schema).option("basePath", path)

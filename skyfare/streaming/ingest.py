@@ -2,29 +2,33 @@
 
 New JSON-lines files in a landing folder are picked up by a file-source
 stream run with ``trigger(availableNow=True)``: each run processes exactly
-the files not yet recorded in the checkpoint, then stops. Each micro-batch
-archives the responses and upserts the quotes they yield, so a file is
-loaded once even across restarts (the checkpoint lives in the shared
-checkpoint folder, and a replayed batch upserts the same keys to the same
-values).
+the files not yet recorded in the checkpoint, then stops. Each micro-batch is
+staged once, then archived and its quotes upserted from there. Both tables
+record (stream, epoch) with the change, so a micro-batch that comes again
+after a crash adds nothing to a table that has it already: rows with a NULL
+in their key and identical responses included.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
 from skyfare.operators import ingest, mutation
 from skyfare.schemas import RAW_JSON
+from skyfare.session import scratch_path
 from skyfare.sources import tables as T
 from skyfare.sources.tables import Warehouse
 
 # Landed timestamps keep microseconds.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# Landed files to a micro-batch. A backlog is worked off in so many at a time,
+# in one run; no file is left out.
+MAX_FILES_PER_TRIGGER = 10_000
 
 
 def land_responses(responses: DataFrame, folder: str) -> None:
@@ -52,67 +56,45 @@ class IngestStats:
     history: list = field(default_factory=list)
 
 
-def archive_once(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
-                 markers: str, keep_unpriced: bool = False, zone: str | None = None) -> str:
-    """Append a micro-batch's responses to the JSON archive exactly once.
-
-    ``foreachBatch`` is at-least-once: after a driver failure the same epoch
-    runs again. A ``.done`` marker means the archive already has this
-    epoch (skip). A ``.started`` marker without ``.done`` means an earlier
-    attempt may have appended some rows, so only rows not yet present (same
-    time, route, request and response text) are appended.
-    """
-    done, started = f"{markers}/{epoch}.done", f"{markers}/{epoch}.started"
-    if T.fs_exists(spark, done):
-        return "skipped"
-    rows = ingest.archive_rows(batch, keep_unpriced)
-    outcome = "appended"
-    if T.fs_exists(spark, started) and T.fs_exists(spark, wh.raw_json):
-        key = [F.col("ingested_at"), F.col("route_code"),
-               F.to_json("params").alias("_p"), F.to_json("response").alias("_r")]
-        dates = rows.select(T.partition_of(F.col("ingested_at"), zone).alias("quote_date")).distinct()
-        present = (T.read_json_rows(spark, wh.raw_json).join(dates, "quote_date", "left_semi")
-                   .select(*key).distinct())
-        rows = (rows.select("*", F.to_json("params").alias("_p"), F.to_json("response").alias("_r"))
-                .join(present, ["ingested_at", "route_code", "_p", "_r"], "left_anti")
-                .drop("_p", "_r"))
-        outcome = "resumed"
-    T.fs_touch(spark, started)
-    mutation.append_rows(rows, wh.raw_json, kind="json", zone=zone)
-    T.fs_touch(spark, done)
-    return outcome
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name a checkpoint folder goes by in the tables' records: made with
+    the folder and gone with it, since a new checkpoint counts epochs anew."""
+    path = f"{checkpoint.rstrip('/')}/_stream_id"
+    if not T.fs_exists(spark, path):
+        T.fs_write_text(spark, path, uuid.uuid4().hex)
+    return T.fs_read_text(spark, path)
 
 
 def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
-               markers: str, stats: IngestStats, grid: DataFrame | None = None,
+               stream: str, stats: IngestStats, grid: DataFrame | None = None,
                store_json: bool = True, source_name: str = C.DEFAULT_SOURCE_NAME,
                zone: str | None = None) -> None:
     """One micro-batch: archive the responses, upsert the quotes they yield.
 
-    Both steps are safe to repeat for the same epoch: the archive through
-    its markers, the upsert because it is keyed (same keys, same values).
+    Either step may have been done by an earlier attempt at this epoch; the
+    table's own record tells, and it is then skipped.
     """
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = batch.count()
-        if n == 0:
-            return
+    path, seen = scratch_path(spark, "epoch"), Observation()
+    batch.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    n = seen.get["n"]
+    if n:
+        rows = spark.read.schema(batch.schema).parquet(path)
         if store_json:
-            archive_once(spark, wh, batch, epoch, markers, zone=zone)
+            mutation.append_rows(ingest.archive_rows(rows), wh.raw_json, kind="json", zone=zone, op=(stream, epoch))
         # Last wins by time of landing: file time, file, block, then the order
         # in the block. Row ids alone would follow the splits, largest first.
         place = ("_place",) if "_place" in batch.columns else ()
-        quotes = ingest.parse_responses(batch, carry=place)
+        quotes = ingest.parse_responses(rows, carry=place)
         if grid is not None:
-            rows = ingest.build_quote_batch(grid, quotes, source_name, carry=place)
+            made = ingest.build_quote_batch(grid, quotes, source_name, carry=place)
         else:
-            rows = quotes.select(
+            made = quotes.select(
                 "origin", "destination", "departure_date",
                 F.col("ingested_at").alias("quote_ts"),
                 F.col("price").alias("price_aud"), "stops", "airline_code",
                 F.lit(source_name).alias("source"), *place)
-        rows = rows.withColumn("seq", F.struct(*place, F.monotonically_increasing_id().alias("at")))
-        res = mutation.upsert_quotes(spark, wh.raw_quotes, rows, zone=zone)
+        made = made.withColumn("seq", F.struct(*place, F.monotonically_increasing_id().alias("at")))
+        res = mutation.upsert_quotes(spark, wh.raw_quotes, made, zone=zone, op=(stream, epoch))
         stats.batches += 1
         stats.responses += n
         stats.quotes += res.input_rows
@@ -120,37 +102,37 @@ def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
         stats.updated += res.updated
         stats.touched.update(res.touched)
         stats.history.append((epoch, n, res.input_rows))
-    finally:
-        batch.unpersist()
+    T.fs_delete(spark, path)
 
 
 def ingest_landed(spark: SparkSession, wh: Warehouse, landing: str, checkpoint: str,
                   grid: DataFrame | None = None, store_json: bool = True,
                   source_name: str = C.DEFAULT_SOURCE_NAME, zone: str | None = None,
-                  max_files_per_trigger: int | None = None,
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
                   archive_dir: str | None = None) -> IngestStats:
     """Load every landed file not loaded before, then stop.
 
+    A backlog is loaded in micro-batches of ``max_files_per_trigger`` files.
+
     ``archive_dir``: move each landed file there once its batch is committed
     (the file source's ``cleanSource=archive``), so the landing folder, which
     the source lists on every trigger, does not grow without bound.
     """
     stats = IngestStats()
-    markers = f"{checkpoint.rstrip('/')}/_archive"
+    stream = stream_id(spark, checkpoint)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_batch(spark, wh, batch, epoch, markers, stats, grid, store_json, source_name, zone)
+        load_batch(spark, wh, batch, epoch, stream, stats, grid, store_json, source_name, zone)
 
     reader = (spark.readStream.schema(RAW_JSON)
-              .option("timestampFormat", TIMESTAMP_FORMAT))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+              .option("timestampFormat", TIMESTAMP_FORMAT)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.json(landing).select("*", F.struct(
+    landed = reader.json(landing).select("*", F.struct(
         "_metadata.file_modification_time", "_metadata.file_path",
         "_metadata.file_block_start").alias("_place"))
-    q = (stream.writeStream.foreachBatch(load)
+    q = (landed.writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

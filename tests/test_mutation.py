@@ -106,11 +106,50 @@ def test_driver_crash_between_stage_and_swap_is_recovered(spark, raw_df, tmp_pat
     # the driver staged the result and left its marker, then died
     res = mutation.stage_upsert(spark, crashed, src)
     assert sorted(res.touched, key=str) == sorted([dt.date(2024, 1, 1), dt.date(2024, 1, 3), None], key=str)
-    T.fs_touch(spark, mutation._marker(crashed, "quotes", res.staging_path))
+    mutation.mark_pending(spark, crashed, "quotes", res.staging_path, res.append_path)
     assert table_rows(spark, crashed) != table_rows(spark, clean)
     assert mutation.recover_pending(spark, crashed) == 1
     assert table_rows(spark, crashed) == table_rows(spark, clean)
     assert mutation.recover_pending(spark, crashed) == 0
     # re-applying the same staged result again changes nothing
-    mutation._apply(spark, crashed, "quotes", res.staging_path)
-    assert table_rows(spark, crashed) == table_rows(spark, clean)
+    again = mutation.stage_upsert(spark, crashed, src)
+    for _ in range(2):
+        mutation._apply(spark, crashed, "quotes", again.staging_path)
+    changed = [r for r in table_rows(spark, crashed) if r[3] is not None]
+    assert changed == [r for r in table_rows(spark, clean) if r[3] is not None]
+
+
+def scans(df):
+    """Columns read by each Parquet scan of a plan."""
+    import re
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [set(re.findall(r"(\w+):", m)) for m in re.findall(r"ReadSchema: struct<([^>]*)", plan)]
+
+
+def test_the_target_is_scanned_once_and_probed_by_key_only(spark, raw_df, tmp_path):
+    path = setup(spark, raw_df, tmp_path, [quote(), quote(qts="2024-01-02 10:00:00")])
+    rows = batch(spark, [quote(price="1.00")]).drop("seq").withColumn("quote_date", F.to_date("quote_ts"))
+    rows.write.parquet(str(tmp_path / "batch"))
+    rows = spark.read.schema(rows.schema).parquet(str(tmp_path / "batch"))
+    target = T.read_quotes(spark, path).filter(T.in_partitions([dt.date(2024, 1, 1)]))
+    key = {"origin", "destination", "departure_date", "quote_ts"}
+    probe = scans(mutation.probe_matches(target, rows))
+    assert len(probe) == 2 and all(s <= key | {"quote_date"} for s in probe)
+    matched = mutation.probe_matches(target, rows)
+    matched.write.parquet(str(tmp_path / "matched"))
+    matched = spark.read.schema(matched.schema).parquet(str(tmp_path / "matched"))
+    plan = scans(mutation.rewritten_rows(target, rows, matched))
+    assert sum("cabin" in s for s in plan) == 1     # only the target has it
+    assert len(plan) == 4                           # target, batch twice, matched keys
+
+
+def test_an_insert_rewrites_no_file(spark, raw_df, tmp_path):
+    path = setup(spark, raw_df, tmp_path, [quote(), quote(qts="2024-01-02 10:00:00")])
+    files = {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    res = mutation.upsert_quotes(spark, path, batch(spark, [quote(dest="SGN"), quote(qts=None),
+                                                            quote(qts="2024-01-02 10:00:00", price="7.00")]))
+    after = {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    gone = files - after
+    assert all("quote_date=2024-01-02" in f for f in gone) and len(gone) == 1
+    assert res.rewritten == [dt.date(2024, 1, 2)] and (res.inserted, res.updated) == (2, 1)
+    assert len(table_rows(spark, path)) == 4

@@ -82,19 +82,25 @@ def test_catalog_names_follow_the_latest_warehouse(spark, tmp_path):
 
 
 def test_replayed_epoch_archives_once(spark, tmp_path):
-    wh = Warehouse(str(tmp_path / "wh"))
-    markers = str(tmp_path / "markers")
-    resp = fx.responses_from_events(spark, SF001)
-    half = resp.filter("hour(ingested_at) < 12")
-    # a first attempt that died after appending part of the epoch
-    T.fs_touch(spark, f"{markers}/7.started")
+    """An attempt that died after moving part of the epoch's files is finished,
+    not repeated; an epoch the archive has is skipped."""
     from skyfare.operators import ingest as ing
-    mutation.append_rows(ing.archive_rows(half), wh.raw_json, kind="json")
-    assert stream.archive_once(spark, wh, resp, 7, markers) == "resumed"
-    priced = ing.archive_rows(resp).count()
-    assert T.read_json_rows(spark, wh.raw_json).count() == priced
-    assert stream.archive_once(spark, wh, resp, 7, markers) == "skipped"
-    assert T.read_json_rows(spark, wh.raw_json).count() == priced
+    wh = Warehouse(str(tmp_path / "wh"))
+    rows = ing.archive_rows(fx.responses_from_events(spark, SF001))
+    staged = f"{wh.raw_json}/_pending/attempt"
+    T.write_json_rows(rows, staged)
+    mutation.mark_pending(spark, wh.raw_json, "json", append=staged, op=("s", 7))
+    day = T.fs_list(spark, staged)[1]
+    half = str(tmp_path / "half" / day)
+    os.makedirs(half)
+    for f in os.listdir(f"{staged}/{day}"):
+        os.rename(f"{staged}/{day}/{f}", f"{half}/{f}")
+    T.fs_move_partitions(spark, str(tmp_path / "half"), wh.raw_json)
+    assert 0 < T.read_json_rows(spark, wh.raw_json).count() < rows.count()
+    assert not mutation.append_rows(rows, wh.raw_json, kind="json", op=("s", 7))
+    assert T.read_json_rows(spark, wh.raw_json).count() == rows.count()
+    assert not mutation.append_rows(rows, wh.raw_json, kind="json", op=("s", 7))
+    assert T.read_json_rows(spark, wh.raw_json).count() == rows.count()
 
 
 def test_stream_with_grid_keeps_grid_cells_only(spark, tmp_path):
