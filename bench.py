@@ -80,7 +80,6 @@ def stages(spark, sf_dir, timed, repeat_reads=1):
             serving.price_trend(mart, P.VOLUME_ROUTE, P.VOLUME_TREND_DEPARTURE),
             P.VOLUME_GUARD_LO, P.VOLUME_GUARD_HI),
         "latest_snapshot": lambda: monitoring.latest_snapshot(mart),
-        # the one-scan window form, measured for comparison only
         "cheapest_recent": lambda: monitoring.cheapest_recent(mart, P.AS_OF),
         "volume_by_quote_day": lambda: monitoring.volume_by_quote_day(mart),
         "dq_checks": lambda: quality.run_checks({

@@ -44,23 +44,48 @@ def _lit_date(d) -> Column:
 as_date = _lit_date
 
 
+_DAY = 86_400_000_000       # microseconds
+_UTC = {"UTC", "Z", "ETC/UTC", "GMT"}
+
+
+def zone_clock(ts: Column, zone: str) -> Column:
+    """Wall clock of an instant in ``zone``, as a timestamp without zone.
+
+    Built from the instant's microseconds, so the session zone has no part in
+    it: the way over the session's own clock would lose an hour a year.
+    """
+    micros = F.unix_micros(ts)
+    days, rest = F.call_function("div", micros, F.lit(_DAY)), micros % _DAY
+    utc = (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+           + F.make_dt_interval(days=days.cast("int"), secs=rest.cast("decimal(18,6)") / 1_000_000))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
 def day_start(ts: Column, zone: str | None = None) -> Column:
-    """Midnight (as a timestamp) of the day containing ``ts``.
+    """The instant at which the day containing ``ts`` begins in ``zone``.
 
-    ``zone=None`` truncates in the session zone. An explicit zone assumes
-    the session zone is UTC (the package default) and shifts into ``zone``
-    and back around the truncation.
+    ``zone=None`` means the session zone. An explicit zone gives the same
+    instants in any session.
     """
-    if zone is None or zone.upper() == "UTC":
+    if zone is None:
         return F.date_trunc("day", ts)
-    return F.to_utc_timestamp(F.date_trunc("day", F.from_utc_timestamp(ts, zone)), zone)
+    if zone.upper() in _UTC:
+        micros = F.unix_micros(ts)
+        return F.timestamp_micros(micros - F.pmod(micros, F.lit(_DAY)))
+    day = local_date(ts, zone)
+    none = F.lit(0)
+    return F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), none, none, none, F.lit(zone))
 
 
 def local_date(ts: Column, zone: str | None = None) -> Column:
     """Calendar date of ``ts`` in ``zone``; matches ``day_start`` exactly."""
-    if zone is None or zone.upper() == "UTC":
+    if zone is None:
         return F.to_date(ts)
-    return F.to_date(F.from_utc_timestamp(ts, zone))
+    if zone.upper() in _UTC:
+        micros = F.unix_micros(ts)
+        return F.date_from_unix_date(F.call_function("div", micros - F.pmod(micros, F.lit(_DAY)), F.lit(_DAY))
+                                     .cast("int"))
+    return zone_clock(ts, zone).cast("date")
 
 
 def tolerant_double(c: Column) -> Column:
@@ -97,13 +122,14 @@ def empty_frame(spark, schema: StructType) -> DataFrame:
                                    for f in schema.fields])
 
 
-def present(df: DataFrame) -> DataFrame:
+def present(df: DataFrame, zone: str | None = None) -> DataFrame:
     """Hand-off form for external comparison: zone-aware timestamps become
-    wall-clock (session zone) timestamps without zone."""
+    wall-clock timestamps (of ``zone``, else the session zone) without zone."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, TimestampType):
-            cols.append(F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name))
+            at = F.col(f"`{f.name}`")
+            cols.append((zone_clock(at, zone) if zone else at.cast("timestamp_ntz")).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

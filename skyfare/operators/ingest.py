@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
 from skyfare.functions import as_date
-from skyfare.schemas import PRICE
+from skyfare.schemas import PRICE, REJECTED_JSON
 
 GRID_KEY = ["origin", "destination", "departure_date"]
 
@@ -81,6 +81,55 @@ def extract_quotes(responses: DataFrame, offer: str = "first", carry: tuple = ()
              F.col("_best.airline_code").alias("airline_code"))
 
 
+def explode_offers(responses: DataFrame) -> DataFrame:
+    """One row per offer of each response, with its place ``pos`` in the list.
+
+    The list is exploded beside its response (a lateral join, no shuffle). An
+    offer without a date of its own (``local_departure``) has the requested one;
+    a response without a list, or with an empty one, has no rows. Unpriced
+    offers are kept here.
+    """
+    listed = responses.select(
+        "ingested_at", "route_code",
+        F.try_variant_get("params", "$.fly_from", "string").alias("origin"),
+        F.try_variant_get("params", "$.fly_to", "string").alias("destination"),
+        F.try_to_date(F.try_variant_get("params", "$.date_from", "string"),
+                      C.REQUEST_DATE_FORMAT).alias("request_date"),
+        F.try_variant_get("response", "$.data", "variant").alias("_offers"))
+    spark = responses.sparkSession
+    each = listed.lateralJoin(spark.tvf.variant_explode(F.col("_offers").outer()))
+    offer = _offer("value")
+    own = F.try_to_date(F.substring(F.try_variant_get("value", "$.local_departure", "string"), 1, 10))
+    return each.select(
+        "ingested_at", "route_code", "origin", "destination", "request_date", "pos",
+        F.coalesce(own, F.col("request_date")).alias("departure_date"),
+        offer["price"].alias("price"), F.coalesce(offer["stops"], F.lit(0)).alias("stops"),
+        offer["airline_code"].alias("airline_code"))
+
+
+OFFER_GROUP = ["ingested_at", "route_code", "origin", "destination", "request_date", "departure_date"]
+
+
+def offers_by_date(offers: DataFrame, rule: str = "cheapest") -> DataFrame:
+    """The best offer of each response and departure date.
+
+    ``cheapest``: the lowest price (ties: fewer stops, airline, place in the
+    list). ``first``: the first in the list, which a source that sorts by price
+    makes the cheapest; a date whose first offer has no price has no quote.
+    A rank limit of 1 is applied in each task before the exchange.
+    """
+    if rule == "cheapest":
+        order = [F.col("price").asc_nulls_last(), F.col("stops").asc(), F.col("airline_code").asc_nulls_last(),
+                 F.col("pos").asc()]
+    elif rule == "first":
+        order = [F.col("pos").asc()]
+    else:
+        raise ValueError(f"unknown offer rule {rule!r}")
+    w = Window.partitionBy(*OFFER_GROUP).orderBy(*order)
+    return (offers.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "pos")
+            .filter(F.col("price").isNotNull()))
+
+
 def parse_responses(responses: DataFrame, offer: str = "first", carry: tuple = ()) -> DataFrame:
     """Extracted quotes, unpriced responses dropped."""
     return extract_quotes(responses, offer, carry).filter(F.col("price").isNotNull())
@@ -91,11 +140,17 @@ def build_quote_batch(grid: DataFrame, quotes: DataFrame,
                       run_ts=None) -> DataFrame:
     """Grid cells with a priced response -> raw quote rows.
 
-    ``quote_ts`` is ``run_ts``, the one time of the run, if it is given, and
-    the response's own ingestion time otherwise. The join keeps grid
-    multiplicity, as one fetch per grid cell would.
+    With ``run_ts``, the one time of the run, each cell has one row: all
+    responses to it would have one key, and the latest one speaks for the cell
+    (ties: cheapest, fewest stops, airline). Otherwise ``quote_ts`` is the
+    response's own ingestion time and each response gives a row. The join keeps
+    grid multiplicity, as one fetch per grid cell would.
     """
     priced = quotes.filter(F.col("price").isNotNull())
+    if run_ts is not None:
+        latest = Window.partitionBy(*GRID_KEY).orderBy(
+            F.col("ingested_at").desc_nulls_last(), "price", "stops", F.col("airline_code").asc_nulls_last())
+        priced = priced.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1").drop("_rn")
     joined = grid.select(*GRID_KEY).join(priced, GRID_KEY, "inner")
     return joined.select(
         *GRID_KEY,
@@ -124,6 +179,32 @@ def json_rows(rows: DataFrame, ingested_at: str = "ingested_at", route: str = "r
                        parse(F.col(response_json)).alias("response"))
 
 
+def check_json(rows: DataFrame, params_json: str = "params_json",
+               response_json: str = "response_json") -> DataFrame:
+    """``rows`` with ``params``, ``response`` and ``reason``: what is wrong with
+    the texts, NULL if nothing is. Text that does not parse is told apart from
+    text that is not there, which is no fault."""
+    def fault(col, name):
+        return F.when(F.col(col).isNotNull() & F.try_parse_json(F.col(col)).isNull(), F.lit(f"malformed {name}"))
+    reason = F.concat_ws(", ", fault(params_json, "params"), fault(response_json, "response"))
+    return rows.withColumns({"params": F.try_parse_json(F.col(params_json)),
+                             "response": F.try_parse_json(F.col(response_json)),
+                             "reason": F.nullif(reason, F.lit(""))})
+
+
+def split_json(rows: DataFrame, ingested_at: str = "ingested_at", route: str = "route_code",
+               params_json: str = "params_json", response_json: str = "response_json"
+               ) -> tuple[DataFrame, DataFrame]:
+    """(rows of the RAW JSON table, quarantined rows). A quarantined row keeps
+    its texts as they came and says why it is there; no row is lost or stored
+    as NULL."""
+    named = rows.select(F.col(ingested_at).cast("timestamp").alias("ingested_at"), F.col(route).alias("route_code"),
+                        F.col(params_json).alias("params_json"), F.col(response_json).alias("response_json"))
+    checked = check_json(named)
+    good = checked.filter(F.col("reason").isNull()).select("ingested_at", "route_code", "params", "response")
+    return good, checked.filter(F.col("reason").isNotNull()).select(*[f.name for f in REJECTED_JSON])
+
+
 def archive_rows(responses: DataFrame, keep_unpriced: bool = False) -> DataFrame:
     """Responses to store in the JSON archive.
 

@@ -217,6 +217,7 @@ def stage_upsert(spark: SparkSession, target_path: str, batch: DataFrame,
     """Compute and stage an upsert: the content of the partitions that hold a
     match, and the files to add to the others. Counts are observed on the
     writes themselves."""
+    zone = T.settle_zone(spark, target_path, zone)
     work = scratch_path(spark, "upsert")
     n, days = stage_batch(batch, f"{work}/batch", order_col, zone)
     stored = StructType([f for f in T.RAW_QUOTES_STORED.fields if f.name != "cabin"])
@@ -261,6 +262,7 @@ def upsert_quotes(spark: SparkSession, target_path: str, batch: DataFrame,
     - an operation the table has already is skipped as a whole.
     """
     recover_pending(spark, target_path)
+    zone = T.settle_zone(spark, target_path, zone)
     if applied(spark, target_path, op):
         dates = batch.select(T.partition_of(F.col("quote_ts"), zone).alias(PARTITION_COLUMN))
         return UpsertResult(0, 0, 0, touched=_touched(dates), skipped=True)
@@ -278,6 +280,7 @@ def append_rows(df: DataFrame, path: str, kind: str = "quotes", zone: str | None
     recover_pending(spark, path)
     if applied(spark, path, op):
         return False
+    zone = T.settle_zone(spark, path, zone)
     staged = f"{_folder(path, PENDING_DIR)}/{uuid.uuid4().hex}"
     write = T.write_quotes if kind == "quotes" else T.write_json_rows
     write(df, staged, mode="append", zone=zone)

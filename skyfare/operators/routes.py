@@ -4,12 +4,16 @@ non-empty source, expand to the request grid."""
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
 from skyfare.functions import split_first, strip_ws
+from skyfare.session import scratch_path
 
 PAIR = ["origin", "destination"]
 
@@ -63,24 +67,35 @@ def default_routes(spark: SparkSession, origin: str = C.DEFAULT_ORIGIN,
     return routes_default(lists, origin).select(*PAIR)
 
 
-def resolve_routes(sources: list[DataFrame | None]) -> DataFrame:
+def resolve_routes(sources: list[DataFrame | Callable[[], DataFrame] | None]) -> DataFrame:
     """First non-empty source wins; duplicates within it are kept.
 
-    Each source is tagged with its priority; the winning priority is a
-    one-row aggregate joined back by equality, so no source is collected
-    and no cross product is formed. A source that is None (not configured
-    or unreadable) is skipped.
+    Sources are tried in turn, and what stands behind the winner is not read at
+    all. A source is written to the shared folder as it is probed: it is read
+    once and whole, so one that cannot be read, whether when it is planned or
+    in the middle of its scan, gives way to the next one with a warning. A
+    source that is None is not configured. If all are empty the result is; if
+    none can be read the last error is raised.
     """
-    tagged = None
-    for prio, src in enumerate(sources, start=1):
-        if src is None:
-            continue
-        t = src.select(*PAIR).withColumn("priority", F.lit(prio))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    if tagged is None:
+    given = [s for s in sources if s is not None]
+    if not given:
         raise ValueError("no route source given")
-    winner = tagged.agg(F.min("priority").alias("priority"))
-    return tagged.join(F.broadcast(winner), "priority", "inner").select(*PAIR)
+    empty = error = None
+    for prio, source in enumerate(given, start=1):
+        try:
+            pairs = (source() if callable(source) else source).select(*PAIR)
+            path = scratch_path(pairs.sparkSession, "routes")
+            pairs.write.parquet(path)
+            kept = pairs.sparkSession.read.schema(pairs.schema).parquet(path)
+            if kept.head(1):
+                return kept
+            empty = kept
+        except (PySparkException, Py4JError) as e:
+            error = e
+            logging.getLogger("skyfare").warning("route source %d cannot be read: %s", prio, e)
+    if empty is None:
+        raise error
+    return empty
 
 
 def try_table(spark: SparkSession, name_or_path: str) -> DataFrame | None:

@@ -11,18 +11,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from skyfare import constants as C
-from skyfare.functions import present
+from skyfare.functions import literal_rows, present
 from skyfare.operators import (ingest, layers, monitoring, mutation, quality, routes, serving,
                                serving_sql)
 from skyfare.plans import params as P
 from skyfare.plans import pipeline
-from skyfare.schemas import PARTITION_COLUMN
+from skyfare.schemas import PARTITION_COLUMN, REJECTED_JSON
 from skyfare.session import scratch_path
 from skyfare.sources import fixtures as fx
 from skyfare.sources import tables as T
-from skyfare.sources.catalog import register_catalog
+from skyfare.sources.catalog import create_or_replace, register_catalog
 from skyfare.sources.tables import Warehouse
 from skyfare.streaming import ingest as stream_ingest
 
@@ -384,6 +385,182 @@ def q_daily_run(spark, sf_dir):
     return present(pipeline.read_mart(spark, wh).drop(PARTITION_COLUMN))
 
 
+# ---- write paths seen from outside -----------------------------------------
+
+def q_upsert_counts(spark, sf_dir):
+    """What an upsert reports: rows handed in, inserted, updated, and the days
+    it added to and rewrote. Read off the writes as they happen."""
+    target, source = fx.upsert_fixture(spark, sf_dir)
+    path = scratch_path(spark, "raw-quotes")
+    T.write_quotes(target, path, mode="overwrite", static=True)
+    res = mutation.upsert_quotes(spark, path, source, order_col="seq")
+    return literal_rows(spark, [(res.input_rows, res.inserted, res.updated, len(res.touched), len(res.rewritten))],
+                        StructType([StructField(c, LongType()) for c in (
+                            "input_rows", "inserted", "updated", "days_touched", "days_rewritten")]))
+
+
+def q_upsert_inserts(spark, sf_dir):
+    """A batch without a match: files are added, none is rewritten."""
+    target, source = fx.upsert_fixture(spark, sf_dir)
+    path = scratch_path(spark, "raw-quotes")
+    T.write_quotes(target, path, mode="overwrite", static=True)
+    later = source.withColumn("quote_ts", F.col("quote_ts") + F.expr("INTERVAL 1 HOUR 1 MICROSECOND"))
+    res = mutation.upsert_quotes(spark, path, later, order_col="seq")
+    return _raw_table(spark, path).withColumn("days_rewritten", F.lit(len(res.rewritten)))
+
+
+def q_ingest_landed_replayed(spark, sf_dir):
+    """Every micro-batch of a load comes a second time, as after a crash, with
+    rows whose key has a NULL; both raw tables, as one table of rows."""
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    resp = fx.responses_from_events(spark, sf_dir)
+    nowhere = F.parse_json(F.regexp_replace(F.to_json("params"), '"fly_to":"VIEW",?', ""))
+    batch = resp.withColumn("params", F.when(F.col("route_code") == "MEL-VIEW", nowhere).otherwise(F.col("params")))
+    morning = F.hour("ingested_at") < 12
+    for epoch, part in ((0, batch.filter(morning)), (0, batch.filter(morning)), (1, batch.filter(~morning)),
+                        (1, batch.filter(~morning))):
+        stream_ingest.load_batch(spark, wh, part, epoch, "replayed", stream_ingest.IngestStats())
+    quotes = (T.read_quotes(spark, wh.raw_quotes)
+              .select(F.lit("quotes").alias("raw_table"), "destination", "departure_date", "quote_ts", "price_aud"))
+    stored = (T.read_json_rows(spark, wh.raw_json)
+              .select(F.lit("json").alias("raw_table"),
+                      F.try_variant_get("params", "$.fly_to", "string").alias("destination"),
+                      F.to_date(F.try_variant_get("params", "$.date_from", "string"), C.REQUEST_DATE_FORMAT)
+                       .alias("departure_date"), F.col("ingested_at").alias("quote_ts"),
+                      F.try_variant_get("response", "$.data[0].price", "double").cast("decimal(10,2)")
+                       .alias("price_aud")))
+    return present(quotes.unionByName(stored))
+
+
+def q_offers_exploded(spark, sf_dir):
+    return present(ingest.explode_offers(fx.responses_with_offers(spark, sf_dir)))
+
+
+def q_offers_cheapest(spark, sf_dir):
+    return present(ingest.offers_by_date(ingest.explode_offers(fx.responses_with_offers(spark, sf_dir)), "cheapest"))
+
+
+def q_offers_first(spark, sf_dir):
+    return present(ingest.offers_by_date(ingest.explode_offers(fx.responses_with_offers(spark, sf_dir)), "first"))
+
+
+def q_core_daily_quotes_zone(spark, sf_dir):
+    """Days cut in a zone of their own: the same rows in any session zone."""
+    raw = fx.quotes_from_events_utc(spark, sf_dir)
+    core = layers.core_daily_quotes(layers.stg_quotes(raw), zone=P.ZONE, with_partition=True)
+    return present(core, P.ZONE)
+
+
+def q_refresh_layers_zone(spark, sf_dir):
+    """The same through the tables: RAW is made in a zone, and the refresh,
+    which names none, takes it from there."""
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    T.write_quotes(fx.quotes_from_events_utc(spark, sf_dir), wh.raw_quotes, mode="overwrite", static=True, zone=P.ZONE)
+    pipeline.refresh_layers(spark, wh)
+    return present(pipeline.read_mart(spark, wh), P.ZONE)
+
+
+def _configured(spark, sf_dir):
+    return routes.routes_from_csv(fx.route_lists_from_events(spark, sf_dir))
+
+
+def _unreadable(spark):
+    """A table whose folder and schema are there and whose file is not Parquet."""
+    path = scratch_path(spark, "unreadable")
+    spark.range(1).select(F.lit("not a table").alias("value")).write.text(path)
+    return spark.read.schema("route_code string").parquet(path)
+
+
+def q_routes_resolved_configured(spark, sf_dir):
+    return routes.resolve_routes([_configured(spark, sf_dir), _dim_routes(spark, sf_dir),
+                                  routes.default_routes(spark)])
+
+
+def q_routes_resolved_default(spark, sf_dir):
+    """No list, and a dimension in which no value is a route."""
+    dim = fx.supported_routes_from_events(spark, sf_dir).withColumn("route_code", F.translate("route_code", "-", ""))
+    return routes.resolve_routes([None, routes.routes_from_dim(dim), routes.default_routes(spark)])
+
+
+def q_routes_resolved_unreadable(spark, sf_dir):
+    """The first source fails in its scan; the dimension steps in."""
+    return routes.resolve_routes([lambda: routes.routes_from_dim(_unreadable(spark)),
+                                  lambda: spark.table("no_such_table_anywhere"), _dim_routes(spark, sf_dir),
+                                  routes.default_routes(spark)])
+
+
+def _registered(spark, sf_dir):
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    T.write_quotes(fx.quotes_from_events(spark, sf_dir), wh.raw_quotes, mode="overwrite", static=True)
+    return wh, register_catalog(spark, wh)
+
+
+def q_stg_by_name(spark, sf_dir):
+    """The staging view read by its name, in a session that did not make it."""
+    _, names = _registered(spark, sf_dir)
+    other = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        other.conf.set(key, spark.conf.get(key))
+    return present(other.table(names[T.STG_VIEW]))
+
+
+def q_table_replaced(spark, sf_dir):
+    """A table with rows, replaced by name: its declared columns, and its row
+    counts before and after."""
+    wh, names = _registered(spark, sf_dir)
+    before = spark.table(names[T.RAW_QUOTES_TABLE]).count()
+    full = create_or_replace(spark, wh, "raw", T.RAW_QUOTES_TABLE, T.RAW_QUOTES_STORED)
+    after = spark.table(full)
+    counts = after.agg(F.count("*").alias("rows_after")).withColumn("rows_before", F.lit(before).cast("long"))
+    columns = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                                 F.lit(f.dataType.simpleString()).alias("column_type"))
+                        for i, f in enumerate(after.schema.fields)])
+    return counts.select("rows_before", "rows_after", F.inline(columns))
+
+
+def _texts_loaded(spark, sf_dir):
+    path, rejected = scratch_path(spark, "raw-json"), scratch_path(spark, "raw-json-rejected")
+    good, bad = ingest.split_json(fx.json_texts_from_events(spark, sf_dir))
+    mutation.append_rows(good, path, kind="json")
+    bad.write.parquet(rejected)
+    return T.read_json_rows(spark, path), spark.read.schema(REJECTED_JSON).parquet(rejected)
+
+
+def q_raw_json_from_text(spark, sf_dir):
+    good, _ = _texts_loaded(spark, sf_dir)
+    return present(good.select("ingested_at", "route_code",
+                               F.try_variant_get("params", "$.k", "int").alias("k"),
+                               F.try_variant_get("response", "$.price", "long").alias("price")))
+
+
+def q_raw_json_rejected(spark, sf_dir):
+    return present(_texts_loaded(spark, sf_dir)[1])
+
+
+def q_archive_switch(spark, sf_dir):
+    """Rows archived and quotes loaded by route, with the archive on and off and
+    with unpriced responses kept; an empty object is never archived."""
+    resp = fx.responses_from_events(spark, sf_dir, empty_objects=True)
+    out = None
+    for state, store, keep in (("on", True, False), ("off", False, False), ("all", True, True)):
+        wh = Warehouse(scratch_path(spark, "warehouse"))
+        stream_ingest.load_batch(spark, wh, resp, 0, state, stream_ingest.IngestStats(), store_json=store,
+                                 keep_unpriced=keep)
+        route = F.concat_ws("-", "origin", "destination").alias("route_code")
+        rows = T.read_quotes(spark, wh.raw_quotes).select(route, F.lit("quotes").alias("raw_table"))
+        if T.fs_exists(spark, wh.raw_json):
+            rows = rows.unionByName(T.read_json_rows(spark, wh.raw_json).select("route_code", F.lit("json").alias("raw_table")))
+        rows = rows.groupBy("route_code", "raw_table").agg(F.count("*").alias("n")).withColumn("archive", F.lit(state))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_build_quote_batch_run(spark, sf_dir):
+    """One run time, and one row for each grid cell with a priced response."""
+    quotes = ingest.parse_responses(fx.responses_from_events(spark, sf_dir))
+    return present(ingest.build_quote_batch(routes_grid(spark, sf_dir), quotes, run_ts=P.RUN_TS))
+
+
 QUERIES = {
     "stg_quotes": q_stg_quotes,
     "core_daily_quotes": q_core_daily_quotes,
@@ -431,4 +608,21 @@ QUERIES = {
     "usage_daily_rollup_sql": q_usage_daily_rollup_sql,
     "mart_by_name": q_mart_by_name,
     "daily_run": q_daily_run,
+    "upsert_counts": q_upsert_counts,
+    "upsert_inserts": q_upsert_inserts,
+    "ingest_landed_replayed": q_ingest_landed_replayed,
+    "offers_exploded": q_offers_exploded,
+    "offers_cheapest": q_offers_cheapest,
+    "offers_first": q_offers_first,
+    "core_daily_quotes_zone": q_core_daily_quotes_zone,
+    "refresh_layers_zone": q_refresh_layers_zone,
+    "routes_resolved_configured": q_routes_resolved_configured,
+    "routes_resolved_default": q_routes_resolved_default,
+    "routes_resolved_unreadable": q_routes_resolved_unreadable,
+    "stg_by_name": q_stg_by_name,
+    "table_replaced": q_table_replaced,
+    "raw_json_from_text": q_raw_json_from_text,
+    "raw_json_rejected": q_raw_json_rejected,
+    "archive_switch": q_archive_switch,
+    "build_quote_batch_run": q_build_quote_batch_run,
 }

@@ -160,12 +160,9 @@ ORACLE = {
     "mart_lowest_price": with_(EVENTS_LAYERS, "SELECT * FROM mart"),
     "cheapest_latest": with_(EVENTS_LAYERS + [LATEST], FARES_BODY),
     "core_daily_quotes_volume": with_([RAW_LINEITEM, STG, CORE], "SELECT * FROM core"),
-    "routes_in_window": with_(EVENTS_LAYERS + [ROUTES_DIM], f"""SELECT r.route_code
-FROM routes r
-JOIN mart m ON m.route_code = r.route_code
-WHERE m.departure_date BETWEEN DATE '{P.WINDOW_START}' AND DATE '{P.WINDOW_END}'
-GROUP BY r.route_code
-ORDER BY r.route_code"""),
+    "routes_in_window": with_(EVENTS_LAYERS + [ROUTES_DIM], f"""SELECT route_code FROM routes
+WHERE EXISTS (SELECT 1 FROM mart WHERE mart.route_code = routes.route_code
+              AND departure_date >= '{P.WINDOW_START}' AND departure_date <= '{P.WINDOW_END}')"""),
     "price_trend": with_(EVENTS_LAYERS, TREND_BODY),
     "trend_guarded": with_(EVENTS_LAYERS + [GUARDED], "SELECT * FROM guarded"),
     "trend_display": with_(EVENTS_LAYERS + [GUARDED, LABELS], """SELECT g.route_code, g.departure_date,
@@ -374,3 +371,102 @@ ORACLE["daily_run"] = with_([PARSED, f"""raw AS (
          CAST(price AS DECIMAL(10,2)) AS price_aud, stops, airline_code,
          '{C.DEFAULT_SOURCE_NAME}' AS source, CAST(NULL AS VARCHAR) AS cabin
   FROM parsed)""", STG, CORE, MART], "SELECT * FROM mart")
+
+# ---- write paths seen from outside -------------------------------------------
+
+ORACLE["upsert_counts"] = with_(UPSERT + ["result AS (\n" + UPSERT_BODY + ")"], f"""SELECT
+  (SELECT count(*) FROM src) AS input_rows,
+  (SELECT count(*) FROM result) - (SELECT count(*) FROM target) AS inserted,
+  (SELECT count(*) FROM target t WHERE EXISTS (SELECT 1 FROM dedup d WHERE {KEY_EQ})) AS updated,
+  (SELECT count(DISTINCT quote_ts::DATE) FROM src) AS days_touched,
+  (SELECT count(DISTINCT t.quote_ts::DATE) FROM target t
+   WHERE EXISTS (SELECT 1 FROM dedup d WHERE {KEY_EQ})) AS days_rewritten""")
+
+# No event time has a microsecond of 1, so no moved key meets the target.
+ORACLE["upsert_inserts"] = with_(
+    [c.replace("departure_date, quote_ts, CAST(price_aud", "departure_date, "
+               "quote_ts + INTERVAL 1 HOUR + INTERVAL 1 MICROSECOND AS quote_ts, CAST(price_aud") for c in UPSERT],
+    f"SELECT *, 0 AS days_rewritten FROM ({UPSERT_BODY})")
+
+ORACLE["ingest_landed_replayed"] = with_([PARSED, """landed AS (
+  SELECT nullif(destination, 'VIEW') AS destination, departure_date, ingested_at AS quote_ts,
+         CAST(price AS DECIMAL(10,2)) AS price_aud
+  FROM parsed)"""], """SELECT 'quotes' AS raw_table, * FROM landed
+UNION ALL SELECT 'json', * FROM landed""")
+
+OFFERS = f"""offers AS (
+  SELECT ingested_at, route_code, origin, destination, request_date, CAST(j AS INTEGER) AS pos,
+         request_date + CAST(j % 2 AS INTEGER) AS departure_date,
+         CASE WHEN (event_id + j) % 11 <> 0 THEN value + (7 * j + event_id) % 5 END AS price,
+         CAST(greatest(0, (k + j) % 4 - 1) AS INTEGER) AS stops,
+         CASE (event_id + j) % 3 WHEN 0 THEN 'JQ' WHEN 1 THEN 'TR' WHEN 2 THEN 'ZZ' END AS airline_code
+  FROM (SELECT CAST(ts AS TIMESTAMP) AS ingested_at, 'MEL-' || upper(event_type) AS route_code, 'MEL' AS origin,
+               upper(event_type) AS destination, {DEP} AS request_date, event_id, value,
+               coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS k,
+               unnest(range(event_id % 5)) AS j
+        FROM events) e)"""
+
+
+def _best_offer(order: str) -> str:
+    return with_([OFFERS], f"""SELECT * EXCLUDE (pos) FROM (
+  SELECT * FROM offers QUALIFY row_number() OVER (
+    PARTITION BY ingested_at, route_code, origin, destination, request_date, departure_date ORDER BY {order}) = 1) x
+WHERE price IS NOT NULL""")
+
+
+ORACLE["offers_exploded"] = with_([OFFERS], "SELECT * FROM offers")
+ORACLE["offers_cheapest"] = _best_offer("price NULLS LAST, stops, airline_code NULLS LAST, pos")
+ORACLE["offers_first"] = _best_offer("pos")
+
+# Wall clocks of the zone, made from event times that are UTC.
+RAW_LOCAL = RAW_EVENTS.replace("CAST(ts AS TIMESTAMP) AS quote_ts",
+                               f"(CAST(ts AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE '{P.ZONE}' AS quote_ts")
+ORACLE["core_daily_quotes_zone"] = with_([RAW_LOCAL, STG, CORE],
+                                         "SELECT *, CAST(quote_day AS DATE) AS quote_date FROM core")
+ORACLE["refresh_layers_zone"] = ORACLE["core_daily_quotes_zone"]
+
+ORACLE["routes_resolved_configured"] = f"SELECT origin, destination FROM ({ORACLE['routes_from_csv']}) x"
+ORACLE["routes_resolved_default"] = ("SELECT * FROM (VALUES " + ", ".join(
+    f"('{C.DEFAULT_ORIGIN}', '{d}')" for d in C.DEFAULT_DESTINATIONS.split(",")) + ") t(origin, destination)")
+ORACLE["routes_resolved_unreadable"] = ORACLE["routes_resolved"]
+ORACLE["stg_by_name"] = ORACLE["stg_quotes"]
+
+ORACLE["table_replaced"] = """SELECT n.rows_before, 0::BIGINT AS rows_after, c.*
+FROM (SELECT count(*) AS rows_before FROM events) n,
+     (VALUES (0, 'origin', 'string'), (1, 'destination', 'string'), (2, 'departure_date', 'date'),
+             (3, 'quote_ts', 'timestamp'), (4, 'price_aud', 'decimal(10,2)'), (5, 'stops', 'int'),
+             (6, 'airline_code', 'string'), (7, 'source', 'string'), (8, 'cabin', 'string'),
+             (9, 'quote_date', 'date')) c(position, column_name, column_type)"""
+
+TEXTS = """texts AS (
+  SELECT CAST(ts AS TIMESTAMP) AS ingested_at, 'MEL-' || upper(event_type) AS route_code,
+         CASE WHEN event_id % 11 = 0 THEN left(props, length(props) - 1) ELSE props END AS params_json,
+         CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 7 = 0 THEN '{{"price":' || event_id || '}'
+              ELSE '{"price":' || event_id || '}' END AS response_json
+  FROM events),
+checked AS (
+  SELECT *, nullif(concat_ws(', ', CASE WHEN NOT json_valid(params_json) THEN 'malformed params' END,
+                             CASE WHEN NOT json_valid(response_json) THEN 'malformed response' END), '') AS reason
+  FROM texts)"""
+ORACLE["raw_json_from_text"] = with_([TEXTS], """SELECT ingested_at, route_code,
+       TRY_CAST(json_extract_string(params_json, '$.k') AS INTEGER) AS k,
+       CAST(json_extract_string(response_json, '$.price') AS BIGINT) AS price
+FROM checked WHERE reason IS NULL""")
+ORACLE["raw_json_rejected"] = with_([TEXTS], "SELECT * FROM checked WHERE reason IS NOT NULL")
+
+ORACLE["archive_switch"] = """WITH e AS (
+  SELECT 'MEL-' || upper(event_type) AS route_code, event_id, event_id % 10 <> 0 AND value IS NOT NULL AS priced
+  FROM events)
+SELECT route_code, raw_table, count(*) AS n, archive FROM (
+  SELECT route_code, 'quotes' AS raw_table, unnest(['on', 'off', 'all']) AS archive FROM e WHERE priced
+  UNION ALL SELECT route_code, 'json', 'on' FROM e WHERE priced
+  UNION ALL SELECT route_code, 'json', 'all' FROM e WHERE event_id % 20 <> 0) x
+GROUP BY route_code, raw_table, archive"""
+
+ORACLE["build_quote_batch_run"] = with_([ROUTES_DIM, PAIRS, _grid(C.DEFAULT_HORIZON_DAYS), PARSED], f"""
+SELECT g.origin, g.destination, g.departure_date, TIMESTAMP '{P.RUN_TS}' AS quote_ts,
+       CAST(p.price AS DECIMAL(10,2)) AS price_aud, p.stops, p.airline_code, '{C.DEFAULT_SOURCE_NAME}' AS source
+FROM grid g
+JOIN parsed p USING (origin, destination, departure_date)
+QUALIFY row_number() OVER (PARTITION BY g.origin, g.destination, g.departure_date
+                           ORDER BY p.ingested_at DESC, p.price, p.stops, p.airline_code NULLS LAST) = 1""")

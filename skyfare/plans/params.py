@@ -16,3 +16,5 @@ GRID_AS_OF = "2024-05-31"
 SMOKE_AS_OF_TS = "2024-01-30 12:00:00"
 JSON_DELETE_ROUTE, JSON_DELETE_PATH, JSON_DELETE_VALUE = "MEL-CLICK", "$.data[0].airlines[0]", "ZZ"
 SMOKE_JSON_PATH = "$.airline"
+RUN_TS = "2024-01-31 01:00:00"
+ZONE = "Australia/Melbourne"

@@ -45,6 +45,9 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
                    fail_on_checks: bool = True, check_scope: str | None = None) -> RefreshResult:
     """Rebuild CORE and MART; all of them, or only the given quote dates.
 
+    Days are cut in RAW's zone; CORE and MART are given the same, and one that
+    was built in another zone can only be rebuilt as a whole.
+
     MART is derived from the CORE just written (a read of the written
     table), never from the in-memory plan, so each step restarts from
     durable files.
@@ -59,6 +62,10 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
     scope = check_scope or ("all" if dates is None else "touched")
     dates = None if dates is None else _days(dates)
     mutation.recover_pending(spark, wh.raw_quotes)
+    zone = T.settle_zone(spark, wh.raw_quotes, zone)
+    if dates is not None:
+        for table in (wh.core, wh.mart):
+            T.settle_zone(spark, table, zone)
     raw = T.read_quotes(spark, wh.raw_quotes)
     if dates is not None:
         # The partition column is derived from quote_ts in the same zone
@@ -72,8 +79,11 @@ def refresh_layers(spark: SparkSession, wh: Warehouse, zone: str | None = None,
         _drop_vanished(spark, wh, raw, list(dates))
     core_t = T.read_stored(spark, wh.core, CORE_STORED)
     core_new = core_t if dates is None else core_t.filter(T.in_partitions(list(dates)))
+    # CORE's files hold one day each: MART is written from them as they lie.
     T.write_partitioned(layers.mart_lowest_price(core_new), wh.mart, mode="overwrite",
-                        static=mode_static)
+                        static=mode_static, laid_out=True)
+    for table in (wh.core, wh.mart):
+        T.store_zone(spark, table, zone)
     mart_t = T.read_stored(spark, wh.mart, CORE_STORED)
     checks = None
     if run_checks:
@@ -113,7 +123,8 @@ def read_core(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 
 def setup_tables(spark: SparkSession, wh: Warehouse, replace: bool = False) -> None:
-    """Create the raw tables empty, with their declared schemas."""
+    """Create the raw tables empty, with their declared schemas.
+    ``sources.catalog.create_or_replace`` does the same by name."""
     T.create_table(spark, wh.raw_quotes, T.RAW_QUOTES_STORED, replace=replace)
     T.create_table(spark, wh.raw_json, T.RAW_JSON_STORED, replace=replace)
 

@@ -32,6 +32,15 @@ RAW_JSON = StructType([
 ])
 RAW_JSON_COLUMNS = [f.name for f in RAW_JSON.fields]
 
+# Texts that do not parse as JSON, kept as they came.
+REJECTED_JSON = StructType([
+    StructField("ingested_at", TimestampType()),
+    StructField("route_code", StringType()),
+    StructField("params_json", StringType()),
+    StructField("response_json", StringType()),
+    StructField("reason", StringType()),
+])
+
 STG_COLUMNS = ["origin", "destination", "route_code", "departure_date", "quote_ts",
                "price_aud", "stops", "airline_code", "source", "cabin"]
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfare import constants as C
+from skyfare.operators.ingest import request_params
 from skyfare.schemas import PRICE, RAW_QUOTE_COLUMNS
 
 EVENTS_DEPARTURE_BASE = "2024-06-01"
@@ -138,22 +139,71 @@ def upsert_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return target, source
 
 
-def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quotes_from_events_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``quotes_from_events`` with event times read as UTC in any session zone."""
+    ev = table(spark, sf_dir, "events")
+    c = _event_columns(ev)
+    c["quote_ts"] = F.concat(F.col("ts").cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
+    return ev.select(*[c[n].alias(n) for n in RAW_QUOTE_COLUMNS])
+
+
+def responses_with_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stored response per event with ``event_id % 5`` offers in no order
+    of price: offer j costs ``value + (7 j + event_id) % 5`` (no price where
+    ``(event_id + j) % 11 = 0``), departs on the requested date or, for odd j,
+    the day after, has ``(k + j) % 4`` legs and its own airline."""
+    ev = table(spark, sf_dir, "events")
+    c = _event_columns(ev)
+    legs = F.struct(c["origin"].alias("flyFrom"), c["destination"].alias("flyTo"))
+
+    def offer(j):
+        at = F.col("event_id") + j
+        return F.struct(
+            F.when(at % 11 != 0, F.col("value") + (7 * j + F.col("event_id")) % 5).alias("price"),
+            F.array_repeat(legs, ((F.coalesce(c["k"], F.lit(0)) + j) % 4).cast("int")).alias("route"),
+            F.array(_pick(at % 3, EVENT_AIRLINES)).alias("airlines"),
+            F.date_format(F.date_add(c["departure_date"], (j % 2).cast("int")), "yyyy-MM-dd'T'08:30:00").alias(
+                "local_departure"))
+    n = (F.col("event_id") % 5).cast("int")
+    offers = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), offer)
+    response = F.to_variant_object(F.struct(offers.alias("data")))
+    params = F.to_variant_object(request_params(c["origin"], c["destination"], c["departure_date"]))
+    return ev.select(c["quote_ts"].alias("ingested_at"),
+                     F.concat(c["origin"], F.lit("-"), c["destination"]).alias("route_code"),
+                     params.alias("params"), response.alias("response"))
+
+
+def json_texts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON texts that nobody has checked: ``props`` is the request,
+    cut short where ``event_id % 11 = 0``; the response has an open brace too
+    many where ``event_id % 7 = 0`` and is not there where ``event_id % 13 = 0``."""
+    ev = table(spark, sf_dir, "events")
+    body = F.concat(F.lit('{"price":'), F.col("event_id").cast("string"), F.lit("}"))
+    return ev.select(
+        "event_id", F.col("ts").cast("timestamp").alias("ingested_at"),
+        F.concat(F.lit("MEL-"), F.upper("event_type")).alias("route_code"),
+        F.when(F.col("event_id") % 11 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+         .alias("params_json"),
+        F.when(F.col("event_id") % 13 == 0, F.lit(None).cast("string"))
+         .when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), body)).otherwise(body).alias("response_json"))
+
+
+def responses_from_events(spark: SparkSession, sf_dir: str, empty_objects: bool = False) -> DataFrame:
     """Stored search responses, one per event (RAW JSON table shape).
 
     The request is the one for (MEL, upper(event_type), departure date);
     the response holds one offer with ``price = value``, ``k % 4`` legs and
-    the event's airline. Events with ``event_id % 10 = 0`` got no offers.
+    the event's airline. Events with ``event_id % 10 = 0`` got no offers; with
+    ``empty_objects``, every second one of them not even a list (``{}``).
     """
-    from skyfare.operators.ingest import request_params
-
     ev = table(spark, sf_dir, "events")
     c = _event_columns(ev)
     legs = F.array_repeat(F.struct(c["origin"].alias("flyFrom"),
                                    c["destination"].alias("flyTo")), c["k"] % 4)
     offer = F.struct(F.col("value").alias("price"), legs.alias("route"),
                      F.array(c["airline_code"]).alias("airlines"))
-    response = (F.when(F.col("event_id") % 10 == 0, F.parse_json(F.lit('{"data":[]}')))
+    nothing = F.when((F.col("event_id") % 20 == 0) & F.lit(empty_objects), F.lit("{}")).otherwise(F.lit('{"data":[]}'))
+    response = (F.when(F.col("event_id") % 10 == 0, F.parse_json(nothing))
                 .otherwise(F.to_variant_object(F.struct(F.array(offer).alias("data")))))
     params = F.to_variant_object(request_params(c["origin"], c["destination"],
                                                 c["departure_date"]))

@@ -161,27 +161,64 @@ def in_partitions(values: list) -> Column:
     return cond
 
 
+ZONE_FILE = "_zone"
+
+
+def table_zone(spark: SparkSession, path: str) -> str | None:
+    """The zone a table's days are cut in, as stored with it."""
+    stored = f"{path.rstrip('/')}/{ZONE_FILE}"
+    return fs_read_text(spark, stored) if fs_exists(spark, stored) else None
+
+
+def store_zone(spark: SparkSession, path: str, zone: str) -> None:
+    own = table_zone(spark, path)
+    if own == zone:
+        return
+    if own is not None:
+        fs_delete(spark, f"{path.rstrip('/')}/{ZONE_FILE}")
+    fs_write_text(spark, f"{path.rstrip('/')}/{ZONE_FILE}", zone)
+
+
+def settle_zone(spark: SparkSession, path: str, zone: str | None, store: bool = True) -> str:
+    """The zone to cut days in: the table's own. A table without one takes
+    ``zone``, else the session's, and keeps it from then on, whatever zone a
+    later session has; asking for another zone than the table's is an error."""
+    own = table_zone(spark, path)
+    if own is None:
+        own = zone or spark.conf.get("spark.sql.session.timeZone")
+        if store:
+            store_zone(spark, path, own)
+    elif zone is not None and zone != own:
+        raise ValueError(f"{path} cuts days in {own}, not in {zone}")
+    return own
+
+
 def partition_of(ts: Column, zone: str | None = None) -> Column:
     return local_date(ts, zone)
 
 
-def layout(df: DataFrame, sort_cols: list[str]) -> DataFrame:
+def layout(df: DataFrame, sort_cols: list[str], laid_out: bool = False) -> DataFrame:
     """Physical layout for a partitioned write.
 
+    ``laid_out``: the rows come from a table of the same partitions, so a task
+    that reads a file holds rows of its day already and nothing is exchanged.
+
     ``rebalance`` on the partition column lets AQE split a heavy day over
     several tasks and merge light ones, so each day gets a few large files
     rather than one file per task; the in-file sort clusters row groups for
     min/max skipping on the usual filter columns.
     """
     present = [c for c in sort_cols if c in df.columns]
-    return df.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(PARTITION_COLUMN, *present)
+    placed = df if laid_out else df.hint("rebalance", PARTITION_COLUMN)
+    return placed.sortWithinPartitions(PARTITION_COLUMN, *present)
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "append",
                       static: bool = False,
                       sort_cols: tuple[str, ...] = ("route_code", "origin", "destination",
-                                                    "departure_date")) -> None:
-    w = layout(df, list(sort_cols)).write.mode(mode).partitionBy(PARTITION_COLUMN)
+                                                    "departure_date"),
+                      laid_out: bool = False) -> None:
+    w = layout(df, list(sort_cols), laid_out).write.mode(mode).partitionBy(PARTITION_COLUMN)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "static" if static else "dynamic")
     w.parquet(path)
@@ -189,15 +226,22 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "append",
 
 def write_quotes(df: DataFrame, path: str, mode: str = "append", zone: str | None = None,
                  static: bool = False) -> None:
-    """Write raw quotes partitioned by the local date of ``quote_ts``."""
+    """Write raw quotes partitioned by the local date of ``quote_ts`` in the
+    table's zone. A static overwrite makes a new table, with a zone of its own."""
+    spark = df.sparkSession
+    zone = (zone or spark.conf.get("spark.sql.session.timeZone")) if static else settle_zone(spark, path, zone)
     out = df.select(*[f.name for f in RAW_QUOTES.fields])
     out = out.withColumn(PARTITION_COLUMN, partition_of(F.col("quote_ts"), zone))
     write_partitioned(out, path, mode=mode, static=static)
+    if static:
+        store_zone(spark, path, zone)       # the overwrite took the old one away
 
 
 def write_json_rows(df: DataFrame, path: str, mode: str = "append",
                     zone: str | None = None) -> None:
-    """Write raw JSON responses partitioned by the local date of ingestion."""
+    """Write raw JSON responses partitioned by the local date of ingestion in
+    the table's zone."""
+    zone = settle_zone(df.sparkSession, path, zone)
     out = df.select(*[f.name for f in RAW_JSON.fields])
     out = out.withColumn(PARTITION_COLUMN, partition_of(F.col("ingested_at"), zone))
     write_partitioned(out, path, mode=mode, sort_cols=("route_code",))

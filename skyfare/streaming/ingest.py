@@ -68,7 +68,7 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
                stream: str, stats: IngestStats, grid: DataFrame | None = None,
                store_json: bool = True, source_name: str = C.DEFAULT_SOURCE_NAME,
-               zone: str | None = None) -> None:
+               zone: str | None = None, keep_unpriced: bool = False) -> None:
     """One micro-batch: archive the responses, upsert the quotes they yield.
 
     Either step may have been done by an earlier attempt at this epoch; the
@@ -80,7 +80,8 @@ def load_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, epoch: int,
     if n:
         rows = spark.read.schema(batch.schema).parquet(path)
         if store_json:
-            mutation.append_rows(ingest.archive_rows(rows), wh.raw_json, kind="json", zone=zone, op=(stream, epoch))
+            mutation.append_rows(ingest.archive_rows(rows, keep_unpriced), wh.raw_json, kind="json",
+                                 zone=zone, op=(stream, epoch))
         # Last wins by time of landing: file time, file, block, then the order
         # in the block. Row ids alone would follow the splits, largest first.
         place = ("_place",) if "_place" in batch.columns else ()

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, collect_sorted, quote, ts
@@ -94,3 +95,47 @@ def test_core_plan_limits_before_shuffle(spark):
     plan = core._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+# Melbourne leaves summer time on 2024-04-07 at 16:00 UTC the day before, New York on 2024-11-03 at 06:00 UTC.
+INSTANTS = ["2024-04-06T12:59:59.999999Z", "2024-04-06T13:00:00Z", "2024-04-06T15:30:00Z", "2024-04-06T16:30:00Z",
+            "2024-04-07T13:59:59Z", "2024-04-07T14:00:00Z", "2024-11-03T05:30:00Z", "2024-11-03T06:30:00Z",
+            "2024-03-10T07:30:00Z", "1969-12-31T23:59:59.5Z", "1960-02-29T12:59:00Z", None]
+
+
+@pytest.mark.parametrize("session", ["UTC", "America/New_York", "Australia/Melbourne"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Australia/Melbourne", "Asia/Kolkata"])
+def test_days_of_a_zone_are_the_same_in_any_session(spark, session, zone):
+    from zoneinfo import ZoneInfo
+    from skyfare.functions import day_start, local_date
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        df = spark.createDataFrame([(x,) for x in INSTANTS], "x string").withColumn("ts", F.col("x").cast("timestamp"))
+        got = df.select("x", local_date(F.col("ts"), zone).alias("d"),
+                        F.unix_micros(day_start(F.col("ts"), zone)).alias("s")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for r in got:
+        if r["x"] is None:
+            assert r["d"] is None and r["s"] is None
+            continue
+        at = dt.datetime.fromisoformat(r["x"].replace("Z", "+00:00")).astimezone(ZoneInfo(zone))
+        start = dt.datetime(at.year, at.month, at.day, tzinfo=ZoneInfo(zone))
+        assert (r["d"], r["s"]) == (at.date(), int(start.timestamp()) * 1_000_000), r["x"]
+
+
+@pytest.mark.parametrize("session", ["America/New_York", "Australia/Melbourne"])
+def test_the_zone_key_does_not_depend_on_the_session(spark, session):
+    from conftest import SF001
+    from skyfare.plans.catalog import QUERIES
+    keys = ("core_daily_quotes_zone", "refresh_layers_zone")
+    cols = sorted(QUERIES[keys[0]](spark, SF001).columns)
+    want = collect_sorted(QUERIES[keys[0]](spark, SF001), cols)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        for key in keys:
+            assert collect_sorted(QUERIES[key](spark, SF001), cols) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -90,7 +90,7 @@ def test_replayed_epoch_archives_once(spark, tmp_path):
     staged = f"{wh.raw_json}/_pending/attempt"
     T.write_json_rows(rows, staged)
     mutation.mark_pending(spark, wh.raw_json, "json", append=staged, op=("s", 7))
-    day = T.fs_list(spark, staged)[1]
+    day = [n for n in T.fs_list(spark, staged) if n.startswith("quote_date=")][1]
     half = str(tmp_path / "half" / day)
     os.makedirs(half)
     for f in os.listdir(f"{staged}/{day}"):
@@ -166,3 +166,90 @@ def test_stream_archives_processed_landed_files(spark, tmp_path):
     # files of committed batches move out of the landing folder (one run behind)
     assert len(glob.glob(arch + "/**/*.txt", recursive=True)) >= 1
     assert s1.responses + s2.responses == resp.count()
+
+
+def test_mart_is_written_without_an_exchange(spark, tmp_path):
+    """CORE is laid out once; MART takes its files as they lie."""
+    from skyfare.operators import layers
+    wh = Warehouse(str(tmp_path / "wh"))
+    T.write_quotes(fx.quotes_from_events(spark, SF001), wh.raw_quotes, mode="overwrite", static=True)
+    pipeline.refresh_layers(spark, wh)
+    mart = layers.mart_lowest_price(pipeline.read_core(spark, wh))
+    plan = T.layout(mart, ["route_code"], laid_out=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" in plan
+    for day in T.fs_list(spark, wh.mart):
+        if day.startswith("quote_date="):
+            files = [f for f in T.fs_list(spark, f"{wh.mart}/{day}") if f.endswith(".parquet")]
+            assert len(files) == 1
+    assert collect_sorted(pipeline.read_mart(spark, wh)) == collect_sorted(pipeline.read_core(spark, wh))
+
+
+def test_a_table_keeps_its_zone(spark, tmp_path):
+    import pytest
+    wh = Warehouse(str(tmp_path / "wh"))
+    quotes = fx.quotes_from_events_utc(spark, SF001)
+    T.write_quotes(quotes, wh.raw_quotes, mode="overwrite", static=True, zone="Australia/Melbourne")
+    pipeline.refresh_layers(spark, wh)
+    assert {T.table_zone(spark, t) for t in (wh.raw_quotes, wh.core, wh.mart)} == {"Australia/Melbourne"}
+    for call in (lambda: pipeline.refresh_layers(spark, wh, zone="UTC"),
+                 lambda: mutation.append_rows(quotes.limit(1), wh.raw_quotes, zone="UTC"),
+                 lambda: mutation.upsert_quotes(spark, wh.raw_quotes, quotes.limit(1), order_col=None, zone="UTC")):
+        with pytest.raises(ValueError, match="cuts days in Australia/Melbourne"):
+            call()
+    n = T.read_quotes(spark, wh.raw_quotes).count()
+    res = mutation.upsert_quotes(spark, wh.raw_quotes, quotes, order_col=None)   # the table's zone is taken
+    assert res.updated == T.read_quotes(spark, wh.raw_quotes).count() == n
+    # Another zone needs a new table, and then a refresh of all.
+    T.write_quotes(quotes, wh.raw_quotes, mode="overwrite", static=True, zone="UTC")
+    import datetime as dt
+    with pytest.raises(ValueError, match="cuts days in Australia/Melbourne, not in UTC"):
+        pipeline.refresh_layers(spark, wh, dates=[dt.date(2024, 1, 5)])
+    pipeline.refresh_layers(spark, wh)
+    assert {T.table_zone(spark, t) for t in (wh.core, wh.mart)} == {"UTC"}
+
+
+def test_staging_view_is_stored_and_follows_its_table(spark, tmp_path):
+    from skyfare.operators import layers
+    from skyfare.sources.catalog import register_catalog
+    spark.sql("DROP DATABASE IF EXISTS RAW CASCADE")
+    spark.sql("DROP DATABASE IF EXISTS STG CASCADE")
+    wh = Warehouse(str(tmp_path / "wh"))
+    quotes = fx.quotes_from_events(spark, SF001)
+    T.write_quotes(quotes.limit(50), wh.raw_quotes, mode="overwrite", static=True)
+    names = register_catalog(spark, wh)
+    view = names[T.STG_VIEW]
+    assert view == "STG.stg_price_quotes_parsed" and spark.catalog.getTable(view).tableType == "VIEW"
+    raw = T.read_quotes(spark, wh.raw_quotes)
+    assert collect_sorted(spark.newSession().table(view)) == collect_sorted(layers.stg_quotes(raw))
+    assert spark.table(view).schema.names == layers.stg_quotes(raw).schema.names
+    mutation.append_rows(quotes.limit(5), wh.raw_quotes)
+    register_catalog(spark, wh)
+    assert spark.newSession().table(view).count() == 55
+
+
+def test_only_registered_tables_are_replaced(spark, tmp_path):
+    """An external table that somebody else made, or pointed elsewhere since, stays."""
+    import pytest
+    from skyfare.sources.catalog import create_or_replace, register_catalog
+    spark.sql("DROP DATABASE IF EXISTS RAW CASCADE")
+    spark.sql(f"CREATE DATABASE RAW LOCATION '{tmp_path / 'raw_db'}'")
+    wh = Warehouse(str(tmp_path / "wh"))
+    T.write_quotes(fx.quotes_from_events(spark, SF001), wh.raw_quotes, mode="overwrite", static=True)
+    name = f"RAW.{T.RAW_QUOTES_TABLE}"
+    spark.range(3).write.parquet(str(tmp_path / "theirs"))
+    spark.sql(f"CREATE TABLE {name} (id long) USING parquet LOCATION '{tmp_path / 'theirs'}'")
+    for call in (lambda: register_catalog(spark, wh),
+                 lambda: create_or_replace(spark, wh, "raw", T.RAW_QUOTES_TABLE, T.RAW_QUOTES_STORED)):
+        with pytest.raises(ValueError, match="did not register"):
+            call()
+    assert spark.table(name).count() == 3 and T.read_quotes(spark, wh.raw_quotes).count() > 0
+    spark.sql(f"DROP TABLE {name}")
+    register_catalog(spark, wh)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{tmp_path / 'theirs'}'")
+    with pytest.raises(ValueError, match="did not register"):
+        register_catalog(spark, wh)
+    spark.sql(f"DROP TABLE {name}")
+    register_catalog(spark, wh)
+    assert create_or_replace(spark, wh, "raw", T.RAW_QUOTES_TABLE, T.RAW_QUOTES_STORED) == name
+    assert spark.table(name).count() == 0 and spark.table(name).schema == T.RAW_QUOTES_STORED
+    spark.sql("DROP DATABASE RAW CASCADE")

@@ -45,3 +45,30 @@ def test_request_grid(spark):
     p = g[0].params
     assert (p.fly_from, p.fly_to, p.date_from, p.date_to, p.curr, p.limit, p.sort) == \
         ("MEL", "BKK", "01/06/2024", "01/06/2024", "AUD", 1, "price")
+
+
+def test_no_source_behind_the_winner_is_read(spark):
+    one = spark.createDataFrame([("A", "B")], "origin string, destination string")
+    read = []
+    assert pairs(routes.resolve_routes([one.limit(0), lambda: one, lambda: read.append("lower")])) == [("A", "B")]
+    assert read == []
+
+
+def test_an_unreadable_source_falls_back_and_the_last_error_is_raised(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+    one = spark.createDataFrame([("A", "B")], "origin string, destination string")
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("no parquet")
+
+    def bad():
+        return spark.read.schema("origin string, destination string").parquet(str(tmp_path / "bad"))
+    bad().schema                                                # planning it is no problem
+    assert pairs(routes.resolve_routes([bad, one])) == [("A", "B")]
+    assert pairs(routes.resolve_routes([bad, one.limit(0)])) == []
+    for last in (bad, lambda: spark.table("no_such_table_anywhere")):
+        with pytest.raises((PySparkException, Exception)) as e:
+            routes.resolve_routes([None, last])
+        assert not isinstance(e.value, (TypeError, AttributeError, ValueError))
+    with pytest.raises(ValueError):
+        routes.resolve_routes([None])

@@ -168,3 +168,20 @@ def test_window_helpers():
     with pytest.raises(ValueError):
         serving.check_window(dt.date(2024, 6, 2), dt.date(2024, 6, 1))
     assert serving.default_window("2024-01-30") == (dt.date(2024, 1, 30), dt.date(2024, 2, 29))
+
+
+def test_sql_text_refuses_a_window_that_runs_backwards(spark, tmp_path):
+    """The statement itself checks, also where no row would be read."""
+    import datetime as dt
+    from skyfare.operators import serving_sql
+    from skyfare.schemas import CORE
+    spark.createDataFrame([], CORE).write.parquet(str(tmp_path / "mart"))
+    spark.read.parquet(str(tmp_path / "mart")).createOrReplaceTempView("guard_mart")
+    spark.createDataFrame([("MEL-BKK",)], "route_code string").createOrReplaceTempView("guard_routes")
+    ends = {"start": dt.date(2024, 6, 2), "end": dt.date(2024, 6, 1)}
+    for text, more in ((serving_sql.ROUTES_WITH_FARES_SQL, {"routes": "guard_routes"}),
+                       (serving_sql.FARES_AT_LATEST_SQL, {"route": "MEL-BKK"})):
+        with pytest.raises(Exception, match="start date is after end date"):
+            serving_sql.run(spark, text, mart="guard_mart", **ends, **more).collect()
+        good = {"start": ends["end"], "end": ends["start"]}
+        assert serving_sql.run(spark, text, mart="guard_mart", **good, **more).collect() == []

@@ -49,19 +49,31 @@ def final_plan(df) -> str:
     return "\n".join(x for x in lines if x.strip())
 
 
-def _upsert_frame(spark, wh, raw):
-    """The staged frame of a daily batch (one day re-quoted, one new day)."""
+def _upsert_plans(spark, wh, raw):
+    """(probe, rewrite) of a daily batch (one day re-quoted, one new day)."""
     from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
 
     from skyfare.operators import mutation
+    from skyfare.schemas import QUOTE_KEY
     day = F.to_date("quote_ts")
     batch = (raw.filter(day == F.lit("2024-01-15").cast("date"))
              .withColumn("price_aud", (F.col("price_aud") * 0.9).cast("decimal(10,2)"))
              .unionByName(raw.filter(day == F.lit("2024-01-16").cast("date"))
                           .withColumn("quote_ts", F.col("quote_ts") + F.expr("INTERVAL 16 DAYS")))
              .drop("quote_date", "cabin").withColumn("seq", F.monotonically_increasing_id()))
-    frame, _, _ = mutation.upsert_frame(spark, wh.raw_quotes, batch)
-    return frame
+    work = scratch_path(spark, "plan-upsert")
+    _, days = mutation.stage_batch(batch, f"{work}/batch", "seq", "UTC")
+    fields = [f for f in T.RAW_QUOTES_STORED.fields if f.name != "cabin"]
+    rows = spark.read.schema(StructType(fields)).parquet(f"{work}/batch")
+    target = raw.filter(T.in_partitions(days))
+    probe = mutation.probe_matches(target, rows)
+    probe.write.parquet(f"{work}/matched")
+    keys = StructType([f for f in fields if f.name in (*QUOTE_KEY, "quote_date")])
+    matched = spark.read.schema(keys).parquet(f"{work}/matched")
+    hit = [r[0] for r in matched.select("quote_date").distinct().collect()]
+    here = T.in_partitions(hit)
+    return probe, mutation.rewritten_rows(target.filter(here), rows.filter(here), matched)
 
 
 def main():
@@ -74,6 +86,7 @@ def main():
     pipeline.refresh_layers(spark, wh)
     mart = pipeline.read_mart(spark, wh)
     raw = T.read_quotes(spark, wh.raw_quotes)
+    probe, rewrite = _upsert_plans(spark, wh, raw)
     cases = [
         ("CORE from RAW (W1): partial WindowGroupLimit below the exchange",
          layers.core_daily_quotes(layers.stg_quotes(raw))),
@@ -88,10 +101,11 @@ def main():
          monitoring.latest_snapshot(mart)),
         ("cheapest_recent (P13/O5): partition pruning on quote_date",
          monitoring.cheapest_recent(mart, P.AS_OF)),
-        ("upsert (I1): partial-limit dedupe of the batch (cached: its plan is printed under "
-         "each of the two readers but runs once), left + left-anti joins against the touched "
-         "partitions only",
-         _upsert_frame(spark, wh, raw)),
+        ("upsert (I1), probe: key columns of the touched partitions against the staged batch", probe),
+        ("upsert (I1), rewrite: one scan of the partitions that hold a match; new keys by an "
+         "anti-join of the batch with the matched keys", rewrite),
+        ("MART from CORE's files: no exchange",
+         T.layout(layers.mart_lowest_price(pipeline.read_core(spark, wh)), ["route_code"], laid_out=True)),
         ("quality checks: one pass per table",
          quality.run_checks({"stg": layers.stg_quotes(raw), "core": pipeline.read_core(spark, wh),
                              "mart": mart}, raw_from_stg=True)),
