@@ -27,6 +27,23 @@ def ascii_lower(c: Column) -> Column:
             .otherwise(F.translate(c, UPPER, LOWER)))
 
 
+ROW = "_row"
+
+
+def wrapped(docs: DataFrame, columns: list[str], **parts: str) -> DataFrame:
+    """``columns`` of ``docs`` as one struct ``_row``, and beside it copies of
+    single columns under names of our own. What is added later cannot clash
+    with a column of the input, whatever that is called."""
+    quoted = [F.col(f"`{c}`") for c in columns]
+    row = F.struct(*quoted) if quoted else F.lit(None).cast("struct<>")
+    return docs.select(row.alias(ROW), *[F.col(f"`{c}`").alias(name) for name, c in parts.items()])
+
+
+def unwrapped(columns: list[str]) -> list[Column]:
+    """The input's own columns out of ``_row``, for a select."""
+    return [F.col(f"{ROW}.`{c}`").alias(c) for c in columns]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,9 +2,11 @@
 
 Each text gives a vector of transformed statistics. For every (language,
 source) a minimum-covariance-determinant estimate is made by concentration
-steps: start from the coordinate-wise median and spread, keep the ``h`` rows
-nearest to the centre, take their mean and covariance, and repeat. Rows whose
-Mahalanobis distance from the result exceeds ``cutoff`` are rejected.
+steps from several starts: keep the ``KEEP_SHARE`` of the rows nearest to the
+centre, take their mean and covariance, and repeat until no determinant falls
+any more; the start that ends with the least determinant counts. One
+reweighting step follows, and rows whose squared Mahalanobis distance exceeds
+a chi-square cutoff are rejected.
 
 All of it is column expressions and grouped aggregates. Statistics are fixed-
 point integers, so sums are exact and do not depend on partitioning.
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import SPACE_CLASS, staged
+from skyfare.llm.common import ROW, SPACE_CLASS, staged, unwrapped, wrapped
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -23,28 +25,35 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 MIN_GROUP = 200
 KEEP_SHARE = 0.75
-C_STEPS = 4
-# Squared Mahalanobis distance past which a row is an outlier.
-CUTOFF = 36.0
+MAX_STEPS = 30
+# Squared Mahalanobis distance past which a row is an outlier: the chi-square
+# of five statistics that one row in ten million of a normal passes. Real
+# statistics have heavier tails, and clean rows are to stay.
+CUTOFF = 40.86
 # Consistency of the covariance of the nearest 75 % and 97.5 % of a 5-variate
 # normal, and the distance that holds 97.5 %.
 CONSISTENCY, CONSISTENCY_REWEIGHTED, REWEIGHT_AT = 1.41, 1.056, 12.83
 
-# Each statistic and its least standard deviation: most texts have no symbol,
-# repeated line or repeated word, and a spread of zero would reject any other.
+# Each statistic and its resolution, the least standard deviation: about half of
+# what the smallest change (a symbol, a repeated line, a repeated window) makes
+# of it in a text of a hundred words or so. Most texts have none of the last
+# three, so that the nearest 75 % may have no spread at all.
 FEATURES = {
-    "x1": ("ln(n_words)", 0.5),
-    "x2": ("ln((word_chars + 100.0D) / (n_words + 20))", 0.07),
-    "x3": ("n_symbols / word_chars", 0.03),
-    "x4": ("ln(1 + n_dup_lines)", 0.7),
-    "x5": ("n_repeat_words / n_words", 0.08),
+    "x1": ("ln(n_words)", 0.05),
+    "x2": ("ln((word_chars + 100.0D) / (n_words + 20))", 0.01),
+    "x3": ("n_symbols / word_chars", 0.01),
+    "x4": ("ln(1 + n_dup_lines)", 0.35),
+    "x5": ("n_repeat_words / n_words", 0.02),
 }
-# Statistics are integers, so many units to a least standard deviation: sums
-# are exact and exact percentiles hold a bounded number of distinct values.
-UNIT = 50
+# Statistics are integers, so many units to a resolution: sums are exact and
+# exact percentiles hold a bounded number of distinct values.
+UNIT = 20
 BIN = 200
 X = tuple(FEATURES)
 PAIRS = tuple((i, j) for i in range(len(X)) for j in range(i + 1))
+# Starts of the concentration: medians and spreads; the same, looking at the
+# first two statistics only; mean and covariance of all rows.
+STARTS = 3
 
 
 def _word_list(text: Column) -> Column:
@@ -89,11 +98,13 @@ def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _inverse(cov: Column) -> Column:
-    """Inverse of a positive definite matrix held row by row in a flat array:
-    sweeping every pivot gives minus the inverse."""
+    """(inv, det) of a positive definite matrix held row by row in a flat
+    array: sweeping every pivot gives minus the inverse, and the pivots'
+    product is the determinant."""
     p = len(X)
 
-    def sweep(m, k):
+    def sweep(acc, k):
+        m = acc["m"]
         pivot = F.get(m, k * p + k)
 
         def cell(v, q):
@@ -101,10 +112,11 @@ def _inverse(cov: Column) -> Column:
             return (F.when((i == k) & (j == k), -1.0 / pivot)
                     .when((i == k) | (j == k), v / pivot)
                     .otherwise(v - F.get(m, i * p + k) * F.get(m, k * p + j) / pivot))
-        return F.transform(m, cell)
+        return F.struct(F.transform(m, cell).alias("m"), (acc["det"] + F.log(pivot)).alias("det"))
 
-    swept = F.aggregate(F.sequence(F.lit(0), F.lit(p - 1)), cov, sweep)
-    return F.transform(swept, lambda v: -v)
+    start = F.struct(cov.alias("m"), F.lit(0.0).alias("det"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(p - 1)), start, sweep, lambda acc: F.struct(
+        F.transform(acc["m"], lambda v: -v).alias("inv"), acc["det"].alias("logdet")))
 
 
 def _distance2() -> Column:
@@ -117,47 +129,73 @@ def _distance2() -> Column:
 
 def _groups(rows: DataFrame, min_group: int) -> DataFrame:
     """(lang, source, grp): the pair itself if it has ``min_group`` rows, else
-    all such small sources of the language, else everything that is left."""
+    all such small sources of the language, else everything that is left. NULLs
+    are written out in a group's name, so none is taken for a pooled one."""
+    def named(*cols):
+        return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     n = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = F.col("n") < min_group
     pooled = F.sum(F.when(small, F.col("n"))).over(Window.partitionBy("lang"))
     return (n.withColumn("pooled", pooled)
-            .select("lang", "source", F.when(~small, F.to_json(F.struct("lang", "source")))
-                    .when(F.col("pooled") >= min_group, F.to_json(F.struct("lang")))
+            .select("lang", "source", F.when(~small, named("lang", "source"))
+                    .when(F.col("pooled") >= min_group, named("lang"))
                     .otherwise("*").alias("grp")))
 
 
 def _state(rows: DataFrame, scale: float, name: str) -> DataFrame:
-    """grp, m, inv: the mean, and the inverse of the covariance times ``scale``
-    with its diagonal floored."""
+    """grp, start, m, inv, logdet: the mean, and the inverse and determinant of
+    the covariance times ``scale`` with its diagonal floored."""
     sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(X)]
     sums += [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in PAIRS]
-    total = rows.groupBy("grp").agg(F.count("*").cast("double").alias("n"), *sums)
+    total = rows.groupBy("grp", "start").agg(F.count("*").cast("double").alias("n"), *sums)
 
     def cov(i, j):
         c = scale * (F.col(f"s{max(i, j)}_{min(i, j)}") / F.col("n")
                      - F.col(f"s{i}") / F.col("n") * (F.col(f"s{j}") / F.col("n")))
         return F.greatest(c, F.lit(float(UNIT * UNIT))) if i == j else c
     p = range(len(X))
-    total = total.select("grp", F.array(*[F.col(f"s{i}") / F.col("n") for i in p]).alias("m"),
-                         F.array(*[cov(i, j) for i in p for j in p]).alias("cov"))
-    return staged(total.select("grp", "m", _inverse(F.col("cov")).alias("inv")), name)
+    total = total.select("grp", "start", F.array(*[F.col(f"s{i}") / F.col("n") for i in p]).alias("m"),
+                         _inverse(F.array(*[cov(i, j) for i in p for j in p])).alias("c"))
+    return staged(total.select("grp", "start", "m", "c.inv", "c.logdet"), name)
 
 
-def _distances(rows: DataFrame, state: DataFrame) -> DataFrame:
-    return (rows.join(state, "grp", "left").withColumn("d2", _distance2())
-            .withColumn("bin", F.round(BIN * F.log(F.col("d2") + 0.01)).cast("long")))
+def _distances(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """Each row once for every state of its group, with its distance."""
+    packed = states.groupBy("grp").agg(F.collect_list(F.struct(
+        *[c for c in states.columns if c != "grp"])).alias("states"))
+    return (rows.join(packed, "grp").select("grp", *X, F.inline("states")).withColumn("d2", _distance2())
+            .withColumn("bin", F.round(BIN * F.log(F.greatest("d2", F.lit(0.0)) + 0.01)).cast("long")))
 
 
-def _nearest(rows: DataFrame, state: DataFrame, share: float) -> DataFrame:
-    """Rows in the ``share`` of their group with the least distance. The limit
-    carries its group's state, so the second pass needs one join."""
-    limit = staged(_distances(rows, state).groupBy("grp").agg(
+def _nearest(rows: DataFrame, states: DataFrame, share: float) -> DataFrame:
+    """Rows in the ``share`` of their group with the least distance, for each
+    start. The limit carries its state, so the second pass needs one join."""
+    limit = staged(_distances(rows, states).groupBy("grp", "start").agg(
         F.percentile("bin", F.lit(share)).alias("limit"),
         F.any_value("m").alias("m"), F.any_value("inv").alias("inv")), "mcd-limit")
     return _distances(rows, limit).filter(F.col("bin") <= F.col("limit"))
 
 
+def _start(rows: DataFrame) -> DataFrame:
+    """The states to begin with, ``STARTS`` a group."""
+    n = range(len(X))
+    med = staged(rows.groupBy("grp").agg(*[F.percentile(x, F.lit(0.5)).alias(f"m{i}")
+                                           for i, x in enumerate(X)]), "mcd-medians")
+    mad = staged(rows.join(med, "grp").groupBy("grp").agg(*[
+        F.percentile(F.abs(F.col(x) - F.col(f"m{i}")), F.lit(0.5)).alias(f"a{i}")
+        for i, x in enumerate(X)]), "mcd-spreads")
+    variance = [F.greatest(2.2 * F.col(f"a{i}") * F.col(f"a{i}"), F.lit(float(UNIT * UNIT))) for i in n]
+
+    def diagonal(start, looks_at):
+        cells = [(1.0 if i in looks_at else 1e-6) / variance[i] if i == j else F.lit(0.0) for i in n for j in n]
+        return F.struct(F.lit(start).alias("start"), F.array(*cells).alias("inv"))
+    around = (med.join(mad, "grp").withColumn("m", F.array(*[F.col(f"m{i}") for i in n]))
+              .select("grp", "m", F.inline(F.array(diagonal(0, n), diagonal(1, (0, 1)))))
+              .select("grp", "start", "m", "inv"))
+    plain = _state(rows.withColumn("start", F.lit(2)), 1.0, "mcd-plain").select("grp", "start", "m", "inv")
+    return staged(around.union(plain), "mcd-start")
+
+
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                   source_col: str = "source", min_group: int = MIN_GROUP,
                   cutoff: float = CUTOFF, carry: list[str] | None = None) -> DataFrame:
@@ -168,32 +206,29 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     - NULL language or source: a group of its own.
     - A group of under ``min_group`` rows joins the small sources of its
       language, then all that is left; equal vectors fall together.
-    - An empty table gives an empty result; input columns named like an added
-      one are replaced.
+    - An empty table gives an empty result. Input columns named like an added
+      one are replaced; all others come through, whatever their names.
 
     The only shuffles are of the integer statistics (five longs a row) and,
     pre-aggregated, of one line a group. The text is read once and not moved.
     """
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
              "distance2", "kept"]
-    clean = docs.drop(*added)
-    carry = clean.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in added]
     # Written once: a filter on these columns would otherwise be pushed below
     # them and evaluate the statistics of each text again and again.
-    base = staged(base_columns(clean, text_col).select(
-        *dict.fromkeys([*carry, lang_col, source_col]), *added[:6]), "quality-base")
-    row_key = [F.col(lang_col).alias("lang"), F.col(source_col).alias("source")]
-    groups, state = estimate(base.select(*row_key, *added[:6]), min_group)
+    base = staged(base_columns(wrapped(docs, carry, txt=text_col, lang=lang_col, source=source_col), "txt")
+                  .drop("txt"), "quality-base")
+    groups, state = estimate(base.drop(ROW), min_group)
     # A row's verdict is a function of its group and statistics: attach the
     # group and its estimate, and compute the distance in place.
-    out = (base.join(groups.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "grp"),
-                     F.col(lang_col).eqNullSafe(F.col("_l")) & F.col(source_col).eqNullSafe(F.col("_s")),
-                     "left").drop("_l", "_s"))
+    out = base.join(groups.withColumnsRenamed({"lang": "_l", "source": "_s"}),
+                    F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     out = _statistics(out).join(state, "grp", "left").withColumn("d2", _distance2())
     d2 = F.when(~F.col("base_failed"), F.col("d2"))
     return (out.withColumn("distance2", d2)
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") <= cutoff, F.lit(True)))
-            .select(*carry, *added))
+            .select(*unwrapped(carry), *added))
 
 
 def _statistics(rows: DataFrame) -> DataFrame:
@@ -212,23 +247,28 @@ def estimate(base: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, Da
         groups.withColumnsRenamed({"lang": "_l", "source": "_s"}),
         F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")))
         .select("grp", *X), "mcd-rows")
-    # Start: medians, and spreads from the median absolute deviations.
-    med = staged(rows.groupBy("grp").agg(*[F.percentile(x, F.lit(0.5)).alias(f"m{i}")
-                                           for i, x in enumerate(X)]), "mcd-medians")
-    mad = staged(rows.join(med, "grp").groupBy("grp").agg(*[
-        F.percentile(F.abs(F.col(x) - F.col(f"m{i}")), F.lit(0.5)).alias(f"a{i}")
-        for i, x in enumerate(X)]), "mcd-spreads")
-    variance = [F.greatest(2.2 * F.col(f"a{i}") * F.col(f"a{i}"), F.lit(float(UNIT * UNIT)))
-                for i in range(len(X))]
-    n = range(len(X))
-    state = staged(med.join(mad, "grp").select(
-        "grp", F.array(*[F.col(f"m{i}") for i in n]).alias("m"),
-        F.array(*[1.0 / variance[i] if i == j else F.lit(0.0) for i in n for j in n]).alias("inv")),
-        "mcd-start")
-    for step in range(C_STEPS):
-        state = _state(_nearest(rows, state, KEEP_SHARE), CONSISTENCY, f"mcd-step{step}")
+    states = _start(rows)
+    done = None
+    for step in range(MAX_STEPS):
+        # A start that has settled keeps its state; the others go on.
+        moved = _state(_nearest(rows, states, KEEP_SHARE), CONSISTENCY, f"mcd-step{step}")
+        if step:
+            both = moved.join(states.select("grp", "start", F.col("logdet").alias("was")), ["grp", "start"])
+            fell = F.col("logdet") < F.col("was") - 1e-9
+            going = both.filter(fell).select("grp", "start", "m", "inv", "logdet")
+            ended = states.join(both.filter(~fell).select("grp", "start"), ["grp", "start"], "left_semi")
+            done = ended if done is None else done.union(ended)
+            moved = staged(going, f"mcd-going{step}")
+        states = moved
+        if not states.head(1):
+            break
+    else:
+        done = states if done is None else done.union(states)
+    best = (staged(done, "mcd-ended") if done is not None else states)
+    least = best.groupBy("grp").agg(F.min_by(F.struct("start", "m", "inv"), F.struct("logdet", "start")).alias("b"))
+    state = staged(least.select("grp", "b.*"), "mcd-best")
     near = _distances(rows, state).filter(F.col("d2") <= REWEIGHT_AT)
-    return groups, _state(near, CONSISTENCY_REWEIGHTED, "mcd-final")
+    return groups, _state(near, CONSISTENCY_REWEIGHTED, "mcd-final").select("grp", "m", "inv")
 
 
 def digest(docs: DataFrame) -> DataFrame:
