@@ -35,7 +35,7 @@ def wrapped(docs: DataFrame, columns: list[str], **parts: str) -> DataFrame:
     single columns under names of our own. What is added later cannot clash
     with a column of the input, whatever that is called."""
     quoted = [F.col(f"`{c}`") for c in columns]
-    row = F.struct(*quoted) if quoted else F.lit(None).cast("struct<>")
+    row = F.struct(*quoted) if quoted else F.lit(0)
     return docs.select(row.alias(ROW), *[F.col(f"`{c}`").alias(name) for name, c in parts.items()])
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from skyfare.llm.common import staged
+from skyfare.llm.common import ROW, discard, staged, unwrapped, wrapped
 
 UNKNOWN = "und"
 DIM = 4096
@@ -180,20 +180,27 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           max_train: int = MAX_TRAIN, dim: int = DIM) -> Model:
     """Model from the rows that are not held out and have a text and a language.
 
-    Counts per language come first; then the ids with the smallest hashes are
-    taken, ``max_train`` in all, or one a language if there are more. Their
-    profiles are made in the tasks; the driver receives that many x dim numbers.
+    Distinct texts are counted by language first; then the hashes under a bound
+    that leaves a few more than wanted are ranked, ``max_train`` in all, or one
+    a language if there are more. So a language's ranking reads about as many
+    rows as it gives, however many there are. The profiles are made in the
+    tasks; the driver receives that many x dim numbers, and a count a language.
     """
     labelled = docs.filter(~held_out_column(id_col) & F.col(text_col).isNotNull()
                            & F.col(lang_col).isNotNull())
-    counts = [r[1] for r in labelled.groupBy(lang_col).count().collect()]
+    order = F.xxhash64(F.col(id_col), F.col(text_col))
+    hashes = staged(labelled.select(F.col(lang_col).alias("l"), order.alias("o")).distinct(), "lang-hashes")
+    counted = hashes.groupBy("l").agg(F.count("*").alias("n"))
+    counts = [r["n"] for r in counted.collect()]
     if not counts:
         return fit([])
     each = _quota(counts, max_train)
-    order = F.xxhash64(F.col(id_col), F.col(text_col))
-    ranked = labelled.select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), order.alias("o"))
-    ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("o", "i")))
-    chosen = F.broadcast(ranked.filter(F.col("r") <= each).select("l", "o").distinct())
+    # Of n hashes spread over 2**64, so many lie under the bound that with a
+    # margin of ten deviations at least ``each`` do.
+    share = F.least(F.lit(1.0), F.lit(each + 10.0 * each ** 0.5 + 100.0) / F.col("n"))
+    under = (hashes.join(counted, "l").filter(F.col("o") <= -2.0**63 + share * 2.0**64).select("l", "o"))
+    ranked = under.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("o")))
+    chosen = F.broadcast(ranked.filter(F.col("r") <= each).select("l", "o"))
     texts = (labelled.select(F.col(lang_col).alias("l"), order.alias("o"), F.col(text_col).alias("t"))
              .join(chosen, ["l", "o"], "left_semi").dropDuplicates(["l", "o"]))
 
@@ -205,6 +212,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                                              ["l", "o", "v"])
 
     rows = staged(texts.mapInArrow(run, "l string, o bigint, v binary"), "lang-profiles")
+    discard(hashes)
     got = rows.filter("v IS NOT NULL").orderBy("l", "o").collect()
     return fit([(r["l"], np.frombuffer(r["v"], np.float32)) for r in got])
 
@@ -217,28 +225,29 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
       row if nothing can be learned.
     - A prediction depends on the text alone; repeated rows get one answer.
     - A NULL id has no remainder: it is neither held out (NULL) nor learned from.
-    - Columns named like an added one are replaced; an empty table stays empty.
+    - Columns named like an added one are replaced, all others come through,
+      whatever their names; an empty table stays empty.
 
     One pass over the texts, whole, without a shuffle; the model is broadcast,
     its size bounded by pairs of languages x ``dim``.
     """
-    base = docs.drop("held_out", "lang_pred", "score")
-    model = docs.sparkSession.sparkContext.broadcast(
-        train(base, id_col, text_col, lang_col, max_train, dim))
-    marked = base.withColumn("held_out", held_out_column(id_col))
-    schema = StructType([*marked.schema.fields, StructField("lang_pred", StringType()),
+    carry = [c for c in docs.columns if c.lower() not in ("held_out", "lang_pred", "score")]
+    base = wrapped(docs, [c for c in carry if c != text_col], id=id_col, txt=text_col, lang=lang_col)
+    model = docs.sparkSession.sparkContext.broadcast(train(base, "id", "txt", "lang", max_train, dim))
+    rows = base.select(ROW, "txt", held_out_column("id").alias("held_out"))
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
-    names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
-            said = [m.predict(profile(t.as_py(), dim)) for t in b.column(text_col)]
+            said = [m.predict(profile(t.as_py(), dim)) for t in b.column("txt")]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([s[0] for s in said], pa.string()),
-                 pa.array([s[1] for s in said], pa.float64())], names)
+                 pa.array([s[1] for s in said], pa.float64())], schema.fieldNames())
 
-    return marked.mapInArrow(run, schema)
+    own = [F.col("txt").alias(c) if c == text_col else unwrapped([c])[0] for c in carry]
+    return rows.mapInArrow(run, schema).select(*own, "held_out", "lang_pred", "score")
 
 
 def digest(docs: DataFrame) -> DataFrame:

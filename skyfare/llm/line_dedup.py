@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import SPACE, ascii_lower, staged
+from skyfare.llm.common import SPACE, ascii_lower, staged, unwrapped, wrapped
 
 MIN_KEY_CHARS = 40
 MIN_DOCS = 5
@@ -34,44 +34,41 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     - NULL id: not counted as a document and never the holder, but shared
       lines go from it as well.
     - Repeated ids are one document to the count; each row keeps its own lines.
-    - A column of the input named like an added one is replaced.
+    - A column of the input named like an added one is replaced; all others
+      come through, whatever their names.
 
     Only line hashes are shuffled until the last join, which moves each text
     once. That join is on the id and a hash of the text, so no key is hot
     unless the same row is repeated, and then AQE splits it.
     """
-    base = docs.drop("n_lines", "n_dropped")
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    carry = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    base = wrapped(docs, carry, id=id_col, txt=text_col)
+    text_hash = F.xxhash64(F.coalesce("txt", F.lit("")))
     # Two independent 64-bit hashes stand for the key.
-    lines = (base.filter(F.char_length(text_col) >= min_chars)
-             .select(F.col(id_col).alias("_id"), text_hash.alias("_th"),
-                     F.posexplode(_lines(F.col(text_col))).alias("_pos", "_line"))
-             .filter(F.char_length("_line") >= min_chars)
-             .select("_id", "_th", "_pos", line_key(F.col("_line")).alias("_key"))
-             .filter(F.char_length("_key") >= min_chars)
-             .select("_id", "_th", "_pos", F.xxhash64("_key").alias("_k1"),
-                     F.xxhash64(F.lit(1), "_key").alias("_k2")))
+    lines = (base.filter(F.char_length("txt") >= min_chars)
+             .select("id", text_hash.alias("th"), F.posexplode(_lines(F.col("txt"))).alias("pos", "line"))
+             .filter(F.char_length("line") >= min_chars)
+             .select("id", "th", "pos", line_key(F.col("line")).alias("key"))
+             .filter(F.char_length("key") >= min_chars)
+             .select("id", "th", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2")))
     lines = staged(lines, "line-keys")
-    shared = (lines.groupBy("_k1", "_k2")
-              .agg(F.count_distinct("_id").alias("_docs"), F.max("_id").alias("_holder"))
-              .filter(F.col("_docs") >= min_docs).select("_k1", "_k2", "_holder"))
+    shared = (lines.groupBy("k1", "k2")
+              .agg(F.count_distinct("id").alias("docs"), F.max("id").alias("holder"))
+              .filter(F.col("docs") >= min_docs).select("k1", "k2", "holder"))
     shared = staged(shared, "shared-lines")
-    drops = (lines.join(shared, ["_k1", "_k2"])
-             .filter(F.col("_id").isNull() | (F.col("_id") != F.col("_holder")))
-             .groupBy(F.col("_id").alias("_did"), F.col("_th").alias("_dth"))
-             .agg(F.collect_set("_pos").alias("_drop")))
-    joined = (base.withColumn("_th", text_hash)
-              .join(drops, F.col(id_col).eqNullSafe(F.col("_did")) & (F.col("_th") == F.col("_dth")),
-                    "left"))
-    n_lines = F.size(_lines(F.col(text_col)))
-    kept_pos = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_drop"))
-    kept = F.array_join(F.transform(kept_pos, lambda i: F.get(F.col("_l"), i)), "\n")
-    return (joined
-            .withColumn("n_lines", n_lines.cast("long"))
-            .withColumn("n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
-            .withColumn("_l", F.when(F.col("_drop").isNotNull(), _lines(F.col(text_col))))
-            .withColumn(text_col, F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept))
-            .drop("_th", "_did", "_dth", "_drop", "_l"))
+    drops = (lines.join(shared, ["k1", "k2"])
+             .filter(F.col("id").isNull() | (F.col("id") != F.col("holder")))
+             .groupBy(F.col("id").alias("did"), F.col("th").alias("dth"))
+             .agg(F.collect_set("pos").alias("gone")))
+    joined = (base.withColumn("th", text_hash)
+              .join(drops, F.col("id").eqNullSafe(F.col("did")) & (F.col("th") == F.col("dth")), "left")
+              .withColumn("l", F.when(F.col("gone").isNotNull(), _lines(F.col("txt")))))
+    kept_pos = F.array_except(F.sequence(F.lit(0), F.size("l") - 1), F.col("gone"))
+    kept = F.array_join(F.transform(kept_pos, lambda i: F.get(F.col("l"), i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("txt")).otherwise(kept)
+    own = [text.alias(c) if c == text_col else col for c, col in zip(carry, unwrapped(carry))]
+    return joined.select(*own, F.size(_lines(F.col("txt"))).cast("long").alias("n_lines"),
+                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -66,6 +66,27 @@ def test_line_dedup_keeps_a_repeated_row_whole(spark):
     assert {(r[0], r[1], r[2]) for r in got} == {(1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 1), (5, 0, 2)}
 
 
+@pytest.mark.parametrize("call", ["lines", "quality", "language"])
+def test_columns_of_any_name_come_through(spark, call):
+    """Names that the operators use inside, and names of theirs that are replaced."""
+    names = ["_row", "_l", "_th", "_did", "_drop", "id", "txt", "th", "pos", "key", "holder", "gone", "l", "grp", "m",
+             "inv", "start", "x1", "d2", "bin", "states", "_h", "_w", "_lines", "n", "t", "i", "o", "v", "a.b", "limit"]
+    replaced = {"lines": ["n_lines", "n_dropped"], "language": ["held_out", "lang_pred", "score"],
+                "quality": ["n_words", "word_chars", "kept", "distance2", "base_failed", "n_symbols"]}[call]
+    rows = [(i, f"{SHARED}\nown text number {i} " + prose(random.Random(i), 20), "en", "s", 1) for i in range(30)]
+    frame = docs(spark, rows + ODD[:3]).withColumns({c: F.concat(F.lit(f"own {c} "), F.col("doc_id"))
+                                                     for c in [*names, *replaced]})
+    operator = {"lines": line_dedup.dedup_lines, "language": language_id.identify,
+                "quality": quality_rules.quality_rules}[call]
+    got = operator(frame).collect()
+    assert len(got) == len(rows) + 3
+    for r in got:
+        for c in names:
+            assert r[c] == f"own {c} {r['doc_id']}"
+        for c in replaced:
+            assert not str(r[c]).startswith("own")
+
+
 # -- language ID --------------------------------------------------------------
 
 def test_language_id_held_out_accuracy_and_unknowns(spark):
@@ -497,5 +518,25 @@ def test_url_rules_and_terms(spark, url, host, path, rule, verdict):
     assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, rule, verdict)
 
 
+def test_urls_by_a_vocabulary_of_ones_own(spark):
+    terms = spark.createDataFrame(
+        [("Foo", "strict", None), ("bar", "soft", 0.4), ("baz", "soft", 1.7), ("baz", "soft", 0.1), ("é-x", "soft", 1.6),
+         ("bar", "soft", 0.4), ("a.b", "soft", 9.0)], "term string, kind string, weight double")
+    urls = ["http://h/foo", "http://h/foot", "http://h/bar-BAZ", "http://h/bar", "http://h/baz/baz", "http://h/é-x.baz",
+            "http://h/a.b", "http://h/a.b/bar", "x" * 300_000 + "/bar/baz", "bar" * 100_000, None]
+    clash = ["low", "url_", "says", "_row", "verdict", "soft_weight", "n_soft"]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").withColumns(
+        {c: F.lit(f"own {c}") for c in clash})
+    got = {r["page_id"]: r for r in url_filter.judge_urls(frame, terms=terms).collect()}
+    assert [i for i, r in got.items() if r["verdict"] == "block"] == [0, 2, 5, 7, 8]
+    assert (got[2]["n_soft"], round(got[2]["soft_weight"], 9), got[4]["n_soft"]) == (2, 2.1, 1)
+    for r in got.values():
+        assert all(r[c] == f"own {c}" for c in ("low", "url_", "says", "_row"))
+    with pytest.raises(ValueError, match="unknown kind"):
+        url_filter.judge_urls(frame, terms=terms.withColumn("kind", F.lit("odd")))
+    none = url_filter.judge_urls(frame, terms=terms.limit(0)).filter("verdict = 'block'")
+    assert none.count() == 0
+
+
 def test_no_pages(spark):
     assert url_filter.digest(spark.createDataFrame([], "page_id long, url string")).count() == 0
