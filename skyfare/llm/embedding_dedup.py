@@ -167,3 +167,26 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
 def digest(vectors: DataFrame) -> DataFrame:
     return near_duplicates(vectors.select("vec_id", "embedding", "label"))
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+reach(a, b) AS (
+  SELECT DISTINCT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+c AS (
+  SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(least_of.b, vec_id)) AS component_id
+  FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least_of ON least_of.a = vec_id)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM c
+"""

@@ -367,3 +367,32 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def digest(docs: DataFrame) -> DataFrame:
     return link_documents(docs.select("doc_id", "text"))
+
+
+ORACLE_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT row, doc_id, unnest(list_distinct(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
+           ELSE [array_to_string(w[i:i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {SHINGLE - 2})] END)) AS shingle
+  FROM w),
+n AS (SELECT row, doc_id, count(*) AS n FROM s GROUP BY row, doc_id),
+met AS (
+  SELECT a.row AS x, b.row AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.row <> b.row
+  GROUP BY a.row, b.row),
+links AS (
+  SELECT DISTINCT nx.doc_id AS a, ny.doc_id AS b FROM met JOIN n nx ON nx.row = x JOIN n ny ON ny.row = y
+  WHERE 100 * k >= {PERCENT} * (nx.n + ny.n - k)),
+reach(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(w.doc_id, least_of.b), w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (row) LEFT JOIN least_of ON least_of.a = w.doc_id
+"""

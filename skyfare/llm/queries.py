@@ -75,6 +75,8 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
+    "op4_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op5_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op7_quotation_linking": quotation.ORACLE_SQL,
     "op10_url_filter": url_filter.ORACLE_SQL,
     "op12_fill_middle": fill_middle.ORACLE_SQL,
