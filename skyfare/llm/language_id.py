@@ -190,7 +190,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                            & F.col(lang_col).isNotNull())
     order = F.xxhash64(F.col(id_col), F.col(text_col))
     hashes = staged(labelled.select(F.col(lang_col).alias("l"), order.alias("o")).distinct(), "lang-hashes")
-    counted = hashes.groupBy("l").agg(F.count("*").alias("n"))
+    counted = staged(hashes.groupBy("l").agg(F.count("*").alias("n")), "lang-counts")
     counts = [r["n"] for r in counted.collect()]
     if not counts:
         return fit([])
@@ -198,7 +198,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # Of n hashes spread over 2**64, so many lie under the bound that with a
     # margin of ten deviations at least ``each`` do.
     share = F.least(F.lit(1.0), F.lit(each + 10.0 * each ** 0.5 + 100.0) / F.col("n"))
-    under = (hashes.join(counted, "l").filter(F.col("o") <= -2.0**63 + share * 2.0**64).select("l", "o"))
+    # One row a language, which the driver has seen: small enough to send along.
+    under = (hashes.join(F.broadcast(counted), "l").filter(F.col("o") <= -2.0**63 + share * 2.0**64).select("l", "o"))
     ranked = under.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("o")))
     chosen = F.broadcast(ranked.filter(F.col("r") <= each).select("l", "o"))
     texts = (labelled.select(F.col(lang_col).alias("l"), order.alias("o"), F.col(text_col).alias("t"))

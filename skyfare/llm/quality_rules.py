@@ -25,7 +25,8 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 MIN_GROUP = 200
 KEEP_SHARE = 0.75
-MAX_STEPS = 30
+# Steps end when no determinant falls by a thousandth any more, or after so many.
+SETTLED, MAX_STEPS = 1e-3, 30
 # Squared Mahalanobis distance past which a row is an outlier: the chi-square
 # of five statistics that one row in ten million of a normal passes. Real
 # statistics have heavier tails, and clean rows are to stay.
@@ -254,7 +255,7 @@ def estimate(base: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, Da
         moved = _state(_nearest(rows, states, KEEP_SHARE), CONSISTENCY, f"mcd-step{step}")
         if step:
             both = moved.join(states.select("grp", "start", F.col("logdet").alias("was")), ["grp", "start"])
-            fell = F.col("logdet") < F.col("was") - 1e-9
+            fell = F.col("logdet") < F.col("was") - SETTLED
             going = both.filter(fell).select("grp", "start", "m", "inv", "logdet")
             ended = states.join(both.filter(~fell).select("grp", "start"), ["grp", "start"], "left_semi")
             done = ended if done is None else done.union(ended)

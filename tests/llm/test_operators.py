@@ -437,7 +437,7 @@ def test_quality_rejects_outliers_by_the_estimate(spark):
         while fell:
             bins = np.round(200 * np.log(np.maximum(distance(*was[:2]), 0) + 0.01))
             now = spread(x[bins <= np.quantile(bins, 0.75)], 1.41)
-            fell = len(was) < 3 or was is state or now[2] < was[2] - 1e-9
+            fell = len(was) < 3 or was is state or now[2] < was[2] - quality_rules.SETTLED
             was = now if fell else was
         ended.append(was)
     best = min(ended, key=lambda s: s[2])
