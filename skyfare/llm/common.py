@@ -68,6 +68,13 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """After many small jobs: have the driver collect its garbage. Spark drops
+    the broadcasts, shuffle files and compiled plans that nothing refers to any
+    more only when that happens, and by itself it may be long in coming."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def arrow_batch(spark: SparkSession, rows: int):
     """Bound the Arrow batches of the eager jobs run inside, for rows that

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import discard, staged
+from skyfare.llm.common import discard, staged, tidy
 
 MAX_ROUNDS = 60
 
@@ -57,5 +57,6 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         before = after
     else:
         raise RuntimeError("connected components did not settle")
+    tidy(links.sparkSession)
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
         e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from skyfare.llm.common import ROW, discard, staged, unwrapped, wrapped
+from skyfare.llm.common import ROW, discard, staged, tidy, unwrapped, wrapped
 
 UNKNOWN = "und"
 DIM = 4096
@@ -214,6 +214,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     rows = staged(texts.mapInArrow(run, "l string, o bigint, v binary"), "lang-profiles")
     discard(hashes)
+    tidy(docs.sparkSession)
     got = rows.filter("v IS NOT NULL").orderBy("l", "o").collect()
     return fit([(r["l"], np.frombuffer(r["v"], np.float32)) for r in got])
 

@@ -14,10 +14,10 @@ point integers, so sums are exact and do not depend on partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from skyfare.llm.common import ROW, SPACE_CLASS, staged, unwrapped, wrapped
+from skyfare.llm.common import ROW, SPACE_CLASS, staged, tidy, unwrapped, wrapped
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -143,38 +143,62 @@ def _groups(rows: DataFrame, min_group: int) -> DataFrame:
                     .otherwise("*").alias("grp")))
 
 
-def _state(rows: DataFrame, scale: float, name: str) -> DataFrame:
+def _sums() -> list[Column]:
+    """What a mean and a covariance are made of."""
+    sums = [F.count("*").alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(X)]
+    return sums + [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in PAIRS]
+
+
+def _fitted(sums: DataFrame, scale: float) -> DataFrame:
     """grp, start, m, inv, logdet: the mean, and the inverse and determinant of
     the covariance times ``scale`` with its diagonal floored."""
-    sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(X)]
-    sums += [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in PAIRS]
-    total = rows.groupBy("grp", "start").agg(F.count("*").cast("double").alias("n"), *sums)
+    n = F.col("n").cast("double")
 
     def cov(i, j):
-        c = scale * (F.col(f"s{max(i, j)}_{min(i, j)}") / F.col("n")
-                     - F.col(f"s{i}") / F.col("n") * (F.col(f"s{j}") / F.col("n")))
+        c = scale * (F.col(f"s{max(i, j)}_{min(i, j)}") / n - F.col(f"s{i}") / n * (F.col(f"s{j}") / n))
         return F.greatest(c, F.lit(float(UNIT * UNIT))) if i == j else c
     p = range(len(X))
-    total = total.select("grp", "start", F.array(*[F.col(f"s{i}") / F.col("n") for i in p]).alias("m"),
-                         _inverse(F.array(*[cov(i, j) for i in p for j in p])).alias("c"))
-    return staged(total.select("grp", "start", "m", "c.inv", "c.logdet"), name)
+    return (sums.select("grp", "start", F.array(*[F.col(f"s{i}") / n for i in p]).alias("m"),
+                        _inverse(F.array(*[cov(i, j) for i in p for j in p])).alias("c"))
+            .select("grp", "start", "m", "c.inv", "c.logdet"))
 
 
 def _distances(rows: DataFrame, states: DataFrame) -> DataFrame:
     """Each row once for every state of its group, with its distance."""
-    packed = states.groupBy("grp").agg(F.collect_list(F.struct(
-        *[c for c in states.columns if c != "grp"])).alias("states"))
-    return (rows.join(packed, "grp").select("grp", *X, F.inline("states")).withColumn("d2", _distance2())
-            .withColumn("bin", F.round(BIN * F.log(F.greatest("d2", F.lit(0.0)) + 0.01)).cast("long")))
+    packed = states.groupBy("grp").agg(F.collect_list(F.struct("start", "m", "inv")).alias("states"))
+    return rows.join(packed, "grp").select("grp", *X, F.inline("states")).withColumn("d2", _distance2())
 
 
 def _nearest(rows: DataFrame, states: DataFrame, share: float) -> DataFrame:
-    """Rows in the ``share`` of their group with the least distance, for each
-    start. The limit carries its state, so the second pass needs one join."""
-    limit = staged(_distances(rows, states).groupBy("grp", "start").agg(
-        F.percentile("bin", F.lit(share)).alias("limit"),
-        F.any_value("m").alias("m"), F.any_value("inv").alias("inv")), "mcd-limit")
-    return _distances(rows, limit).filter(F.col("bin") <= F.col("limit"))
+    """Sums over the ``share`` of each group's rows with the least distance, for
+    each start. Sums are made by distance bin first, so one pass finds the limit
+    and what lies within it; bins are a few thousand a group at any size."""
+    bin_ = F.round(BIN * F.log(F.greatest("d2", F.lit(0.0)) + 0.01)).cast("long").alias("bin")
+    bins = _distances(rows, states).groupBy("grp", "start", bin_).agg(*_sums())
+    upto = Window.partitionBy("grp", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("grp", "start")
+    # The bin that holds the row at this share, and all before it.
+    inside = (bins.withColumn("before", F.sum("n").over(upto) - F.col("n"))
+              .withColumn("last", F.floor(F.lit(share) * (F.sum("n").over(whole) - 1)))
+              .filter(F.col("before") <= F.col("last")).drop("before", "last", "bin"))
+    names = [c for c in inside.columns if c not in ("grp", "start")]
+    return inside.groupBy("grp", "start").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def _step(rows: DataFrame, states: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """One concentration step, written: every start that still moves is fitted
+    to its nearest rows, and moves on if its determinant falls. Also how many
+    starts go on."""
+    going = states.filter("going")
+    fitted = _fitted(_nearest(rows, going, KEEP_SHARE), CONSISTENCY)
+    now = states.join(fitted.select("grp", "start", *[F.col(c).alias(f"_{c}") for c in ("m", "inv", "logdet")]),
+                      ["grp", "start"], "left")
+    fell = F.coalesce(F.col("_logdet") < F.col("logdet") - SETTLED, F.lit(False))
+    seen = Observation()
+    out = now.select("grp", "start", *[F.when(fell, F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+                                       for c in ("m", "inv", "logdet")], fell.alias("going"))
+    written = staged(out.observe(seen, F.count_if("going").alias("n")), name)
+    return written, seen.get["n"]
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -193,8 +217,10 @@ def _start(rows: DataFrame) -> DataFrame:
     around = (med.join(mad, "grp").withColumn("m", F.array(*[F.col(f"m{i}") for i in n]))
               .select("grp", "m", F.inline(F.array(diagonal(0, n), diagonal(1, (0, 1)))))
               .select("grp", "start", "m", "inv"))
-    plain = _state(rows.withColumn("start", F.lit(2)), 1.0, "mcd-plain").select("grp", "start", "m", "inv")
-    return staged(around.union(plain), "mcd-start")
+    plain = _fitted(rows.withColumn("start", F.lit(2)).groupBy("grp", "start").agg(*_sums()), 1.0)
+    # No covariance stands behind a diagonal start, so its first step always counts.
+    return staged(around.withColumn("logdet", F.lit(float("inf"))).union(plain).withColumn("going", F.lit(True)),
+                  "mcd-start")
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -249,27 +275,16 @@ def estimate(base: DataFrame, min_group: int = MIN_GROUP) -> tuple[DataFrame, Da
         F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")))
         .select("grp", *X), "mcd-rows")
     states = _start(rows)
-    done = None
     for step in range(MAX_STEPS):
-        # A start that has settled keeps its state; the others go on.
-        moved = _state(_nearest(rows, states, KEEP_SHARE), CONSISTENCY, f"mcd-step{step}")
-        if step:
-            both = moved.join(states.select("grp", "start", F.col("logdet").alias("was")), ["grp", "start"])
-            fell = F.col("logdet") < F.col("was") - SETTLED
-            going = both.filter(fell).select("grp", "start", "m", "inv", "logdet")
-            ended = states.join(both.filter(~fell).select("grp", "start"), ["grp", "start"], "left_semi")
-            done = ended if done is None else done.union(ended)
-            moved = staged(going, f"mcd-going{step}")
-        states = moved
-        if not states.head(1):
+        states, going = _step(rows, states, f"mcd-step{step}")
+        if not going:
             break
-    else:
-        done = states if done is None else done.union(states)
-    best = (staged(done, "mcd-ended") if done is not None else states)
-    least = best.groupBy("grp").agg(F.min_by(F.struct("start", "m", "inv"), F.struct("logdet", "start")).alias("b"))
-    state = staged(least.select("grp", "b.*"), "mcd-best")
-    near = _distances(rows, state).filter(F.col("d2") <= REWEIGHT_AT)
-    return groups, _state(near, CONSISTENCY_REWEIGHTED, "mcd-final").select("grp", "m", "inv")
+    least = states.groupBy("grp").agg(F.min_by(F.struct("start", "m", "inv"), F.struct("logdet", "start")).alias("b"))
+    near = _distances(rows, least.select("grp", "b.*")).filter(F.col("d2") <= REWEIGHT_AT)
+    final = _fitted(near.groupBy("grp", "start").agg(*_sums()), CONSISTENCY_REWEIGHTED)
+    final = staged(final.select("grp", "m", "inv"), "mcd-final")
+    tidy(base.sparkSession)
+    return groups, final
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -432,12 +432,12 @@ def test_quality_rejects_outliers_by_the_estimate(spark):
     m = np.median(x, axis=0)
     inverse = np.diag(1 / np.maximum(2.2 * np.median(abs(x - m), axis=0) ** 2, floor))
     ended = []
-    for state in ((m, inverse), (m, inverse * np.diag([1, 1, 1e-6, 1e-6, 1e-6])), spread(x, 1.0)):
-        was, fell = state, True
+    for was in ((m, inverse, np.inf), (m, inverse * np.diag([1, 1, 1e-6, 1e-6, 1e-6]), np.inf), spread(x, 1.0)):
+        fell = True
         while fell:
             bins = np.round(200 * np.log(np.maximum(distance(*was[:2]), 0) + 0.01))
             now = spread(x[bins <= np.quantile(bins, 0.75)], 1.41)
-            fell = len(was) < 3 or was is state or now[2] < was[2] - quality_rules.SETTLED
+            fell = now[2] < was[2] - quality_rules.SETTLED
             was = now if fell else was
         ended.append(was)
     best = min(ended, key=lambda s: s[2])
