@@ -92,15 +92,6 @@ class _Votes:
     pairs: list
     weights: np.ndarray
 
-    @classmethod
-    def train(cls, x: np.ndarray, labels: np.ndarray, names: list) -> _Votes:
-        pairs = list(combinations(range(len(names)), 2))
-        rows = []
-        for a, b in pairs:
-            use = np.flatnonzero((labels == a) | (labels == b))
-            rows.append(_svm(x, use, np.where(labels[use] == a, 1.0, -1.0)))
-        return cls(names, pairs, np.array(rows).reshape(len(pairs), x.shape[1] + 1))
-
     def decide(self, v: np.ndarray) -> tuple[int, float]:
         """(class, 0 to 1): most pairwise wins, then the larger summed margin,
         then the first; the score is the mean of its pairwise probabilities."""
@@ -144,21 +135,78 @@ def _families(means: np.ndarray, names: list) -> list[list[str]]:
     return [[names[i] for i in sorted(g)] for g in groups]
 
 
+def _machines(families: list[list[str]]) -> dict[tuple, dict[str, float]]:
+    """{(level, a, b): the side of each language that takes part}. Level -1
+    decides between families, level f between the languages of family f."""
+    levels = {-1: families} | {f: [[la] for la in g] for f, g in enumerate(families)}
+    return {(level, a, b): {la: 1.0 if c == a else -1.0 for c in (a, b) for la in classes[c]}
+            for level, classes in levels.items() for a, b in combinations(range(len(classes)), 2)}
+
+
+def _model(families: list[list[str]], weights: dict[tuple, np.ndarray]) -> Model:
+    def votes(level, names):
+        pairs = [(a, b) for x, a, b in weights if x == level]
+        return _Votes(names, pairs, np.array([weights[level, a, b] for a, b in pairs]))
+    return Model(families, votes(-1, list(range(len(families)))), [votes(f, g) for f, g in enumerate(families)])
+
+
 def fit(rows: list[tuple[str, np.ndarray]]) -> Model:
+    """Model from profiles at hand; ``train`` gives the same from a table."""
     names = sorted({lang for lang, _ in rows})
     if not names:
         return Model([], None, [])
-    x = np.stack([v for _, v in rows])
-    lang = np.array([names.index(la) for la, _ in rows])
-    families = _families(np.stack([x[lang == i].mean(axis=0) for i in range(len(names))]), names)
-    family_of = {la: f for f, g in enumerate(families) for la in g}
-    outer = _Votes.train(x, np.array([family_of[names[i]] for i in lang]), list(range(len(families))))
-    inner = []
-    for g in families:
-        # Rows of other families get no class here.
-        inner.append(_Votes.train(x, np.array([g.index(names[i]) if names[i] in g else -1
-                                               for i in lang]), g))
-    return Model(families, outer, inner)
+    x, lang = np.stack([v for _, v in rows]), np.array([la for la, _ in rows])
+    families = _families(np.stack([x[lang == la].mean(axis=0) for la in names]), names)
+    weights = {}
+    for machine, side in _machines(families).items():
+        use = np.flatnonzero(np.isin(lang, list(side)))
+        weights[machine] = _svm(x, use, np.array([side[la] for la in lang[use]]))
+    return _model(families, weights)
+
+
+def _means(rows: DataFrame, dim: int) -> dict[str, np.ndarray]:
+    """Mean profile of each language: summed in the tasks, a sum for each task
+    and language on the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, list] = {}
+        for b in batches:
+            for la, v in zip(b.column("l").to_pylist(), b.column("v").to_pylist()):
+                n = total.setdefault(la, [0, np.zeros(dim)])
+                n[0] += 1
+                n[1] += np.frombuffer(v, np.float32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.string()), pa.array([n for n, _ in total.values()], pa.int64()),
+             pa.array([v.tobytes() for _, v in total.values()], pa.binary())], ["l", "n", "v"])
+
+    sums: dict[str, list] = {}
+    for r in rows.mapInArrow(run, "l string, n bigint, v binary").collect():
+        n = sums.setdefault(r["l"], [0, np.zeros(dim)])
+        n[0] += r["n"]
+        n[1] += np.frombuffer(r["v"], np.float64)
+    return {la: v / n for la, (n, v) in sums.items()}
+
+
+def _train_machines(rows: DataFrame, families: list[list[str]]) -> dict[tuple, np.ndarray]:
+    """Each machine in a task of its own, over the profiles of its languages
+    (at most all training texts); the driver gets the weights."""
+    machines = _machines(families)
+    if not machines:
+        return {}
+    sides = F.broadcast(rows.sparkSession.createDataFrame(
+        [(la, *m, s) for m, side in machines.items() for la, s in side.items()],
+        "l string, level int, a int, b int, y double"))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("l", "ascending"), ("o", "ascending")])
+        x = np.stack([np.frombuffer(v, np.float32) for v in table.column("v").to_pylist()])
+        w = _svm(x, np.arange(len(x)), table.column("y").to_numpy())
+        return pa.table({c: table.column(c).slice(0, 1) for c in ("level", "a", "b")}
+                        | {"w": pa.array([w.tobytes()], pa.binary())})
+
+    found = (rows.join(sides, "l").groupBy("level", "a", "b")
+             .applyInArrow(run, "level int, a int, b int, w binary").collect())
+    got = {(r["level"], r["a"], r["b"]): np.frombuffer(r["w"], np.float64) for r in found}
+    return {m: got[m] for m in machines}
 
 
 def held_out_column(id_col):
@@ -183,8 +231,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Distinct texts are counted by language first; then the hashes under a bound
     that leaves a few more than wanted are ranked, ``max_train`` in all, or one
     a language if there are more. So a language's ranking reads about as many
-    rows as it gives, however many there are. The profiles are made in the
-    tasks; the driver receives that many x dim numbers, and a count a language.
+    rows as it gives, however many there are. Profiles, their sums and the
+    machines are made in the tasks; the driver receives sums and weights.
     """
     labelled = docs.filter(~held_out_column(id_col) & F.col(text_col).isNotNull()
                            & F.col(lang_col).isNotNull())
@@ -215,8 +263,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = staged(texts.mapInArrow(run, "l string, o bigint, v binary"), "lang-profiles")
     discard(hashes)
     tidy(docs.sparkSession)
-    got = rows.filter("v IS NOT NULL").orderBy("l", "o").collect()
-    return fit([(r["l"], np.frombuffer(r["v"], np.float32)) for r in got])
+    usable = rows.filter("v IS NOT NULL")
+    means = _means(usable, dim)
+    if not means:
+        return fit([])
+    families = _families(np.stack([means[la] for la in sorted(means)]), sorted(means))
+    return _model(families, _train_machines(usable, families))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -171,3 +172,19 @@ def test_shards_equal_a_walk_over_the_sorted_rows(spark):
     assert len(got) == len(rows)
     for r in got:
         assert (r["shard"], r["slot"]) == want[r["doc_id"], texts[r["doc_id"]] or ""]
+
+
+def test_machines_trained_in_tasks_equal_those_trained_at_hand(spark):
+    rnd = random.Random(8)
+    rows = [(i, " ".join("".join(rnd.choices(LANGS[la], k=4)) for _ in range(12)), la)
+            for i, la in enumerate(rnd.choices(sorted(LANGS), k=200))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = language_id.train(frame, dim=256)
+    order = {(r["l"], r["t"]): r["o"] for r in frame.select(
+        F.col("lang").alias("l"), F.col("text").alias("t"), F.xxhash64("doc_id", "text").alias("o")).collect()}
+    kept = [(la, t) for i, t, la in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    kept.sort(key=lambda r: (r[0], order[r]))
+    want = language_id.fit([(la, language_id.profile(t, 256).astype(np.float32)) for la, t in kept])
+    assert got.families == want.families
+    for a, b in zip([got.outer, *got.inner], [want.outer, *want.inner]):
+        assert a.names == b.names and a.pairs == b.pairs and np.allclose(a.weights, b.weights, atol=1e-6)
