@@ -15,11 +15,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from skyfare.llm.common import ROW, discard, staged, tidy, unwrapped, wrapped
+from skyfare.llm.common import ROW, arrow_batch, discard, staged, tidy, unwrapped, wrapped
 
 UNKNOWN = "und"
 DIM = 4096
@@ -186,7 +187,7 @@ def _means(rows: DataFrame, dim: int) -> dict[str, np.ndarray]:
     return {la: v / n for la, (n, v) in sums.items()}
 
 
-def _train_machines(rows: DataFrame, families: list[list[str]]) -> dict[tuple, np.ndarray]:
+def _train_machines(rows: DataFrame, families: list[list[str]], dim: int) -> dict[tuple, np.ndarray]:
     """Each machine in a task of its own, over the profiles of its languages
     (at most all training texts); the driver gets the weights."""
     machines = _machines(families)
@@ -197,14 +198,20 @@ def _train_machines(rows: DataFrame, families: list[list[str]]) -> dict[tuple, n
         "l string, level int, a int, b int, y double"))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("l", "ascending"), ("o", "ascending")])
-        x = np.stack([np.frombuffer(v, np.float32) for v in table.column("v").to_pylist()])
-        w = _svm(x, np.arange(len(x)), table.column("y").to_numpy())
+        order = pc.sort_indices(table.select(["l", "o"]), [("l", "ascending"), ("o", "ascending")]).to_numpy()
+        x, at = np.empty((len(table), dim), np.float32), 0
+        for chunk in table.column("v").chunks:
+            for v in chunk:
+                x[at] = np.frombuffer(v.as_buffer(), np.float32)
+                at += 1
+        # Rows stay where they are; the machine is told their order.
+        w = _svm(x, order, table.column("y").to_numpy()[order])
         return pa.table({c: table.column(c).slice(0, 1) for c in ("level", "a", "b")}
                         | {"w": pa.array([w.tobytes()], pa.binary())})
 
-    found = (rows.join(sides, "l").groupBy("level", "a", "b")
-             .applyInArrow(run, "level int, a int, b int, w binary").collect())
+    with arrow_batch(rows.sparkSession, 250):
+        found = (rows.join(sides, "l").groupBy("level", "a", "b")
+                 .applyInArrow(run, "level int, a int, b int, w binary").collect())
     got = {(r["level"], r["a"], r["b"]): np.frombuffer(r["w"], np.float64) for r in found}
     return {m: got[m] for m in machines}
 
@@ -268,7 +275,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not means:
         return fit([])
     families = _families(np.stack([means[la] for la in sorted(means)]), sorted(means))
-    return _model(families, _train_machines(usable, families))
+    return _model(families, _train_machines(usable, families, dim))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
