@@ -268,7 +268,7 @@ def _locate(texts: DataFrame, among: dict[int, _Filter], how: Hashing) -> DataFr
                         first = first[hit]
                         held[m].append((fp[hit], check(first, m), rows[words.doc[first]]))
                         n += len(first)
-                if n >= BUFFER_GRAMS:
+                if n >= BUFFER_GRAMS // 3:     # three numbers each, not one
                     for m in among:
                         if held[m]:
                             yield from _pointed(m, held[m])
