@@ -230,6 +230,42 @@ def test_embedding_links_equal_brute_force(spark, block):
     assert embedding_dedup.digest(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 1_000, 50_000, 10**7, 10**10])
+def test_embedding_tables_follow_the_size_and_keep_the_recall(n):
+    tables, bits = embedding_dedup.shape(n)
+    p = 1 - np.arccos(0.93) / np.pi
+    assert (1 - p ** bits) ** tables <= embedding_dedup.MISS
+    assert n / 2 ** bits <= 512  # a bucket of unrelated vectors fits a block
+    more, finer = embedding_dedup.shape(1_000 * n)
+    assert finer >= bits and more <= 1_000 ** 0.25 * tables  # tables grow slower than the fourth root of n
+    assert embedding_dedup.shape(n, threshold=1.0)[0] == 1
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embedding_pairs_at_the_threshold_are_found(spark, kind):
+    """Pairs just above 0.93 in one label, copies in a third of its rows."""
+    rnd = np.random.default_rng(8)
+    rows = []
+    for k in range(1_200):
+        a, b = rnd.standard_normal((2, 24))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        for v in (a, 0.9301 * a + np.sqrt(1 - 0.9301 ** 2) * b):
+            rows.append((len(rows), [float(x) for x in v], "one"))
+    rows += [(len(rows) + j, rows[0][1], "one") for j in range(1_200)]
+    frame = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>, label string")
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(frame.repartition(5)).collect()}
+    x = np.array([r[1] for r in rows], np.float32 if kind == "float" else np.float64).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = x @ x.T >= 0.93
+    np.fill_diagonal(links, False)
+    want = components_of(zip(*np.nonzero(links)), range(len(rows)))
+    assert got.keys() == set(range(len(rows)))
+    missed = sum((got[i]["n_links"], got[i]["component_id"]) != (links[i].sum(), want[i]) for i in got)
+    assert missed == 0
+
+
 # -- sharding -----------------------------------------------------------------
 
 def test_sharding_is_even_gapless_and_keeps_small_groups_together(spark):
