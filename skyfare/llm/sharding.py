@@ -10,13 +10,16 @@ alone exceeds ``hot_share`` of a shard; only such a group is spread.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfare.llm.common import staged
 
 SHARDS = 8
-RANGES_PER_SHARD = 32
+RANGES_PER_SHARD = 32       # at least
+ROWS_PER_RANGE = 1 << 22    # about; one task sorts their keys and sizes
 SAMPLES_PER_RANGE = 24
 HOT_SHARE = 0.01
 KEY = ("_k", "_sub", "_salt")
@@ -32,21 +35,32 @@ def _splitters(keys: DataFrame, step: float) -> list:
     return sorted(set(ordered[SAMPLES_PER_RANGE - 1::SAMPLES_PER_RANGE]))
 
 
+def _longs(values) -> Column:
+    """A literal array of longs, made by one call however long it is."""
+    return F.split(F.lit(" ".join(map(str, values))), " ").cast("array<bigint>")
+
+
 def _range_of(splitters: list) -> Column:
-    """Number of splitters at or below the key, by binary search."""
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        k, sub, salt = splitters[mid]
-        below = (F.col("_k") < k) | ((F.col("_k") == k) & (
-            (F.col("_sub") < sub) | ((F.col("_sub") == sub) & (F.col("_salt") < salt))))
-        return F.when(below, search(lo, mid)).otherwise(search(mid + 1, hi))
-    return search(0, len(splitters))
+    """Number of splitters at or below the key: a binary search in sorted
+    literal arrays, one for each part of the key, so that the expression keeps
+    its size however many splitters there are."""
+    if not splitters:
+        return F.lit(0)
+    parts = [_longs(part) for part in zip(*splitters, strict=True)]
+    steps = [1 << t for t in reversed(range(len(splitters).bit_length()))]
+
+    def ahead(found: Column, step: Column) -> Column:
+        # Past the end the splitter is NULL, and the step not taken.
+        k, sub, salt = (F.get(part, found + step - F.lit(1)) for part in parts)
+        at_or_below = (k < F.col("_k")) | ((k == F.col("_k")) & (
+            (sub < F.col("_sub")) | ((sub == F.col("_sub")) & (salt <= F.col("_salt")))))
+        return F.when(at_or_below, found + step).otherwise(found)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), ahead)
 
 
 def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   shards: int = SHARDS, hot_share: float = HOT_SHARE) -> DataFrame:
+                   shards: int = SHARDS, hot_share: float = HOT_SHARE,
+                   rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One row per input row: id, size, text_crc32, shard, slot.
 
     - ``size``: UTF-8 bytes of the text plus 1; a NULL text has none, and its
@@ -54,10 +68,16 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     - ``slot`` counts from 0 without gaps in each shard.
     - NULL ids and repeated rows are placed like any other row; rows that tie
       on every key may swap slots among themselves, which changes nothing.
+    - Sizes: a group goes where its first byte falls, so the bytes of a shard
+      differ from an equal share by less than the larger of ``hot_share`` of it
+      and its largest text, at either end.
     - No rows in, no rows out. Other input columns are not carried.
 
-    What reaches the driver: the total, the sampled keys (at most about
-    shards x 32 x 24, plus one per overfull range), and one line per range.
+    There are 32 ranges a shard, more where a range would hold more than about
+    ``rows_per_range`` rows, so no task sorts a fixed share of the table. What
+    reaches the driver: the totals, the sampled keys (about 24 a range, and as
+    many again of overfull ones), and one line a range: of 10^10 rows some
+    2,400 ranges and 60,000 keys.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = staged(docs.select(
@@ -65,8 +85,7 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("_k"), F.xxhash64(F.lit(1), text).alias("_k2"),
         F.monotonically_increasing_id().alias("_row")), "shard-rows")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    spark = rows.sparkSession
+    total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     out = ["_id", "size", "text_crc32"]
     if not total:
         return rows.select(F.col("_id").alias(id_col), *out[1:], F.lit(0).alias("shard"),
@@ -81,29 +100,28 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = rows.withColumns({
         "_sub": F.when(spread, F.xxhash64(F.lit(3), "_id")).otherwise(F.lit(0)).cast("long"),
         "_salt": F.when(spread, F.xxhash64(F.lit(4), "_row")).otherwise(F.lit(0)).cast("long")})
-    splitters = _splitters(keys, share / RANGES_PER_SHARD)
+    per_range = share / max(RANGES_PER_SHARD, -(-n_rows // (shards * rows_per_range)))
+    splitters = _splitters(keys, per_range)
     ranged = keys.withColumn("_range", _range_of(splitters))
     found = ranged.groupBy("_range").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
-    overfull = [r["_range"] for r in found if r["b"] > 2 * share / RANGES_PER_SHARD]
+    overfull = [r["_range"] for r in found if r["b"] > 2 * per_range]
     if overfull:
         # Subdivide: a denser sample of the overfull ranges alone.
-        more = _splitters(ranged.filter(F.col("_range").isin(overfull)),
-                          share / RANGES_PER_SHARD / 4)
+        more = _splitters(ranged.filter(F.col("_range").isin(overfull)), per_range / 4)
         splitters = sorted({*splitters, *more})
         ranged = keys.withColumn("_range", _range_of(splitters))
         found = (ranged.groupBy("_range")
                  .agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect())
-    before, at, b, n = [], 0, 0, 0
-    for r in sorted(found, key=lambda r: r["_range"]):
-        before.append((r["_range"], b, n))
-        b, n = b + r["b"], n + r["n"]
-    offsets = F.broadcast(spark.createDataFrame(before, "_range int, _b0 long, _n0 long"))
+    held = {r["_range"]: (r["b"], r["n"]) for r in found}
+    sizes, counts = zip(*(held.get(i, (0, 0)) for i in range(len(splitters) + 1)), strict=True)
+    bytes_before = F.get(_longs(accumulate(sizes, initial=0)), F.col("_range"))
+    rows_before = F.get(_longs(accumulate(counts, initial=0)), F.col("_range"))
     in_range = Window.partitionBy("_range").orderBy(*KEY, "_k2", "_id")
     group = Window.partitionBy("_range", *KEY)
-    placed = (ranged.join(offsets, "_range")
-              .withColumn("_at", F.col("_b0") - F.col("size") + F.sum("size").over(
+    placed = (ranged
+              .withColumn("_at", bytes_before - F.col("size") + F.sum("size").over(
                   in_range.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_rank", F.col("_n0") + F.row_number().over(in_range) - 1)
+              .withColumn("_rank", rows_before + F.row_number().over(in_range) - 1)
               # A group goes whole where its first byte falls.
               .withColumn("_at", F.min("_at").over(group))
               .withColumn("shard", F.least(F.floor(F.col("_at") * shards / F.lit(total)),

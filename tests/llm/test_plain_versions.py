@@ -1,11 +1,13 @@
 """Language identification and sharding against plain versions of their laws."""
 
+import bisect
 import math
 import random
 import zlib
 from itertools import combinations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from skyfare.llm import language_id, sharding
@@ -149,9 +151,10 @@ def test_training_ranks_only_what_lies_under_the_bound(spark, monkeypatch):
     assert "18446744073709551616" in plan or "1.8446744073709552E19" in plan
 
 
-def test_shards_equal_a_walk_over_the_sorted_rows(spark):
+@pytest.mark.parametrize("rows_per_range", [sharding.ROWS_PER_RANGE, 4])
+def test_shards_equal_a_walk_over_the_sorted_rows(spark, rows_per_range):
     """The law `bytes`: rows in order of their text's hash, each group of equal
-    texts whole in the shard that its first byte falls in."""
+    texts whole in the shard that its first byte falls in, whatever the ranges."""
     rnd = random.Random(6)
     rows = [(i, " ".join(rnd.choices("alpha beta gamma é 中".split(), k=rnd.randrange(1, 80)))) for i in range(4000)]
     rows += [(5000 + i, rows[i % 40][1]) for i in range(120)] + [(6000, None), (6001, ""), (None, "no id")]
@@ -167,13 +170,25 @@ def test_shards_equal_a_walk_over_the_sorted_rows(spark):
         want[i, t] = (shard, slots[shard])
         slots[shard] += 1
         at += size
-    got = sharding.shard_by_bytes(frame, hot_share=1.0).collect()
+    got = sharding.shard_by_bytes(frame, hot_share=1.0, rows_per_range=rows_per_range).collect()
     texts = dict(rows)
     assert len(got) == len(rows)
     for r in got:
         assert (r["shard"], r["slot"]) == want[r["doc_id"], texts[r["doc_id"]] or ""]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 8, 5000])
+def test_ranges_are_looked_up_among_any_number_of_splitters(spark, n):
+    rnd = random.Random(n)
+    draw = [(rnd.randrange(-40, 40), rnd.randrange(-2, 2), rnd.randrange(-2, 2)) for _ in range(3 * n)]
+    big = [(rnd.randrange(-2**63, 2**63), 0, 0) for _ in range(2 * n)]
+    splitters = sorted(set(rnd.sample(draw + big, n)))
+    keys = draw[:500] + big[:500] + [(0, 0, 0), (2**63 - 1, 0, 0), (-2**63, 0, 0)]
+    got = (spark.createDataFrame(keys, "_k long, _sub long, _salt long")
+           .select("*", sharding._range_of(splitters).alias("r")).collect())
+    assert [r["r"] for r in got] == [bisect.bisect_right(splitters, tuple(r)[:3]) for r in got]
+
+
 def test_machines_trained_in_tasks_equal_those_trained_at_hand(spark):
     rnd = random.Random(8)
     rows = [(i, " ".join("".join(rnd.choices(LANGS[la], k=4)) for _ in range(12)), la)
