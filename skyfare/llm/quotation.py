@@ -37,10 +37,23 @@ def _line_hashes(text: Column) -> Column:
     return F.transform(keys, lambda k: F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit(1), k).alias("b")))
 
 
-def _run_key(hashes: Column) -> Column:
-    """(kind, k1, k2) of a run of lines by its line hashes."""
-    return F.struct(F.lit("lines").alias("kind"), F.xxhash64(F.transform(hashes, lambda h: h["a"])).alias("k1"),
-                    F.xxhash64(F.lit(1), F.transform(hashes, lambda h: h["b"])).alias("k2"))
+def _ladder(hashes: Column) -> Column:
+    """The hashes of all runs of 1, 2, 4, ... lines: rung k holds, by their
+    first line, those of 2^k lines, each made of two of the rung below."""
+    def joined(x: Column, y: Column) -> Column:
+        return F.struct(F.xxhash64(x["a"], y["a"]).alias("a"), F.xxhash64(F.lit(1), x["b"], y["b"]).alias("b"))
+
+    def climb(rungs: Column, k: Column) -> Column:
+        low, half = F.element_at(rungs, -1), F.call_function("shiftleft", F.lit(1), k - F.lit(1))
+        ahead = F.slice(low, half + F.lit(1), F.size(low))
+        return F.array_append(rungs, F.zip_with(F.slice(low, F.lit(1), F.size(ahead)), ahead, joined))
+    return F.aggregate(F.filter(F.sequence(F.lit(0), _rung(F.size(hashes))), lambda k: k > 0),
+                       F.array(hashes), climb)
+
+
+def _rung(lines: Column) -> Column:
+    """The largest k with 2^k lines or fewer."""
+    return F.length(F.bin(lines.cast("long"))) - F.lit(1)
 
 
 def _text_key(key: Column) -> Column:
@@ -48,21 +61,45 @@ def _text_key(key: Column) -> Column:
                     F.xxhash64(F.lit(1), key).alias("k2"))
 
 
+def _run_key(lines: Column, head: Column, tail: Column) -> Column:
+    """Key of a run of lines: their number and the hashes of its first and last
+    2^k lines, k as large as can be. The two overlap and cover the run, so runs
+    of one length are equal exactly where both are."""
+    return F.struct(F.lit("lines").alias("kind"), F.xxhash64(lines, head["a"], tail["a"]).alias("k1"),
+                    F.xxhash64(F.lit(1), lines, head["b"], tail["b"]).alias("k2"))
+
+
+def _ends(runs: DataFrame) -> DataFrame:
+    """``runs`` with lines (hs) plus m, k, head and tail of the whole run."""
+    rungs = runs.filter(F.size("hs") > 0).withColumn("rungs", _ladder(F.col("hs"))).withColumn(
+        "m", F.size("hs")).withColumn("k", _rung(F.col("m")))
+    top = F.element_at("rungs", -1)
+    return (rungs.withColumns({"head": F.get(top, F.lit(0)), "tail": F.element_at(top, -1)})
+            .drop("rungs", "hs"))
+
+
 def _line_runs(streams: DataFrame, passages: DataFrame) -> DataFrame:
     """(conv, turn, key): the runs of lines in ``streams`` (conv, turn, hs) that
-    start like a passage and have as many lines. Line hashes meet the first
-    lines of passages; only the runs so found are hashed, each in its stream."""
-    streams = staged(streams.filter(F.size("hs") > 0)
-                     .withColumn("stream", F.monotonically_increasing_id()), "line-streams")
-    starts = (passages.filter(F.size("hs") > 0)
-              .select("conv", F.get("hs", F.lit(0))["a"].alias("a"), F.size("hs").alias("m")).distinct())
-    at = (streams.select("conv", "stream", F.size("hs").alias("n"), F.posexplode("hs").alias("i", "h"))
-          .select("conv", "stream", "n", "i", F.col("h.a").alias("a"))
-          .join(starts, ["conv", "a"]).filter(F.col("i") + F.col("m") <= F.col("n"))
-          .groupBy("stream").agg(F.collect_list(F.struct("i", "m")).alias("at")))
-    return (streams.join(at, "stream")
-            .select("conv", "turn", F.explode(F.array_distinct(F.transform(
-                "at", lambda x: _run_key(F.slice(F.col("hs"), x["i"] + 1, x["m"]))))).alias("key")))
+    equal a passage (conv, m, k, head, tail). Every place of a stream carries
+    its hashes of 2^k lines, for the k of its conversation's passages; they meet
+    the heads of passages, and what then has the tail at its place is a run.
+    Rows of a few numbers only: no run is hashed as a whole, and a stream of n
+    lines makes at most n log n of them."""
+    sought = passages.select("conv", "m", "k", "head", "tail").distinct()
+    rungs = passages.groupBy("conv").agg(F.array_sort(F.collect_set("k")).alias("ks"))
+    places = staged(
+        streams.filter(F.size("hs") > 0).join(rungs, "conv")
+        .withColumn("stream", F.monotonically_increasing_id())
+        .withColumn("rungs", _ladder(F.col("hs")))
+        .withColumn("k", F.explode(F.filter("ks", lambda k: k < F.size("rungs"))))
+        .select("conv", "turn", "stream", "k", F.posexplode(F.get("rungs", F.col("k"))).alias("i", "h")), "line-places")
+    met = places.join(sought.withColumn("h", F.col("head")), ["conv", "k", "h"])
+    short = met.filter("head = tail AND m = shiftleft(1, k)")
+    tails = places.select("stream", "k", F.col("i").alias("at"), F.col("h").alias("tail"))
+    long = (met.filter("m > shiftleft(1, k)").withColumn("at", F.expr("i + m - shiftleft(1, k)"))
+            .join(tails, ["stream", "k", "at", "tail"]))
+    key = _run_key(F.col("m"), F.col("head"), F.col("tail")).alias("key")
+    return short.select("conv", "turn", key).union(long.select("conv", "turn", key)).distinct()
 
 
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -117,6 +154,7 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     runs = staged(runs.select("conv", "turn", "copy", "run", "level", _text_key(F.col("key")).alias("key"),
                               _line_hashes(F.col("p")).alias("hs")), "passages")
     quoted_runs = runs.filter("level > 0")
+    passages = staged(_ends(quoted_runs), "passage-ends")
     quoting = quoted_runs.select("conv").distinct()
     # Own texts of a quoting conversation, whole and by paragraph.
     texts = rows.join(quoting, "conv", "left_semi").select("conv", "turn", "body")
@@ -125,11 +163,12 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.filter(keys, lambda k: k != ""), _text_key))).alias("key"))
     streams = (texts.select("conv", "turn", _line_hashes(F.col("body")).alias("hs"))
                .union(quoted_runs.select("conv", "turn", "hs")))
-    sources = (whole.union(runs.select("conv", "turn", "key")).union(_line_runs(streams, quoted_runs))
+    sources = (whole.union(runs.select("conv", "turn", "key")).union(_line_runs(streams, passages))
                .distinct().withColumnRenamed("turn", "from_turn"))
     # The latest earlier turn with the passage, of each quoted passage.
-    sought = quoted_runs.select("conv", "turn", "copy", "run", "level",
-                                F.explode(F.array(F.col("key"), _run_key(F.col("hs")))).alias("key"))
+    by_lines = _run_key(F.col("m"), F.col("head"), F.col("tail"))
+    sought = passages.select("conv", "turn", "copy", "run", "level",
+                             F.explode(F.array(F.col("key"), by_lines)).alias("key"))
     origin = (_latest_before(sought, sources, ["conv", "key"])
               .groupBy("conv", "turn", "copy", "run", "level").agg(F.max("from_turn").alias("origin")))
     linked = (origin.groupBy("conv", "turn", "copy").agg(
@@ -298,12 +337,27 @@ k AS (
        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS key FROM r),
 w AS (
   SELECT conv, turn, key FROM k JOIN b USING (conv, turn, copy) WHERE n_quote_lines > 0
-  UNION SELECT conv, turn, trim(translate(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'),
-       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) FROM b),
-o AS (
-  SELECT k.conv, k.turn, copy, k.level, k.run, max(w.turn) AS origin
+  UNION SELECT conv, turn, trim(translate(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g'),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
+  FROM (SELECT conv, turn, unnest(list_append(regexp_split_to_array(
+          body, '\n[\x20\x09-\x0D]*\n'), body)) AS part FROM b)),
+-- Lines that are not blank, normalised, each between line feeds: a run of whole
+-- lines is a substring.
+n AS (
+  SELECT kind, conv, turn, copy, level, run, chr(10) || array_to_string(list_filter(list_transform(
+           string_split(p, chr(10)), lambda y: trim(translate(regexp_replace(y, '[\x20\x09-\x0D]+', ' ', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))), lambda y: y != ''), chr(10))
+         || chr(10) AS s
+  FROM (SELECT 'quote' AS kind, conv, turn, copy, level, run, p FROM k WHERE level > 0 AND key != ''
+        UNION ALL SELECT 'own', conv, turn, copy, 0, 0, body FROM b)),
+f AS (
+  SELECT k.conv, k.turn, copy, k.level, k.run, w.turn AS origin
   FROM k JOIN w ON k.conv = w.conv AND k.key = w.key AND w.turn < k.turn
-  WHERE level > 0 AND k.key != '' GROUP BY ALL),
+  WHERE level > 0 AND k.key != ''
+  UNION SELECT n.conv, n.turn, n.copy, n.level, n.run, x.turn
+  FROM n JOIN n AS x ON n.conv = x.conv AND x.turn < n.turn AND contains(x.s, n.s)
+  WHERE n.kind = 'quote'),
+o AS (SELECT conv, turn, copy, level, run, max(origin) AS origin FROM f GROUP BY ALL),
 q AS (
   SELECT b.conv, b.turn, b.copy, n_quote_lines, max_level, body, count(o.origin) AS n_linked,
          arg_min(o.origin, o.level * 1000000 - o.origin) AS linked

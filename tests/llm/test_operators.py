@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -413,10 +414,58 @@ def test_long_branching_conversations_are_ordered_by_ranges(spark, monkeypatch):
     assert sorted(k[2] for k in got if k[0] is None) == list(range(300))
     # No path is kept of a message, and ranges cut conversations.
     assert not any(kind.startswith("array") for name, x in tables.items() for _, kind in x.dtypes
-                   if name not in ("messages", "passages", "line-streams"))
+                   if name not in ("messages", "passages"))
     assert tables["turns"].filter("conv = 1").select("part").distinct().count() > 1
 
 
+def test_runs_of_a_repeated_line_are_found_without_hashing_each(spark):
+    # 2,000 equal lines, and replies that quote 1 to 120 of them; one quotes more.
+    rows = [(1, 0, "a", "\n".join(["same"] * 2000) + "\nend")]
+    rows += [(1, t, "b", "> same\n" * t + f"reply {t}") for t in range(1, 121)]
+    rows += [(1, 121, "c", "> same\n> same\n> end\nthe end"), (1, 122, "c", "> same\n" * 2001 + "too many"),
+             (1, 123, "c", "x" * 300_000 + "\n> no such line " + "y" * 100_000)]
+    m = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r["turn"]: r for r in quotation.link_quotes(m).collect()}
+    assert all(got[t]["n_linked"] == 1 for t in range(1, 121))
+    # A passage of t lines lies in the longer one of no earlier reply, so the first message is its origin.
+    assert [got[t]["parent_turn"] for t in range(1, 121)] == [0] * 120
+    assert (got[121]["n_linked"], got[121]["parent_turn"]) == (1, 0)
+    assert (got[122]["n_linked"], got[122]["parent_turn"]) == (0, 121)
+    assert got[123]["n_linked"] == 0 and len(got[123]["body"]) == 300_000
+
+
+def test_quoted_conversations_match_the_sql(spark):
+    """Random quotes of whole messages, paragraphs, runs of lines, quotes of
+    quotes, wrapped otherwise, of nothing, in any conversation; the linking of
+    the query against its SQL."""
+    rnd = random.Random(12)
+    rows = []
+    for c in range(60):
+        said = []
+        for t in range(rnd.randrange(1, 12)):
+            for _ in range(rnd.choice([1, 1, 1, 2])):
+                lines = [" ".join(rnd.choices("a b c D é".split(), k=rnd.randrange(0, 3))) for _ in range(rnd.randrange(1, 7))]
+                for _ in range(rnd.randrange(0, 3) if said else 0):
+                    old = rnd.choice(said).split("\n")
+                    i = rnd.randrange(len(old))
+                    part = rnd.choice([old, old[i:], old[i:i + rnd.randrange(1, 4)], [" ".join(old)], ["nothing"]])
+                    at = rnd.randrange(len(lines) + 1)
+                    lines[at:at] = [rnd.choice(["> ", ">", " >"]) + x.upper() if rnd.random() < 0.3 else "> " + x for x in part]
+                said.append("\n".join(lines))
+                rows.append((c, t * 2, rnd.choice(["u", "b"]), said[-1], 1, 2))
+    rows.append((1000, 0, "u", None, 1, 2))
+    m = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, copy int, position int")
+    got = quotation.digest(m.repartition(5))
+    cols = sorted(got.columns)
+    con = duckdb.connect()
+    con.register("conversations", m.toPandas())
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({quotation.ORACLE_SQL}) x").fetchall()
+    con.close()
+    got = [tuple(r) for r in got.select(*cols).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[cols.index("n_linked")] for r in got) > 100
+
+
 # -- quality rules ------------------------------------------------------------
 
 def base_by_hand(text):
