@@ -90,20 +90,24 @@ def table_results(df: DataFrame, layers: list[TableChecks]) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[TableChecks] = CHECKS,
-               raw_from_stg: bool = False) -> DataFrame:
+               raw_from_stg: bool = False, mart_from_core: bool = False) -> DataFrame:
     """All declared checks over the given layer tables, as one result frame.
 
     One pass per table. With ``raw_from_stg`` the RAW checks are evaluated
     on the STG frame in the same pass as the STG checks: STG passes the RAW
     columns through unchanged (same names, same types), so the NULL counts
-    are identical and RAW is scanned once.
+    are identical and RAW is scanned once. ``mart_from_core`` does the same for
+    MART where it is a plan over CORE, not a table of its own: its rows are
+    CORE's, which is then computed once. Stored tables are checked each.
     """
     by_layer = {spec.layer: spec for spec in checks}
     parts = []
     done = set()
-    if raw_from_stg and "stg" in tables and "raw" in by_layer and "stg" in by_layer:
-        parts.append(table_results(tables["stg"], [by_layer["raw"], by_layer["stg"]]))
-        done |= {"raw", "stg"}
+    fused = [("raw", "stg")] * raw_from_stg + [("mart", "core")] * mart_from_core
+    for derived, read in fused:
+        if read in tables and derived in by_layer and read in by_layer:
+            parts.append(table_results(tables[read], [by_layer[derived], by_layer[read]]))
+            done |= {derived, read}
     for spec in checks:
         if spec.layer in done or spec.layer not in tables:
             continue

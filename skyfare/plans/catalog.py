@@ -150,7 +150,7 @@ def _seeded_layers(spark, sf_dir):
 
 
 def q_dq_checks(spark, sf_dir):
-    return quality.run_checks(_events_layers(spark, sf_dir), raw_from_stg=True)
+    return quality.run_checks(_events_layers(spark, sf_dir), raw_from_stg=True, mart_from_core=True)
 
 
 def q_dq_checks_seeded(spark, sf_dir):

@@ -36,3 +36,14 @@ def test_unique_ignores_keys_with_null_parts(raw_df):
     assert dup.count() == 0
     raw2 = raw_df([quote(), quote(price="5.00")])
     assert quality.duplicate_keys(layers.stg_quotes(raw2), ["route_code", "departure_date"]).count() == 1
+
+
+def test_fused_passes_count_what_separate_ones_do(spark):
+    tables = catalog._seeded_layers(spark, SF001)
+    fused = quality.run_checks(tables, raw_from_stg=True, mart_from_core=True)
+    assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, quality.run_checks(tables).collect()))
+
+
+def test_checks_over_lazy_layers_compute_core_once(spark):
+    plan = catalog.q_dq_checks(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Window ") for line in plan.splitlines()) == 1
