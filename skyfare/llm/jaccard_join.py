@@ -37,6 +37,7 @@ MAX_MATCHES = 4
 # input. Counts are upper bounds; the order they give is a total one whatever
 # collides, so they affect cost and never the result.
 CELLS = 1 << 20
+BLOCKS = 64
 # Cost of verifying one candidate, in postings read.
 VERIFY_COST = 20.0
 # Rounds of star pairs before the pairs that are left are enumerated.
@@ -107,20 +108,36 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _merge_counts(scanned: DataFrame) -> np.ndarray:
-    """Sum of the tasks' count tables, merged in a tree of bounded arrays."""
-    def read(rows):
+    """Sum of the tasks' count tables. Each is cut into ``BLOCKS`` blocks, which
+    are summed apart, so no task adds up more than its share of every table;
+    only the ``CELLS`` sums reach the driver."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
-        for r in rows:
-            total += np.frombuffer(zlib.decompress(r[0]), np.uint32)
-        yield np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-
-    def add(a, b):
-        return np.minimum(a.astype(np.int64) + b, 0xFFFFFFFF).astype(np.uint32)
+        for b in batches:
+            for x in b.column(0):
+                total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
+        parts = total.reshape(BLOCKS, -1)
+        held = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int32()),
+             pa.array([zlib.compress(parts[i].tobytes(), 1) for i in held], pa.binary())], ["block", "counts"])
 
-    tables = scanned.filter("counts IS NOT NULL").select("counts").rdd.mapPartitions(read)
-    if not tables.getNumPartitions():
-        return np.zeros(CELLS, np.uint32)
-    return tables.coalesce(max(1, min(16, tables.getNumPartitions()))).treeReduce(add, depth=2)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                sums[i] = sums.get(i, 0) + np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()),
+             pa.array([np.minimum(v, 0xFFFFFFFF).astype(np.uint32).tobytes() for v in sums.values()],
+                      pa.binary())], ["block", "counts"])
+
+    kind = "block int, counts binary"
+    out = np.zeros((BLOCKS, CELLS // BLOCKS), np.uint32)
+    for r in (scanned.filter("counts IS NOT NULL").select("counts").mapInArrow(cut, kind)
+              .repartition(BLOCKS, "block").mapInArrow(add, kind).collect()):
+        out[r["block"]] = np.frombuffer(r["counts"], np.uint32)
+    return out.ravel()
 
 
 def _prefix(s: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, int]:

@@ -267,6 +267,18 @@ def test_embedding_pairs_at_the_threshold_are_found(spark, kind):
     assert missed == 0
 
 
+def test_counts_of_all_tasks_are_summed_by_blocks(spark):
+    rnd = random.Random(21)
+    texts = [prose(rnd, rnd.randrange(0, 80)) for _ in range(300)] + [None, "", "one two three four"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(7)
+    want = np.zeros(jaccard_join.CELLS, np.int64)
+    for t in texts:
+        np.add.at(want, jaccard_join._cells(jaccard_join.shingles(t, 4)), 1)
+    got = jaccard_join._merge_counts(jaccard_join._scan(frame, 4))
+    assert got.dtype == np.uint32 and (got == want).all() and want.sum() > 1000
+    assert not jaccard_join._merge_counts(jaccard_join._scan(frame.limit(0), 4)).any()
+
+
 # -- sharding -----------------------------------------------------------------
 
 def test_sharding_is_even_gapless_and_keeps_small_groups_together(spark):
